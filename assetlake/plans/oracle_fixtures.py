@@ -162,7 +162,7 @@ SELECT CAST(9000000 + page_id AS BIGINT) AS id,
        (page_id % 4 <> 0) AS uploaded,
        CAST(CASE WHEN page_id % 4 <> 0 THEN {B} + page_id * 1000 + 60000 END AS BIGINT) AS uploaded_time,
        CAST({B} + page_id * 1000 AS BIGINT) AS created_time,
-       CAST({B} + page_id * 4000000 AS BIGINT) AS last_updated_time,
+       CAST({B} + (page_id % 250) * 40000000 AS BIGINT) AS last_updated_time,
        CAST(500 + page_id % 6 AS BIGINT) AS data_set_id,
        MAP {{'length': CAST(length(html) AS VARCHAR)}} AS metadata, html AS content
 FROM pages""")

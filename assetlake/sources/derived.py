@@ -300,7 +300,7 @@ class DerivedTenant:
             uploaded.alias("uploaded"),
             F.when(uploaded, F.lit(BASE_MS) + k * 1000 + 60000).alias("uploaded_time"),
             (F.lit(BASE_MS) + k * 1000).alias("created_time"),
-            (F.lit(BASE_MS) + k * 4000000).alias("last_updated_time"),
+            (F.lit(BASE_MS) + (k % 250) * 40000000).alias("last_updated_time"),
             (F.lit(500) + k % 6).alias("data_set_id"),
             F.create_map(F.lit("length"), _s(F.length("html"))).alias("metadata"),
             F.col("html").alias("content"),
