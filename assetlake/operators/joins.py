@@ -12,13 +12,17 @@ BROADCAST_MAX_ROWS = 2_000_000
 
 
 def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Return ``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
+    """Materialize a dimension once, then broadcast it only if it has at most
+    ``max_rows`` rows; otherwise return it for a shuffle join.
 
-    The check is a ``limit(max_rows + 1).count()`` job: it stops reading as
-    soon as the bound is exceeded, so it costs at most ``max_rows`` rows.
+    The dimension is written with ``checkpoint()`` to the shared checkpoint
+    folder (``spark.checkpoint.dir``): it is computed exactly once, its row
+    count is then a cheap read, the join reads the stored copy, and a lost
+    executor does not force the dimension's lineage to be recomputed.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    dim = df.checkpoint(eager=True)
+    n = dim.limit(max_rows + 1).count()
+    return F.broadcast(dim) if n <= max_rows else dim
 
 
 def list_frame(spark, values: list[str], name: str = "value") -> DataFrame:
