@@ -130,3 +130,17 @@ def in_window(c, window: tuple[int, int | None]) -> Column:
     if hi is not None:
         cond = cond & (c <= F.lit(hi))
     return cond
+
+
+def filter_window(df: DataFrame, c: str, window: tuple[int, int | None]) -> DataFrame:
+    """Time-window filter; on day-partitioned tables (``p_date``) the matching
+    partition predicate is added so whole days are pruned before any file is
+    opened (Catalyst does not derive it from the timestamp predicate)."""
+    df = df.filter(in_window(c, window))
+    if "p_date" in df.columns:
+        lo, hi = window
+        day = lambda ms: datetime.fromtimestamp(ms / 1000, tz=timezone.utc).date().isoformat()
+        df = df.filter(F.col("p_date") >= F.lit(day(lo)).cast("date"))
+        if hi is not None:
+            df = df.filter(F.col("p_date") <= F.lit(day(hi)).cast("date"))
+    return df

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import sized_broadcast
+from .joins import BROADCAST_MAX_ROWS, sized_broadcast
 
 MAX_DEPTH = 1000
 
@@ -28,7 +28,13 @@ def path_depth_children(assets: DataFrame, max_depth: int = MAX_DEPTH) -> DataFr
              .checkpoint())
     levels = [level]
     for _ in range(max_depth):
-        nxt = (edges.join(level.select(F.col("id").alias("parent_id"), "depth", "path"), "parent_id")
+        # the level is materialized, so its size is known cheaply: broadcast a
+        # small frontier (a parent with a huge number of children then never
+        # lands in one sort-merge partition), shuffle-join a large one
+        frontier = level.select(F.col("id").alias("parent_id"), "depth", "path")
+        if level.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS:
+            frontier = F.broadcast(frontier)
+        nxt = (edges.join(frontier, "parent_id")
                .filter(~F.array_contains("path", F.col("id")))
                .select("id", (F.col("depth") + 1).alias("depth"),
                        F.concat("path", F.array("id")).alias("path"))

@@ -192,7 +192,7 @@ def publish_ts_points(src, run_time, window: tuple[int, int | None] | None = Non
     """Points of publishable series in the previous-hour window."""
     window = window or flt.window_previous_hour(run_time)
     heads = publishable_series(src, reserved_prefix).select("id")
-    pts = src.ts_points().filter(flt.in_window("timestamp", window))
+    pts = flt.filter_window(src.ts_points(), "timestamp", window)
     df = pts.join(sized_broadcast(heads), "id", "left_semi")
     return df.select("id", "external_id", _ts("timestamp"), "value", "value_string", _audit(run_time))
 
@@ -203,7 +203,7 @@ def publish_ts_points_hour(src, run_time, window: tuple[int, int | None] | None
     """Hourly aggregates of numeric publishable series."""
     window = window or flt.window_last_days(run_time, 4)
     heads = publishable_series(src, reserved_prefix, numeric_only=True).select("id", "is_step")
-    pts = src.ts_points().filter(flt.in_window("timestamp", window)).filter(F.col("value").isNotNull())
+    pts = flt.filter_window(src.ts_points(), "timestamp", window).filter(F.col("value").isNotNull())
     pts = pts.join(sized_broadcast(heads), "id")
     agg = hourly_aggregates(pts)
     return agg.select(

@@ -17,6 +17,7 @@ from ..functions.scalars import clamp_value, ext_id_fallback
 from ..operators import filters as flt
 from ..operators import remap
 from ..operators.hierarchy import hierarchy_diff
+from ..operators.joins import sized_broadcast
 from ..operators.rules import clean_file_names, event_rules
 from ..sources.scan import delta_since, upper_bound
 
@@ -135,7 +136,7 @@ def prepare_sequence_rows(src, cfg: JobConfig, headers: DataFrame | None = None)
     """Rows of the replicated headers, keyed by the target external id."""
     h = headers if headers is not None else filtered_sequence_headers(src, cfg)
     keys = h.select("id", ext_id_fallback("external_id", "id").alias("seq_external_id"))
-    return src.sequence_rows().join(keys, "id").select("seq_external_id", "row_number", "values")
+    return src.sequence_rows().join(sized_broadcast(keys), "id").select("seq_external_id", "row_number", "values")
 
 
 # ------------------------------------------------------------- time series
@@ -168,8 +169,8 @@ def prepare_ts_points(src, cfg: JobConfig, run_time, headers: DataFrame | None =
     """Point posts (external_id, timestamp, value | value_string)."""
     h = headers if headers is not None else filtered_series(src, cfg)
     window = flt.window_config_days(run_time, cfg.integer(K.TS_WINDOW_DAYS, 1))
-    pts = src.ts_points().filter(flt.in_window("timestamp", window))
-    pts = pts.join(h.select("id"), "id", "left_semi")
+    pts = flt.filter_window(src.ts_points(), "timestamp", window)
+    pts = pts.join(sized_broadcast(h.select("id")), "id", "left_semi")
     return pts.select(ext_id_fallback("external_id", "id").alias("external_id"), "timestamp",
                       F.when(F.col("value_string").isNull(), clamp_value("value")).alias("value"),
                       "value_string")
