@@ -45,12 +45,23 @@ def _piece(va, vb, dt):
     return dtd, (va + vb) / 2 * dtd, (va * va + va * vb + vb * vb) / 3 * dtd
 
 
-def hourly_aggregates(points: DataFrame, bucket_ms: int = HOUR_MS) -> DataFrame:
-    """``points(id, external_id, timestamp, value, is_step)`` -> one row per (id, bucket)."""
+def hourly_aggregates(points: DataFrame, bucket_ms: int = HOUR_MS, dedup: bool = True) -> DataFrame:
+    """``points(id, external_id, timestamp, value, is_step)`` -> one row per (id, bucket).
+
+    With ``dedup`` several points of one series at the same millisecond are
+    reduced to one (the largest value). The single hash partitioning on
+    (id, hour) serves the dedup aggregate, the within-hour window and the
+    bucket aggregate, so the points are shuffled once.
+    """
     t, v = F.col("timestamp"), F.col("value")
     p = points.select("id", "external_id", "timestamp", "value",
                       F.coalesce("is_step", F.lit(False)).alias("is_step"),
                       (t - F.pmod(t, F.lit(bucket_ms))).alias("hour"))
+    if dedup:
+        p = (p.repartition("id", "hour")
+             .groupBy("id", "hour", "timestamp")
+             .agg(F.max("external_id").alias("external_id"), F.max("value").alias("value"),
+                  F.max("is_step").alias("is_step")))
     w_in = Window.partitionBy("id", "hour").orderBy("timestamp")
     p = p.withColumn("nt", F.lead("timestamp").over(w_in)).withColumn("nv", F.lead("value").over(w_in))
     has_next = F.col("nt").isNotNull()

@@ -53,3 +53,19 @@ def test_count_sums_to_points(spark, tenants):
         src.ts_headers().select("id", "is_step"), "id")
     total = hourly_aggregates(pts).agg(F.sum("count")).first()[0]
     assert total == pts.count()
+
+
+def test_duplicate_timestamps_are_reduced(spark):
+    rows = [(4, "d", 1000, 1.0, False), (4, "d", 1000, 5.0, False), (4, "d", 2000, 2.0, False)]
+    h = _agg(spark, rows)[(4, 0)]
+    assert h["count"] == 2 and h["max"] == 5.0 and h["total_variation"] == pytest.approx(3.0)
+
+
+def test_batches_at_most_n(spark):
+    from pyspark.sql import functions as F
+    from assetlake.operators.batching import batch_rows
+    df = spark.range(0, 1000).withColumnRenamed("id", "x")
+    for spread in (1, 7):
+        out = batch_rows(df, F.pmod(F.col("x"), F.lit(3)), "x", 20, spread=spread)
+        sizes = [r[0] for r in out.select(F.size("items")).collect()]
+        assert max(sizes) <= 20 and sum(sizes) == 1000
