@@ -18,7 +18,6 @@ from ..sinks.snapshot import SnapshotTable
 from ..sinks.upsert import hierarchy_sync, upsert
 from ..sinks.writers import overwrite, write_delimited
 from ..sources.scan import DeltaState
-from ..operators import filters as flt
 from . import publish as P
 from . import replicate as R
 
@@ -101,9 +100,8 @@ def run_replicate_events(src, tgt, target: SnapshotTable, cfg: JobConfig, run_ti
     prepared = R.prepare_events(src, tgt, cfg, run_time, since_ms=since)
     v = _upsert_into(target, prepared, ["external_id"])
     if state is not None:
-        # the upper bound of the scan is the new mark (rows up to run time were read)
-        state.commit("events-replication", src.events().filter(
-            F.col("last_updated_time") <= F.lit(flt.to_ms(run_time))).select("last_updated_time"))
+        # new mark = max update time among the rows read (same pushed-down scan)
+        state.commit("events-replication", R.scanned(src.events(), run_time, since, R.EVENTS_DELTA_OFFSET_MS))
     return v
 
 
@@ -112,6 +110,34 @@ def _upsert_into(target: SnapshotTable, rows: DataFrame, keys: list[str]) -> int
     return target.commit(rows if current is None else upsert(current, rows, keys))
 
 
+def run_replicate_files(src, tgt, target: SnapshotTable, cfg: JobConfig, run_time) -> int:
+    """Files with content: upsert keyed on external id."""
+    return _upsert_into(target, R.prepare_files(src, tgt, cfg, run_time, with_content=True), ["external_id"])
+
+
+def run_replicate_files_metadata(src, tgt, target: SnapshotTable, cfg: JobConfig, run_time,
+                                 state: DeltaState | None = None, full_read: bool = False) -> int:
+    since = None if (state is None or full_read) else state.read("files-metadata-replication")
+    rows = R.prepare_files(src, tgt, cfg, run_time, with_content=False, since_ms=since)
+    v = _upsert_into(target, rows, ["external_id"])
+    if state is not None:
+        state.commit("files-metadata-replication",
+                     R.scanned(src.files(), run_time, since, R.FILES_METADATA_DELTA_OFFSET_MS))
+    return v
+
+
+def run_replicate_labels(src, tgt, target: SnapshotTable, cfg: JobConfig, map_data_sets: bool = False) -> int:
+    return _upsert_into(target, R.prepare_labels(src, tgt, cfg, map_data_sets), ["external_id"])
+
+
+def run_replicate_raw(src, target: SnapshotTable, cfg: JobConfig) -> int:
+    return _upsert_into(target, R.prepare_raw(src, cfg), ["db_name", "table_name", "key"])
+
+
+def run_replicate_relationships(src, tgt, target: SnapshotTable, cfg: JobConfig) -> int:
+    return _upsert_into(target, R.prepare_relationships(src, tgt, cfg), ["external_id"])
+
+
 def run_replicate_sequences(src, tgt, headers_out: SnapshotTable, rows_out: SnapshotTable,
                             cfg: JobConfig) -> tuple[int | None, int | None]:
     """Headers first, rows only after the headers are written."""

@@ -35,6 +35,11 @@ def _scan(df: DataFrame, run_time, since_ms: int | None, offset_ms: int) -> Data
     return df if since_ms is None else delta_since(df, since_ms, offset_ms)
 
 
+def scanned(df: DataFrame, run_time, since_ms: int | None, offset_ms: int) -> DataFrame:
+    """The update times of the rows a delta scan reads (for committing the next mark)."""
+    return _scan(df.select("last_updated_time"), run_time, since_ms, offset_ms)
+
+
 def _map_data_set(df: DataFrame, src, tgt, cfg: JobConfig) -> DataFrame:
     """Data set id through its external id; NULL unless mapping is on and found."""
     if not cfg.flag(K.DATA_SET_MAPPING):
