@@ -90,9 +90,17 @@ def keep_known(df: DataFrame, key: str, column: str, known: DataFrame, known_col
 
 def parent_and_root_ext(assets: DataFrame, id_map: DataFrame) -> DataFrame:
     """Parent id -> parent external id (no match => root asset, NULL),
-    root id -> root external id as the group key ("" when unknown)."""
-    par = id_map.select(F.col("src_id").alias("__pid"), F.col("external_id").alias("__pext"))
-    root = id_map.select(F.col("src_id").alias("__rid"), F.col("external_id").alias("__rext"))
+    root id -> root external id as the group key ("" when unknown).
+
+    ``root_id`` is a hot key by nature (one root may own a large share of all
+    assets), so the root lookup uses only the map rows of ids that are roots:
+    a small dimension that the size check broadcasts, so no skewed shuffle
+    partition forms. Parent lookups join the size-checked map as well.
+    """
+    par = sized_broadcast(id_map.select(F.col("src_id").alias("__pid"), F.col("external_id").alias("__pext")))
+    root_ids = assets.select(F.col("root_id").alias("src_id")).filter(F.col("src_id").isNotNull()).distinct()
+    root = sized_broadcast(id_map.join(root_ids, "src_id", "left_semi")
+                           .select(F.col("src_id").alias("__rid"), F.col("external_id").alias("__rext")))
     return (assets
             .join(par, F.col("parent_id") == F.col("__pid"), "left")
             .join(root, F.col("root_id") == F.col("__rid"), "left")

@@ -50,8 +50,11 @@ def hierarchy_sync(prepared: DataFrame, target: DataFrame, run_ms: int) -> DataF
                     .alias("last_updated_time")))
     new = out_of_scope.unionByName(kept)
     ids = new.select(F.col("external_id").alias("__ext"), F.col("id").alias("__id"))
-    par = ids.select(F.col("__ext").alias("__pext"), F.col("__id").alias("parent_id"))
-    root = ids.select(F.col("__ext").alias("__rext"), F.col("__id").alias("root_id"))
+    par = sized_broadcast(ids.select(F.col("__ext").alias("__pext"), F.col("__id").alias("parent_id")))
+    # root external ids are hot keys: resolve them through the (small) set of roots
+    roots = new.select(F.col("root_external_id").alias("__ext")).distinct()
+    root = sized_broadcast(ids.join(roots, "__ext", "left_semi")
+                           .select(F.col("__ext").alias("__rext"), F.col("__id").alias("root_id")))
     return (new.join(par, F.col("parent_external_id") == F.col("__pext"), "left")
             .join(root, F.col("root_external_id") == F.col("__rext"), "left")
             .drop("__pext", "__rext"))
