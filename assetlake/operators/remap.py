@@ -95,9 +95,10 @@ def parent_and_root_ext(assets: DataFrame, id_map: DataFrame) -> DataFrame:
     ``root_id`` is a hot key by nature (one root may own a large share of all
     assets), so the root lookup uses only the map rows of ids that are roots:
     a small dimension that the size check broadcasts, so no skewed shuffle
-    partition forms. Parent lookups join the size-checked map as well.
+    partition forms. The parent lookup is a plain left join (broadcast when
+    the planner's size estimate allows; AQE splits a hot parent otherwise).
     """
-    par = sized_broadcast(id_map.select(F.col("src_id").alias("__pid"), F.col("external_id").alias("__pext")))
+    par = id_map.select(F.col("src_id").alias("__pid"), F.col("external_id").alias("__pext"))
     root_ids = assets.select(F.col("root_id").alias("src_id")).filter(F.col("src_id").isNotNull()).distinct()
     root = sized_broadcast(id_map.join(root_ids, "src_id", "left_semi")
                            .select(F.col("src_id").alias("__rid"), F.col("external_id").alias("__rext")))
