@@ -34,6 +34,7 @@ def main(argv=None) -> None:
     ap.add_argument("--run-time", default=datetime.now(timezone.utc).isoformat())
     ap.add_argument("--external-id")
     ap.add_argument("--on-invalid", default="fail", choices=["fail", "quarantine"])
+    ap.add_argument("--single-file", action="store_true", help="export as one file (small series only)")
     a = ap.parse_args(argv)
 
     spark = get_spark(app=f"assetlake-{a.kind}-{a.name or ''}")
@@ -43,7 +44,7 @@ def main(argv=None) -> None:
         jobs.run_publish(a.name, src, a.out, a.run_time, state, a.full_read)
         return
     if a.kind == "export-points":
-        jobs.export_points_text(src, a.out, a.external_id)
+        jobs.export_points_text(src, a.out, a.external_id, single_file=a.single_file)
         return
     tgt = ParquetTenant(spark, a.target)
     cfg = JobConfig.from_file(a.config) if a.config else JobConfig()

@@ -44,3 +44,11 @@ def run_counters(src, tgt, cfg: JobConfig) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def observe_counters(df: DataFrame, name: str, **conds):
+    """F13 during a job's own action: ``(df, observation)``; after the write,
+    ``observation.get`` holds ``{counter: count}``. No extra job is run."""
+    from pyspark.sql import Observation
+    obs = Observation(name)
+    return df.observe(obs, *[F.count_if(c).cast("long").alias(k) for k, c in conds.items()]), obs

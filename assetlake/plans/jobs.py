@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import config as K
 from ..config import JobConfig
+from ..operators.metrics import observe_counters
 from ..schemas import PUBLISHED
 from ..sinks.snapshot import SnapshotTable
 from ..sinks.upsert import hierarchy_sync, upsert
@@ -28,6 +29,9 @@ DELTA = {
     "sequence_headers": ("seq-header", 600000), "ts_headers": ("ts-header", 600000),
 }
 
+# Counters of the last run of each job (F13), filled from observed metrics.
+LAST_COUNTERS: dict[str, dict[str, int]] = {}
+
 # Published table layout: (partition timestamp column, clustering columns).
 LAYOUT = {
     "raw": ("last_updated_time", ["db_name", "table_name", "last_updated_time"]),
@@ -84,7 +88,7 @@ def run_publish_merge(table: str, src, snapshot: SnapshotTable, keys: list[str],
     return v
 
 
-def export_points_text(src, out_path: str, external_id: str, single_file: bool = True) -> None:
+def export_points_text(src, out_path: str, external_id: str, single_file: bool = False) -> None:
     """TsPointsToFile: one series as ``externalId|timestamp|timestamp_datetime|value`` lines."""
     lines = P.points_text_lines(src, external_id)
     cols = F.split("line", r"\|", 4)
@@ -98,13 +102,26 @@ def run_replicate_events(src, tgt, target: SnapshotTable, cfg: JobConfig, run_ti
                          state: DeltaState | None = None, full_read: bool = False) -> int:
     since = None if (state is None or full_read) else state.read("events-replication")
     prepared = R.prepare_events(src, tgt, cfg, run_time, since_ms=since)
+    prepared, obs = observe_counters(
+        prepared, "replicate_events",
+        events=F.lit(True), assets_mapped=F.size("asset_ids") > 0,
+        data_set_mapped=F.col("data_set_id").isNotNull(),
+        constraint_fixed=F.size(F.map_filter("metadata", lambda k, _: k.startswith("constraintViolation"))) > 0)
     v = _upsert_into(target, prepared, ["external_id"])
+    LAST_COUNTERS["replicate_events"] = obs.get
     if state is not None:
         # new mark = max update time among the rows read (same pushed-down scan)
         state.commit("events-replication", R.scanned(src.events(), run_time, since, R.EVENTS_DELTA_OFFSET_MS))
     return v
 
 
+def assert_unique(df: DataFrame, key: str) -> None:
+    """Fail when two rows share ``key`` (e.g. a hash id collision)."""
+    dup = df.groupBy(key).count().filter(F.col("count") > 1).limit(1).count()
+    if dup:
+        raise ValueError(f"duplicate {key} values")
+
+
 def _upsert_into(target: SnapshotTable, rows: DataFrame, keys: list[str]) -> int:
     current = target.current()
     return target.commit(rows if current is None else upsert(current, rows, keys))
@@ -166,4 +183,6 @@ def run_replicate_assets(src, tgt, target: SnapshotTable, cfg: JobConfig, run_ms
                          on_invalid: str = "fail") -> int:
     """Hierarchy synchronisation: the target snapshot becomes equal to the source per root."""
     prepared = R.prepare_assets(src, tgt, cfg, on_invalid)
-    return target.commit(hierarchy_sync(prepared, tgt.assets(), run_ms))
+    synced = hierarchy_sync(prepared, tgt.assets(), run_ms).checkpoint()
+    assert_unique(synced, "id")  # new ids are xxhash64(external_id): check for collisions
+    return target.commit(synced)

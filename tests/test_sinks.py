@@ -100,7 +100,7 @@ def test_publish_partitioned_overwrite(spark, tenants, tmp_dir):
 def test_text_export_single_file(spark, tenants, tmp_dir):
     src, _ = tenants
     out = os.path.join(tmp_dir, "export")
-    jobs.export_points_text(src, out, "ts:1")
+    jobs.export_points_text(src, out, "ts:1", single_file=True)
     files = glob.glob(os.path.join(out, "part-*"))
     assert len(files) == 1
     lines = open(files[0]).read().splitlines()
@@ -114,6 +114,9 @@ def test_replicate_events_runner_updates_snapshot(spark, tenants, tmp_dir):
     state = DeltaState(spark, os.path.join(tmp_dir, "state"))
     jobs.run_replicate_events(src, tgt, snap, cfg_events(), RUN_TIME, state)
     n1 = snap.current().count()
+    c = jobs.LAST_COUNTERS["replicate_events"]
+    assert c["events"] == R.prepare_events(src, tgt, cfg_events(), RUN_TIME).count()
+    assert 0 < c["assets_mapped"] <= c["events"] and 0 < c["constraint_fixed"] < c["events"]
     jobs.run_replicate_events(src, tgt, snap, cfg_events(), RUN_TIME, state)
     assert snap.current().count() == n1  # re-run is idempotent
     assert state.read("events-replication") is not None
@@ -155,3 +158,11 @@ def test_cli_publish_and_replicate(spark, tenants, tmp_dir):
           "--config", cfg])
     snap = SnapshotTable(spark, os.path.join(tmp_dir, "raw_snap"))
     assert {r[0] for r in snap.current().select("db_name").distinct().collect()} == {"geo"}
+
+
+def test_replicate_assets_runner(spark, tenants, tmp_dir):
+    src, tgt = tenants
+    snap = SnapshotTable(spark, os.path.join(tmp_dir, "assets"))
+    jobs.run_replicate_assets(src, tgt, snap, cfg_assets(), RUN_MS, on_invalid="quarantine")
+    out = snap.current()
+    assert out.select("external_id").distinct().count() == out.count()
