@@ -12,7 +12,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import config as K
 from ..config import JobConfig
 from ..functions.scalars import clamp_value, dynamic_text, ext_id_fallback, put_metadata
 from ..operators import filters as flt
@@ -195,4 +194,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: _q(fn) for name, fn in Q.items()}
 
 
-__all__ = ["queries", "tenants", "K", "hierarchy_sync"]
+__all__ = ["queries", "tenants"]

@@ -1,6 +1,5 @@
 """Allow/deny semantics (D1-D5, Q1, Q15) and foreign-key remapping."""
 
-from pyspark.sql import functions as F
 
 from assetlake.operators import filters as flt
 from assetlake.operators import remap

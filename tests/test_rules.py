@@ -2,7 +2,6 @@
 
 import math
 
-from pyspark.sql import functions as F
 
 from assetlake.functions.scalars import MAX_TIMESTAMP_MS, clamp_value, full_match, iso_instant
 from assetlake.operators.rules import (DESCRIPTION_KEY, END_KEY, ORIGINAL_FILE_NAME_KEY, START_KEY, cap_event_end,
