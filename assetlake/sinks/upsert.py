@@ -32,6 +32,7 @@ def hierarchy_sync(prepared: DataFrame, target: DataFrame, run_ms: int) -> DataF
     ``root_external_id``). New assets get ``id = xxhash64(external_id)``;
     parent and root ids are resolved through the new table's external ids.
     """
+    prepared = prepared.checkpoint()  # read four times below; computed once
     tgt = remap.parent_and_root_ext(target.drop("parent_external_id"), remap.id_to_ext(target))
     plan = hierarchy_diff(prepared, tgt)
     scope = prepared.select(F.col("root_external_id").alias("__root")).distinct()
