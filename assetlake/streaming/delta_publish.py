@@ -61,3 +61,23 @@ def run_hourly_rollup(spark: SparkSession, source_dir: str, schema: T.StructType
     (hourly_rollup(stream).writeStream.outputMode("append").format("parquet")
      .option("path", out_path).option("checkpointLocation", checkpoint_location)
      .trigger(availableNow=True).start().awaitTermination())
+
+
+def hourly_rollup_snapshot(spark: SparkSession, points_stream: DataFrame, snapshot_path: str,
+                           checkpoint_location: str) -> DataFrame:
+    """Run the hourly rollup over all available input and return the result table.
+
+    Update mode emits the hours each micro-batch changed; every micro-batch is
+    upserted on (id, hour) into a versioned snapshot, so the snapshot holds
+    every hour, including those the watermark has not closed yet, and nothing
+    is gathered on the driver.
+    """
+    snap = SnapshotTable(spark, snapshot_path)
+
+    def apply(batch: DataFrame, epoch_id: int) -> None:
+        current = snap.current()
+        snap.commit(batch if current is None else upsert(current, batch, ["id", "hour"]))
+
+    (hourly_rollup(points_stream).writeStream.outputMode("update").foreachBatch(apply)
+     .option("checkpointLocation", checkpoint_location).trigger(availableNow=True).start().awaitTermination())
+    return snap.current()
