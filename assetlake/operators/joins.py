@@ -20,11 +20,34 @@ def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFr
     count is then a cheap read, the join reads the stored copy, and a lost
     executor does not force the dimension's lineage to be recomputed.
     """
+    return sized_dim(df, max_rows)[0]
+
+
+def sized_dim(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
+    """``sized_broadcast`` that also says whether the dimension is broadcast."""
     dim = df.checkpoint(eager=True)
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    small = dim.limit(max_rows + 1).count() <= max_rows
+    return (F.broadcast(dim) if small else dim), small
 
 
 def list_frame(spark, values: list[str], name: str = "value") -> DataFrame:
     """A one-column frame from a (driver-side, config-sized) list of strings."""
     return spark.createDataFrame([(v,) for v in values], f"{name} string")
+
+
+def salted_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, salts: int,
+                how: str = "inner") -> DataFrame:
+    """Equi-join that spreads hot fact keys over ``salts`` tasks.
+
+    Each fact row gets a salt from a hash of the whole row; the dimension is
+    replicated once per salt value, and the join runs on (key, salt). A key
+    that holds a third of the fact rows is then handled by ``salts`` tasks
+    instead of one. The dimension grows ``salts`` times, so use this for a
+    dimension too large to broadcast but much smaller than the fact.
+    """
+    if salts <= 1:
+        return fact.join(dim, fact[fact_key] == dim[dim_key], how)
+    f = fact.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(salts)))
+    d = dim.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    return (f.join(d, (f[fact_key] == d[dim_key]) & (f["__salt"] == d["__salt"]), how)
+            .drop(f["__salt"]).drop(d["__salt"]))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import non_blank
-from .joins import sized_broadcast
+from .joins import salted_join, sized_broadcast, sized_dim
 
 
 def id_to_ext(df: DataFrame, id_col: str = "id", ext_col: str = "external_id") -> DataFrame:
@@ -57,17 +57,23 @@ def remap_scalar(df: DataFrame, column: str, trans: DataFrame, out: str | None =
             .withColumn(out, F.col("__v")).drop("__k", "__v"))
 
 
-def map_array(df: DataFrame, key: str, column: str, mapping: DataFrame) -> DataFrame:
+def map_array(df: DataFrame, key: str, column: str, mapping: DataFrame, salts: int = 1) -> DataFrame:
     """Map every element of an array through ``mapping(k, v)``.
 
     Unmapped elements are dropped; order and duplicates are kept; rows with
     empty or NULL arrays survive with an empty array. ``key`` must identify
     a row. Work is proportional to the number of array elements; no group
-    holds more than one row's elements.
+    holds more than one row's elements. When the mapping is too large to
+    broadcast, ``salts`` > 1 spreads a hot element (one asset linked from a
+    large share of the rows) over that many tasks.
     """
-    m = sized_broadcast(mapping.select(F.col("k").alias("__e"), F.col("v").alias("__v")))
+    m, small = sized_dim(mapping.select(F.col("k").alias("__e"), F.col("v").alias("__v")))
     elems = df.select(F.col(key).alias("__key"), F.posexplode(column).alias("__pos", "__e"))
-    mapped = (elems.join(m, "__e")
+    if salts > 1 and not small:
+        joined = salted_join(elems, m.withColumnRenamed("__e", "__e2"), "__e", "__e2", salts).drop("__e2")
+    else:
+        joined = elems.join(m, "__e")
+    mapped = (joined
               .groupBy("__key")
               .agg(F.array_sort(F.collect_list(F.struct("__pos", "__v"))).alias("__m")))
     elem_type = mapping.schema["v"].dataType.simpleString()
@@ -77,9 +83,10 @@ def map_array(df: DataFrame, key: str, column: str, mapping: DataFrame) -> DataF
             .drop("__key", "__m"))
 
 
-def remap_array(df: DataFrame, key: str, column: str, trans: DataFrame) -> DataFrame:
+def remap_array(df: DataFrame, key: str, column: str, trans: DataFrame, salts: int = 1) -> DataFrame:
     """E5: array of source ids -> array of target ids."""
-    return map_array(df, key, column, trans.select(F.col("src_id").alias("k"), F.col("tgt_id").alias("v")))
+    return map_array(df, key, column, trans.select(F.col("src_id").alias("k"), F.col("tgt_id").alias("v")), salts)
+
 
 
 def keep_known(df: DataFrame, key: str, column: str, known: DataFrame, known_col: str = "external_id") -> DataFrame:

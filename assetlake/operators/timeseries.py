@@ -45,9 +45,14 @@ def _piece(va, vb, dt):
     return dtd, (va + vb) / 2 * dtd, (va * va + va * vb + vb * vb) / 3 * dtd
 
 
-def hourly_aggregates(points: DataFrame, bucket_ms: int = HOUR_MS, dedup: bool = True) -> DataFrame:
+def hourly_aggregates(points: DataFrame, bucket_ms: int = HOUR_MS, dedup: bool = True,
+                      time_weighted: bool = False) -> DataFrame:
     """``points(id, external_id, timestamp, value, is_step)`` -> one row per (id, bucket).
 
+    ``average`` is the mean of the bucket's points; with ``time_weighted`` it is
+    the integral of the (linear or step) signal over the covered part of the
+    bucket divided by the covered time (S1/T).
+
     With ``dedup`` several points of one series at the same millisecond are
     reduced to one (the largest value). The single hash partitioning on
     (id, hour) serves the dedup aggregate, the within-hour window and the
@@ -116,8 +121,9 @@ def hourly_aggregates(points: DataFrame, bucket_ms: int = HOUR_MS, dedup: bool =
               .when(prev_t.isNotNull(), F.when(step, prev_v).otherwise(_lin(prev_v, prev_t, first_v, first_t, H))))
     step_interp = F.when(first_t == H, first_v).when(prev_t.isNotNull(), prev_v)
     cvar = F.when(T > 0, F.greatest(F.lit(0.0), S2 / T - (S1 / T) * (S1 / T)))
+    average = F.when(T > 0, S1 / T) if time_weighted else F.col("average")
     return b.select(
-        "id", "external_id", "hour", "average", "max", "min", "count", "sum",
+        "id", "external_id", "hour", average.alias("average"), "max", "min", "count", "sum",
         interp.alias("interpolation"), step_interp.alias("step_interpolation"),
         cvar.alias("continuous_variance"), "discrete_variance",
         (F.col("tv_in") + tv_a + tv_b).alias("total_variation"))

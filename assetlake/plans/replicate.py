@@ -49,13 +49,14 @@ def _map_data_set(df: DataFrame, src, tgt, cfg: JobConfig) -> DataFrame:
 
 # ------------------------------------------------------------------ events
 def prepare_events(src, tgt, cfg: JobConfig, run_time=None, since_ms: int | None = None,
-                   offset_ms: int = EVENTS_DELTA_OFFSET_MS) -> DataFrame:
-    """A16-A19, D1, E11, E5, E3, K8-K11, C16."""
+                   offset_ms: int = EVENTS_DELTA_OFFSET_MS, salts: int = 1) -> DataFrame:
+    """A16-A19, D1, E11, E5, E3, K8-K11, C16. ``salts`` spreads hot asset links
+    over several tasks when the asset translation is too large to broadcast."""
     ev = _scan(src.events(), run_time, since_ms, offset_ms)
     ev = flt.data_set_filter(ev, src.data_sets(), cfg.allow_list(K.DATA_SET_EXT_ID))
     ev = ev.withColumn("external_id", ext_id_fallback("external_id", "id"))
     if cfg.flag(K.CONTEXTUALIZATION):
-        ev = remap.remap_array(ev, "id", "asset_ids", remap.translation(src.assets(), tgt.assets()))
+        ev = remap.remap_array(ev, "id", "asset_ids", remap.translation(src.assets(), tgt.assets()), salts)
     else:
         ev = ev.withColumn("asset_ids", F.array().cast("array<bigint>"))
     ev = _map_data_set(ev, src, tgt, cfg)
@@ -68,13 +69,14 @@ def prepare_events(src, tgt, cfg: JobConfig, run_time=None, since_ms: int | None
 
 # ------------------------------------------------------------------- files
 def prepare_files(src, tgt, cfg: JobConfig, run_time=None, with_content: bool = True,
-                  since_ms: int | None = None, offset_ms: int = FILES_METADATA_DELTA_OFFSET_MS) -> DataFrame:
+                  since_ms: int | None = None, offset_ms: int = FILES_METADATA_DELTA_OFFSET_MS,
+                  salts: int = 1) -> DataFrame:
     """A5/A4, A19, D1, E11, E5, E3, E8, K12, C17."""
     f = _scan(src.files(), run_time, since_ms, offset_ms)
     f = flt.data_set_filter(f, src.data_sets(), cfg.allow_list(K.DATA_SET_EXT_ID))
     f = f.withColumn("external_id", ext_id_fallback("external_id", "id"))
     if cfg.flag(K.CONTEXTUALIZATION):
-        f = remap.remap_array(f, "id", "asset_ids", remap.translation(src.assets(), tgt.assets()))
+        f = remap.remap_array(f, "id", "asset_ids", remap.translation(src.assets(), tgt.assets()), salts)
     else:
         f = f.withColumn("asset_ids", F.array().cast("array<bigint>"))
     f = _map_data_set(f, src, tgt, cfg)

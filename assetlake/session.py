@@ -67,3 +67,19 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return base.rstrip("/") + "/" + name
+
+
+def cluster_settings(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 * 1024 * 1024
+                     ) -> dict[str, str]:
+    """Sizing for a cluster run: enough shuffle partitions that each holds about
+    ``target_partition_bytes`` of the largest shuffled input (AQE coalesces the
+    small ones at run time and splits skewed ones), and file splits of the same
+    size so scan tasks fit executor memory. For 100 TB on 1000 executors x 8
+    cores this gives ~400k shuffle partitions and 256 MB splits."""
+    partitions = max(2 * total_cores, -(-int(input_bytes) // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }

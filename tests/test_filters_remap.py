@@ -73,3 +73,25 @@ def test_scalar_remap_unmapped_is_null(spark):
     df = spark.createDataFrame([(1,), (2,), (None,)], "data_set_id long")
     got = sorted([r[0] for r in remap.remap_scalar(df, "data_set_id", tr).collect()], key=lambda x: (x is None, x))
     assert got == [10, None, None]
+
+
+def test_salted_join_equals_plain_join(spark):
+    from assetlake.operators.joins import salted_join
+    fact = spark.createDataFrame([(i, 1 if i % 3 else i) for i in range(300)], "row long, k long")
+    dim = spark.createDataFrame([(k, k * 10) for k in range(0, 300, 3)] + [(1, 10)], "dk long, v long")
+    plain = fact.join(dim, fact.k == dim.dk).select("row", "v")
+    salted = salted_join(fact, dim, "k", "dk", 8).select("row", "v")
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, salted.collect()))
+
+
+def test_remap_array_salted_when_not_broadcast(spark, monkeypatch):
+    from assetlake.operators import joins
+    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 0)
+    src = spark.createDataFrame([(1, "A"), (2, "B")], "id long, external_id string")
+    tgt = spark.createDataFrame([(100, "A"), (200, "B")], "id long, external_id string")
+    tr = remap.translation(src, tgt)
+    facts = spark.createDataFrame([(i, [1, 2, 1]) for i in range(50)], "id long, asset_ids array<bigint>")
+    out = {r["id"]: r["asset_ids"] for r in
+           remap.map_array(facts, "id", "asset_ids", tr.selectExpr("src_id AS k", "tgt_id AS v"), salts=4,
+                           ).collect()}
+    assert all(v == [100, 200, 100] for v in out.values()) and len(out) == 50

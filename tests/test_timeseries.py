@@ -69,3 +69,17 @@ def test_batches_at_most_n(spark):
         out = batch_rows(df, F.pmod(F.col("x"), F.lit(3)), "x", 20, spread=spread)
         sizes = [r[0] for r in out.select(F.size("items")).collect()]
         assert max(sizes) <= 20 and sum(sizes) == 1000
+
+
+def test_time_weighted_average(spark):
+    rows = [(5, "w", 0, 0.0, False), (5, "w", H // 2, 10.0, False), (5, "w", H, 10.0, False)]
+    out = {(r["id"], r["hour"]): r for r in hourly_aggregates(
+        spark.createDataFrame(rows, SCHEMA), time_weighted=True).collect()}
+    # ramp 0->10 over the first half (mean 5), flat 10 over the second half: 7.5
+    assert out[(5, 0)]["average"] == pytest.approx(7.5)
+
+
+def test_cluster_settings():
+    from assetlake.session import cluster_settings
+    conf = cluster_settings(100 * 1024 ** 4, 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
