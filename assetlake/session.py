@@ -57,7 +57,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached when the cluster names no folder (local runs, tests).
+        if not sc.master.startswith("local"):
+            # a machine-local folder is not visible to executors on a cluster
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
+        # Only reached in local runs and tests, where the driver is the executor.
         configured = tempfile.mkdtemp(prefix="assetlake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
