@@ -32,7 +32,16 @@ from .params import (DELTA_MARK_MS, DELTA_OFFSET_MS, RUN_MS, RUN_TIME, cfg_asset
                      cfg_raw, cfg_relationships, cfg_sequences, cfg_ts)
 
 
+def prepare_session(spark: SparkSession) -> None:
+    """What the jobs rely on, whatever session calls them: UTC for epoch-millis
+    conversions, and a checkpoint folder (the session's own when it has one)."""
+    from ..session import ensure_checkpoint_dir
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ensure_checkpoint_dir(spark)
+
+
 def tenants(spark: SparkSession, sf_dir: str) -> tuple[DerivedTenant, DerivedTenant]:
+    prepare_session(spark)
     t = Tables(spark, sf_dir)
     return DerivedTenant(t, "source"), DerivedTenant(t, "target")
 
@@ -199,6 +208,7 @@ def q_stream_hour_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from ..session import scratch_dir
     from ..streaming.delta_publish import hourly_rollup_snapshot
+    prepare_session(spark)
     tables = Tables(spark, sf_dir)
     src = DerivedTenant(tables, "source")
     schema = spark.read.parquet(tables.path("events")).schema

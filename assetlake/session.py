@@ -26,6 +26,8 @@ DEFAULT_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.parquet.aggregatePushdown": "true",
+    # delete checkpoint files of dimensions and levels once they are unreachable
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
