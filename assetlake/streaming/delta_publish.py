@@ -35,6 +35,8 @@ def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType | s
     snap = SnapshotTable(spark, snapshot_path)
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
+        if batch.isEmpty():
+            return
         current = snap.current()
         snap.commit(batch if current is None else upsert(current, batch, keys))
 
@@ -75,9 +77,19 @@ def hourly_rollup_snapshot(spark: SparkSession, points_stream: DataFrame, snapsh
     snap = SnapshotTable(spark, snapshot_path)
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
+        if batch.isEmpty():  # watermark-only micro-batches change nothing
+            return
         current = snap.current()
         snap.commit(batch if current is None else upsert(current, batch, ["id", "hour"]))
 
-    (hourly_rollup(points_stream).writeStream.outputMode("update").foreachBatch(apply)
-     .option("checkpointLocation", checkpoint_location).trigger(availableNow=True).start().awaitTermination())
+    # A watermark-only micro-batch emits nothing in update mode; expired state
+    # is evicted by the next run's first batch instead.
+    key = "spark.sql.streaming.noDataMicroBatches.enabled"
+    previous = spark.conf.get(key, "true")
+    spark.conf.set(key, "false")
+    try:
+        (hourly_rollup(points_stream).writeStream.outputMode("update").foreachBatch(apply)
+         .option("checkpointLocation", checkpoint_location).trigger(availableNow=True).start().awaitTermination())
+    finally:
+        spark.conf.set(key, previous)
     return snap.current()
