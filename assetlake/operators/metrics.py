@@ -18,27 +18,25 @@ def _counts(df: DataFrame, **conds) -> DataFrame:
 
 def run_counters(src, tgt, cfg: JobConfig) -> DataFrame:
     """Counters of the replicators: missing external ids, mapped / unmapped links,
-    root assets, removed labels, cleaned file names."""
-    ev = src.events()
-    ev_map = remap.remap_array(ev.select("id", "asset_ids"), "id", "asset_ids",
-                               remap.translation(src.assets(), tgt.assets()))
-    ev_ds = remap.remap_scalar(ev.select("id", "data_set_id"), "data_set_id",
-                               remap.translation(src.data_sets(), tgt.data_sets()))
+    root assets, removed labels, cleaned file names. One global aggregate per
+    resource (partial aggregation on every task, a tiny final merge)."""
+    ev = src.events().select("id", "external_id", "asset_ids", "data_set_id")
+    ev = remap.remap_array(ev, "id", "asset_ids", remap.translation(src.assets(), tgt.assets()))
+    ev = remap.remap_scalar(ev, "data_set_id", remap.translation(src.data_sets(), tgt.data_sets()))
     assets = remap.parent_and_root_ext(src.assets(), remap.id_to_ext(src.assets()))
-    files = src.files()
-    kept = remap.keep_known(files.select("id", F.col("labels").alias("kept")), "id", "kept", tgt.labels())
+    files = src.files().select("id", "name", "labels")
+    files = remap.keep_known(files.withColumn("kept", F.col("labels")), "id", "kept", tgt.labels())
     name = F.coalesce(F.col("name"), F.lit(""))
     parts = [
-        _counts(ev, events_missing_external_id=F.col("external_id").isNull()),
-        _counts(ev_map, events_assets_mapped=F.size("asset_ids") > 0),
-        _counts(ev_ds, events_data_set_mapped=F.col("data_set_id").isNotNull(),
+        _counts(ev, events_missing_external_id=F.col("external_id").isNull(),
+                events_assets_mapped=F.size("asset_ids") > 0,
+                events_data_set_mapped=F.col("data_set_id").isNotNull(),
                 events_data_set_not_mapped=F.col("data_set_id").isNull()),
         _counts(assets, assets_root=F.col("parent_external_id").isNull()),
-        _counts(files, files_forward_slash=name.contains("/"), files_back_slash=name.contains("\\"),
-                files_cleaned=clean_file_name(name) != name),
-        kept.join(files.select("id", "labels"), "id").agg(
-            F.sum(F.size("labels") - F.size("kept")).cast("long").alias("value"))
-        .select(F.lit("files_labels_removed").alias("counter"), "value"),
+        _sums(files, files_forward_slash=name.contains("/").cast("long"),
+              files_back_slash=name.contains("\\").cast("long"),
+              files_cleaned=(clean_file_name(name) != name).cast("long"),
+              files_labels_removed=(F.size("labels") - F.size("kept")).cast("long")),
     ]
     out = parts[0]
     for p in parts[1:]:
@@ -46,6 +44,12 @@ def run_counters(src, tgt, cfg: JobConfig) -> DataFrame:
     return out
 
 
+def _sums(df: DataFrame, **exprs) -> DataFrame:
+    row = df.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(k) for k, c in exprs.items()])
+    return row.select(F.explode(F.map_from_arrays(
+        F.array(*[F.lit(k) for k in exprs]), F.array(*[F.col(k) for k in exprs]))).alias("counter", "value"))
+
+
 def observe_counters(df: DataFrame, name: str, **conds):
     """F13 during a job's own action: ``(df, observation)``; after the write,
     ``observation.get`` holds ``{counter: count}``. No extra job is run."""
