@@ -49,7 +49,7 @@ def hierarchy_sync(prepared: DataFrame, target: DataFrame, run_ms: int) -> DataF
                     F.coalesce("t_created", F.lit(run_ms)).alias("created_time"),
                     F.when(F.col("op") == "unchanged", F.col("t_updated")).otherwise(F.lit(run_ms))
                     .alias("last_updated_time")))
-    new = out_of_scope.unionByName(kept)
+    new = out_of_scope.unionByName(kept).checkpoint()  # read by three branches below
     ids = new.select(F.col("external_id").alias("__ext"), F.col("id").alias("__id"))
     par = ids.select(F.col("__ext").alias("__pext"), F.col("__id").alias("parent_id"))
     # root external ids are hot keys: resolve them through the (small) set of roots
