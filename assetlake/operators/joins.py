@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import threading
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 # A dimension is broadcast only when it provably holds at most this many
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def sized_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Materialize a dimension once, then broadcast it only if it has at most
     ``max_rows`` rows; otherwise return it for a shuffle join.
 
@@ -23,13 +25,32 @@ def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFr
     return sized_dim(df, max_rows)[0]
 
 
-def sized_dim(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
-    """``sized_broadcast`` that also says whether the dimension is broadcast."""
-    dim = df.checkpoint(eager=True)
-    small = dim.limit(max_rows + 1).count() <= max_rows
+def sized_dim(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
+    """``sized_broadcast`` that also says whether the dimension is broadcast.
+
+    The row count is an observed metric of the checkpoint job itself, so the
+    size check costs no extra job; if the metric does not arrive, a limited
+    count of the stored copy decides.
+    """
+    if max_rows is None:
+        max_rows = BROADCAST_MAX_ROWS
+    obs = Observation()
+    dim = df.observe(obs, F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+    n = _observed(obs, "n")
+    if n is None:
+        n = dim.limit(max_rows + 1).count()
+    small = n <= max_rows
     return (F.broadcast(dim) if small else dim), small
 
 
+def _observed(obs: Observation, name: str, timeout_s: float = 60.0):
+    box: dict = {}
+    t = threading.Thread(target=lambda: box.setdefault("v", obs.get), daemon=True)
+    t.start()
+    t.join(timeout_s)
+    return box["v"].get(name) if "v" in box else None
+
+
 def list_frame(spark, values: list[str], name: str = "value") -> DataFrame:
     """A one-column frame from a (driver-side, config-sized) list of strings."""
     return spark.createDataFrame([(v,) for v in values], f"{name} string")

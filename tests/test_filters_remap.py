@@ -87,6 +87,9 @@ def test_salted_join_equals_plain_join(spark):
 def test_remap_array_salted_when_not_broadcast(spark, monkeypatch):
     from assetlake.operators import joins
     monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 0)
+    calls = []
+    real = remap.salted_join
+    monkeypatch.setattr(remap, "salted_join", lambda *a, **k: calls.append(1) or real(*a, **k))
     src = spark.createDataFrame([(1, "A"), (2, "B")], "id long, external_id string")
     tgt = spark.createDataFrame([(100, "A"), (200, "B")], "id long, external_id string")
     tr = remap.translation(src, tgt)
@@ -95,3 +98,4 @@ def test_remap_array_salted_when_not_broadcast(spark, monkeypatch):
            remap.map_array(facts, "id", "asset_ids", tr.selectExpr("src_id AS k", "tgt_id AS v"), salts=4,
                            ).collect()}
     assert all(v == [100, 200, 100] for v in out.values()) and len(out) == 50
+    assert calls, "the salted join path was not taken"
