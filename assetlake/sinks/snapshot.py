@@ -15,9 +15,14 @@ from pyspark.sql import functions as F
 
 
 class SnapshotTable:
+    LOG_SCHEMA = "version bigint, committed_at bigint"
+
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
+        # open-or-create: an empty append gives the log folder its schema, so
+        # reading a new table's log never fails
+        spark.createDataFrame([], self.LOG_SCHEMA).write.mode("append").parquet(f"{self.path}/_log")
 
     def _log(self) -> DataFrame | None:
         try:
@@ -43,6 +48,6 @@ class SnapshotTable:
             w = w.partitionBy(*partition_by)
         w.parquet(f"{self.path}/v={v}")
         now = int(datetime.now(timezone.utc).timestamp() * 1000)
-        self.spark.createDataFrame([(v, now)], "version bigint, committed_at bigint") \
+        self.spark.createDataFrame([(v, now)], self.LOG_SCHEMA) \
             .write.mode("append").parquet(f"{self.path}/_log")
         return v

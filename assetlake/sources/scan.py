@@ -63,9 +63,13 @@ class DeltaState:
     succeeded (at-least-once with idempotent upserts).
     """
 
+    SCHEMA = "identifier string, mark bigint, committed_at bigint"
+
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
+        # open-or-create, so reading the marks of a new state table never fails
+        spark.createDataFrame([], self.SCHEMA).write.mode("append").parquet(path)
 
     def _table(self) -> DataFrame | None:
         try:
@@ -95,7 +99,6 @@ class DeltaState:
         if mark is None:
             return None
         now = int(datetime.now(timezone.utc).timestamp() * 1000)
-        self.spark.createDataFrame([(identifier, int(mark), now)],
-                                   "identifier string, mark bigint, committed_at bigint") \
+        self.spark.createDataFrame([(identifier, int(mark), now)], self.SCHEMA) \
             .write.mode("append").parquet(self.path)
         return int(mark)
