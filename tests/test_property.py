@@ -100,3 +100,41 @@ def test_event_rules_match_sequential_logic(spark, rows):
            for r in event_rules(df).collect()}
     for i, (s, e, d) in enumerate(rows):
         assert got[i] == brute_rules(s, e, d), (s, e, d)
+
+
+# ---------------------------------------------------------- hierarchy diff
+from assetlake.operators.hierarchy import hierarchy_diff  # noqa: E402
+
+assets = st.dictionaries(st.sampled_from([f"a{i}" for i in range(12)]),
+                         st.tuples(st.sampled_from(["R1", "R2", "R3"]), st.sampled_from(["x", "y"])),
+                         max_size=10)
+
+
+def brute_diff(src, tgt):
+    scope = {root for root, _ in src.values()}
+    ops = {}
+    for ext, (root, name) in src.items():
+        if ext not in tgt:
+            ops[ext] = "create"
+        else:
+            ops[ext] = "unchanged" if tgt[ext] == (root, name) else "update"
+    for ext, (root, _) in tgt.items():
+        if ext not in src and root in scope:
+            ops[ext] = "delete"
+    return ops
+
+
+@settings(**SETTINGS)
+@given(src=assets, tgt=assets)
+def test_hierarchy_diff_matches_brute_force(spark, src, tgt):
+    schema = ("external_id string, root_external_id string, name string, parent_external_id string, "
+              "description string, source string, data_set_id long, labels array<string>, "
+              "metadata map<string,string>")
+
+    def frame(d):
+        return spark.createDataFrame([(e, r, n, None, None, None, None, [], {}) for e, (r, n) in d.items()]
+                                     or [("__none", "__none", "", None, None, None, None, [], {})], schema) \
+            .filter("external_id <> '__none'")
+
+    got = {r["external_id"]: r["op"] for r in hierarchy_diff(frame(src), frame(tgt)).collect()}
+    assert got == brute_diff(src, tgt)
