@@ -138,3 +138,22 @@ def test_hierarchy_diff_matches_brute_force(spark, src, tgt):
 
     got = {r["external_id"]: r["op"] for r in hierarchy_diff(frame(src), frame(tgt)).collect()}
     assert got == brute_diff(src, tgt)
+
+
+# ------------------------------------------------------------------ upsert
+from assetlake.sinks.upsert import upsert  # noqa: E402
+
+rows_kv = st.dictionaries(st.one_of(st.none(), st.sampled_from("abcdefgh")), st.integers(0, 9), max_size=8)
+
+
+@settings(**SETTINGS)
+@given(tgt=rows_kv, src=rows_kv)
+def test_upsert_matches_dict_replace(spark, tgt, src):
+    t = spark.createDataFrame([(k, v, "old") for k, v in tgt.items()], "k string, v long, w string")
+    s = spark.createDataFrame([(k, v) for k, v in src.items()], "k string, v long")
+    key = lambda r: (r[0], r[1], r[2] or "")
+    got = sorted(((r["k"] or "", r["v"], r["w"]) for r in upsert(t, s, ["k"]).collect()), key=key)
+    # NULL keys never match, so a NULL-keyed target row survives next to a NULL-keyed source row
+    want = [(k or "", v, "old") for k, v in tgt.items() if k is None or k not in src]
+    want += [(k or "", v, None) for k, v in src.items()]
+    assert got == sorted(want, key=key)
