@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import BROADCAST_MAX_ROWS, sized_broadcast
+from . import joins
+from .joins import counted_checkpoint, sized_broadcast
 
 MAX_DEPTH = 1000
 
@@ -23,26 +24,25 @@ def path_depth_children(assets: DataFrame, max_depth: int = MAX_DEPTH) -> DataFr
     parents, cycles) get NULL depth and path.
     """
     edges = assets.select("id", "parent_id").filter(F.col("id").isNotNull())
-    level = (edges.filter(F.col("parent_id").isNull())
-             .select("id", F.lit(0).cast("long").alias("depth"), F.array("id").alias("path"))
-             .checkpoint())
+    level, n = counted_checkpoint(
+        edges.filter(F.col("parent_id").isNull())
+        .select("id", F.lit(0).cast("long").alias("depth"), F.array("id").alias("path")))
     levels = [level]
     for _ in range(max_depth):
-        # the level is materialized, so its size is known cheaply: broadcast a
+        if n == 0:
+            break
+        # the level's size is known from its own checkpoint job: broadcast a
         # small frontier (a parent with a huge number of children then never
         # lands in one sort-merge partition), shuffle-join a large one
         frontier = level.select(F.col("id").alias("parent_id"), "depth", "path")
-        if level.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS:
+        if n <= joins.BROADCAST_MAX_ROWS:
             frontier = F.broadcast(frontier)
-        nxt = (edges.join(frontier, "parent_id")
-               .filter(~F.array_contains("path", F.col("id")))
-               .select("id", (F.col("depth") + 1).alias("depth"),
-                       F.concat("path", F.array("id")).alias("path"))
-               .checkpoint())
-        if nxt.isEmpty():
-            break
-        levels.append(nxt)
-        level = nxt
+        level, n = counted_checkpoint(
+            edges.join(frontier, "parent_id")
+            .filter(~F.array_contains("path", F.col("id")))
+            .select("id", (F.col("depth") + 1).alias("depth"), F.concat("path", F.array("id")).alias("path")))
+        if n:
+            levels.append(level)
     placed = levels[0]
     for lv in levels[1:]:
         placed = placed.unionByName(lv)

@@ -25,6 +25,14 @@ def sized_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     return sized_dim(df, max_rows)[0]
 
 
+def counted_checkpoint(df: DataFrame) -> tuple[DataFrame, int]:
+    """``checkpoint()`` that also returns the row count, observed by the same job."""
+    obs = Observation()
+    stored = df.observe(obs, F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+    n = _observed(obs, "n")
+    return stored, (stored.count() if n is None else int(n))
+
+
 def sized_dim(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
     """``sized_broadcast`` that also says whether the dimension is broadcast.
 
@@ -34,11 +42,7 @@ def sized_dim(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bo
     """
     if max_rows is None:
         max_rows = BROADCAST_MAX_ROWS
-    obs = Observation()
-    dim = df.observe(obs, F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
-    n = _observed(obs, "n")
-    if n is None:
-        n = dim.limit(max_rows + 1).count()
+    dim, n = counted_checkpoint(df)
     small = n <= max_rows
     return (F.broadcast(dim) if small else dim), small
 
