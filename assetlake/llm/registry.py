@@ -7,6 +7,8 @@ import importlib
 #: query name -> (module, function, SQL or None)
 ENTRIES = {
     "op1_exact_dedup": ("exact_dedup", "q_exact_dedup", "Q_SQL"),
+    "op2_language_id": ("langid", "q_language_id", None),
+    "op9_warc": ("warc", "q_warc", None),
     "op10_sentencepiece": ("sentencepiece_codec", "q_sentencepiece", None),
 }
 
