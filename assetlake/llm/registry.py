@@ -8,6 +8,8 @@ import importlib
 ENTRIES = {
     "op1_exact_dedup": ("exact_dedup", "q_exact_dedup", "Q_SQL"),
     "op2_language_id": ("langid", "q_language_id", None),
+    "op6_forest_dedup": ("forest_dedup", "q_forest_dedup", None),
+    "op8_minhash_dedup": ("minhash_dedup", "q_minhash_dedup", None),
     "op9_warc": ("warc", "q_warc", None),
     "op10_sentencepiece": ("sentencepiece_codec", "q_sentencepiece", None),
 }
