@@ -8,7 +8,11 @@ import importlib
 ENTRIES = {
     "op1_exact_dedup": ("exact_dedup", "q_exact_dedup", "Q_SQL"),
     "op2_language_id": ("langid", "q_language_id", None),
+    "op3_suffix_dedup": ("suffix_dedup", "q_suffix_dedup", None),
+    "op4_secret_scan": ("secret_scan", "q_secret_scan", None),
+    "op5_line_dedup": ("line_dedup", "q_line_dedup", None),
     "op6_forest_dedup": ("forest_dedup", "q_forest_dedup", None),
+    "op7_packing": ("packing", "q_packing", None),
     "op8_minhash_dedup": ("minhash_dedup", "q_minhash_dedup", None),
     "op9_warc": ("warc", "q_warc", None),
     "op10_sentencepiece": ("sentencepiece_codec", "q_sentencepiece", None),
