@@ -15,7 +15,7 @@ once its run is unique or past ``min_bytes``. What that decides:
 * a window that holds a unique run whole is unique.
 
 What is left are windows that overlap the ends of a repeat by less than a chunk
-(and the rare ones without a whole chunk): their 128-bit digests are counted,
+(and the rare ones without a whole chunk): their 96-bit digests are counted,
 together with those of the covered windows that could equal one of them, taken
 from one place of each repeated run. The result is exact for every byte; texts
 equal as a whole are ranked once.
@@ -36,11 +36,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from assetlake.llm.common import bounded_batches, fresh_path, store, table, unclash
+from assetlake.llm.common import bounded_batches, discard, fresh_path, store, table, unclash
 
 MIN_BYTES = 400
 CONTEXT = 16
-MEAN_CHUNK = 48
+MEAN_CHUNK = 24
 
 _GEAR = np.random.default_rng(77).integers(0, 1 << 32, 256, dtype=np.uint32)
 KEY = ["uid", "u2"]
@@ -126,7 +126,8 @@ def double(rows: DataFrame, min_bytes: int) -> DataFrame:
     here = (F.struct(*KEY, "i") == F.col("place")).alias("first")
     ranks = _rank(rows, ["h"], "suffix-rank0")
     cur = store(rows.join(ranks, "h").select(*KEY, "i", "len", F.col("rank").alias("r"), here), "suffix-level0")
-    found, level = [cur.select(*KEY, code(0, 0))], 0
+    found, level, over = [cur.select(*KEY, code(0, 0))], 0, [cur]
+    discard(ranks)
     _tidy(spark)
     while not cur.where(F.col("len") < min_bytes).isEmpty():
         step = 1 << level
@@ -140,6 +141,8 @@ def double(rows: DataFrame, min_bytes: int) -> DataFrame:
         pairs = store(pairs.where("r2 is not null").select(*KEY, "i", (F.col("len") + F.col("len2")).alias("len"), "r", "r2"), "suffix-pairs")
         ranks = _rank(pairs, ["r", "r2"], "suffix-rank")
         told = store(pairs.join(ranks, ["r", "r2"], "left").select(*KEY, "i", "len", "rank", here), "suffix-told")
+        discard(pairs, ranks)
+        over.append(told)
         found.append(told.where("rank is null").select(*KEY, code(level, 1)))
         cur = told.where("rank is not null").withColumnRenamed("rank", "r")
         found.append(cur.where(F.col("len") >= min_bytes).select(*KEY, code(level, 0)))
@@ -147,7 +150,9 @@ def double(rows: DataFrame, min_bytes: int) -> DataFrame:
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
-    return store(out.groupBy(*KEY).agg(F.collect_list("code").alias("codes")), "suffix-codes")
+    codes = store(out.groupBy(*KEY).agg(F.collect_list("code").alias("codes")), "suffix-codes")
+    discard(*over)
+    return codes
 
 
 def decide(data: bytes, codes: np.ndarray, min_bytes: int, mean: int):
@@ -194,7 +199,7 @@ def windows(rows: DataFrame, min_bytes: int, mean: int, flagged: bool) -> DataFr
     """
     import xxhash
 
-    schema = pa.schema([("uid", pa.int64()), ("u2", pa.int32()), ("p", pa.int32()), ("d1", pa.int64()), ("d2", pa.int64()), ("h", pa.int64())])
+    schema = pa.schema([("uid", pa.int64()), ("u2", pa.int32()), ("p", pa.int32()), ("d1", pa.int64()), ("d2", pa.int32()), ("h", pa.int64())])
 
     def run(batches):
         digest, short = xxhash.xxh3_128_digest, xxhash.xxh3_64_intdigest
@@ -213,9 +218,9 @@ def windows(rows: DataFrame, min_bytes: int, mean: int, flagged: bool) -> DataFr
                         x = short(data[at[c]:at[c + 1]])
                         chunk[c] = x - (1 << 64) if x >> 63 else x
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(q), uid, np.int64)), pa.array(np.full(len(q), u2, np.int32)), pa.array(q),
-                                                      pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy()), pa.array([chunk[c] for c in ins], pa.int64())], schema=schema)
+                                                      pa.array(d[:, 0].copy()), pa.array(d[:, 1].astype(np.int32)), pa.array([chunk[c] for c in ins], pa.int64())], schema=schema)
 
-    return rows.select(*KEY, "text", "codes", "flags").mapInArrow(run, "uid long, u2 int, p int, d1 long, d2 long, h long")
+    return rows.select(*KEY, "text", "codes", "flags").mapInArrow(run, "uid long, u2 int, p int, d1 long, d2 int, h long")
 
 
 def remove(data: bytes, yes: np.ndarray, min_bytes: int) -> tuple[int, list[tuple[int, int]], bytes]:
@@ -248,10 +253,12 @@ def dedup(docs: DataFrame, min_bytes: int = MIN_BYTES, mean: int = MEAN_CHUNK, w
     # a window covered by a repeated run may equal an undecided one: both have the same first chunk inside
     looked = store(open_.where("h is not null").select("h").distinct(), "suffix-looked")
     flags = store(cut.join(looked, "h").groupBy(*KEY).agg(F.collect_list("i").alias("flags")), "suffix-flags")
+    discard(cut, looked)
     _tidy(spark)
     covered = store(windows(told.join(flags, KEY), min_bytes, mean, True), "suffix-covered")
     again = store(open_.unionByName(covered).groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "suffix-again")
     hits = store(open_.join(again, ["d1", "d2"]).groupBy(*KEY).agg(F.collect_list("p").alias("hits")), "suffix-hits")
+    discard(open_, covered, again)
     _tidy(spark)
     schema = pa.schema([("d", pa.binary()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]
                        + [("spans", pa.list_(pa.list_(pa.int64()))), ("rest", pa.binary())] * with_rest)
