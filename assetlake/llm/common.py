@@ -31,14 +31,46 @@ def store(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def discard(*stored: DataFrame) -> None:
+    """Delete tables made by ``store`` that nothing still to be computed reads."""
+    for df in stored:
+        _delete(df.sparkSession, df.stored_path)
 
 
 def drop_scratch(spark: SparkSession) -> None:
     """Remove this application's intermediate tables; call it once the results are written."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
-        scratch_dir(spark, f"llm-{spark.sparkContext.applicationId}"))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, scratch_dir(spark, f"llm-{spark.sparkContext.applicationId}"))
+
+
+def split_buckets(labelled: DataFrame, cell: int) -> DataFrame:
+    """Cells that compare the members (bucket, id, comp) of every bucket across components.
+
+    A bucket's members outside its largest component are probes; each is compared with every member. Members are dealt
+    into blocks of about ``cell``, probes into blocks of their own, and a cell is one block of each: (bucket, blk, pblk,
+    probe, id, comp). Rows grow with members times probe blocks, so a bucket that is nearly one component is handed on
+    nearly once, and no cell outgrows its task. Buckets within one component are left out.
+    """
+    counts = labelled.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("c"))
+    open_ = store(counts.groupBy("bucket").agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("m"))
+                  .where("m > top.c").select("bucket", F.col("top.comp").alias("main"),
+                                             F.ceil(F.col("m") / F.lit(cell)).cast("long").alias("nb"),
+                                             F.ceil((F.col("m") - F.col("top.c")) / F.lit(cell)).cast("long").alias("no")), "cells-open")
+    rows = labelled.join(open_, "bucket")
+    up_to = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    members = rows.select("bucket", F.pmod(F.xxhash64("id"), "nb").alias("blk"), up_to("no").alias("pblk"), F.lit(False).alias("probe"), "id", "comp")
+    probes = rows.where("comp != main").select("bucket", up_to("nb").alias("blk"), F.pmod(F.xxhash64("id"), "no").alias("pblk"),
+                                               F.lit(True).alias("probe"), "id", "comp")
+    return members.unionByName(probes)
 
 
 def bounded_batches(spark: SparkSession, rows: int = 512) -> None:

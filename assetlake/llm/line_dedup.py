@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assetlake.llm.common import components, store, table, unclash
+from assetlake.llm.common import components, split_buckets, store, table, unclash
 
 SHINGLE = 12
 NUM, DEN = 75, 100
@@ -84,19 +84,15 @@ def line_components(docs: DataFrame) -> DataFrame:
     sigs = store(signatures(rows), "line-sigs")
     exploded = sigs.select("id", F.explode("bands").alias("bucket"))
     buckets = store(exploded.groupBy("bucket").agg(F.min("id").alias("b"), F.count(F.lit(1)).alias("m")).where("m > 1"), "line-buckets")
-    members = store(exploded.join(buckets, "bucket").select("bucket", F.col("id").alias("a"), "b", "m"), "line-members")
+    members = store(exploded.join(buckets, "bucket").select("bucket", F.col("id").alias("a"), "b"), "line-members")
     star = store(members.where("a != b").select("a", "b").distinct(), "line-star")
     links = store(_verify(star, sigs, rows, "line"), "line-links")
     found = components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")), "line-cc")
     labelled = store(members.join(found.withColumnRenamed("node", "a"), "a", "left")
-                     .select("bucket", F.col("a").alias("id"), F.coalesce("component_id", "a").alias("comp"), "m"), "line-labelled")
-    open_ = store(labelled.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("bucket"), "line-open")
-    rest = labelled.join(open_, "bucket", "left_semi").withColumn("nb", F.ceil(F.col("m") / F.lit(CELL)).cast("long"))
-    rest = rest.withColumn("blk", F.pmod(F.xxhash64("id"), F.col("nb"))).select(
-        "bucket", "id", "comp", "blk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)).alias("o"))
-    rest = rest.select("bucket", F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j"), "id", "comp", "blk")
-    left, right = rest.where("blk = i").alias("l"), rest.where("blk = j").alias("r")
-    across = (left.join(right, ["bucket", "i", "j"]).where("l.comp != r.comp")
+                     .select("bucket", F.col("a").alias("id"), F.coalesce("component_id", "a").alias("comp")), "line-labelled")
+    cells = split_buckets(labelled, CELL)
+    left, right = cells.where("probe").alias("l"), cells.where("not probe").alias("r")
+    across = (left.join(right, ["bucket", "blk", "pblk"]).where("l.comp != r.comp")
               .select(F.greatest("l.id", "r.id").alias("a"), F.least("l.id", "r.id").alias("b")).distinct())
     across = store(across.join(star, ["a", "b"], "left_anti"), "line-across")
     more = store(_verify(across, sigs, rows, "line-more"), "line-more")

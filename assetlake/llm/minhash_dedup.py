@@ -10,9 +10,8 @@ are verified exactly on the full sets.
 
 A star alone could miss a link between two members that are both unlike the
 smallest one. Buckets whose members are not all in one component after the star
-are therefore compared in full, in cells of ``CELL`` x ``CELL`` members spread
-over tasks; only pairs from different components that pass the Bayesian bounds
-leave a cell. Components are found by distributed union-find.
+are therefore compared across components, in cells of about ``CELL`` x ``CELL``
+spread over tasks; only pairs that pass the Bayesian bounds leave a cell. Components are found by distributed union-find.
 
 Defined results: NULL text, or text without words, has the empty set and links
 with nothing; rows that repeat a doc_id share its component; a row with a NULL
@@ -31,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assetlake.llm.common import bounded_batches, components, store, table, unclash
+from assetlake.llm.common import bounded_batches, components, split_buckets, store, table, unclash
 
 WORDS = 5
 NUM, DEN = 75, 100
@@ -204,30 +203,21 @@ def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             .select("a", "b", "x", "y").mapInArrow(run, "a long, b long"))
 
 
-def _cells(members: DataFrame) -> DataFrame:
-    """Bayesian survivors from different components among the members (bucket, id, comp, sig, m) of open buckets."""
-    blocks = F.ceil(F.col("m") / F.lit(CELL)).cast("long")
-    rows = (members.withColumn("nb", blocks).withColumn("blk", F.pmod(F.xxhash64("id"), F.col("nb")))
-            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)))
-            .select("bucket", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "blk", "id", "comp", "sig"))
+def _cells(rows: DataFrame) -> DataFrame:
+    """Bayesian survivors from different components among the cells (bucket, blk, pblk, probe, id, comp, sig)."""
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
-        same = g["i"].iat[0] == g["j"].iat[0]
-        left = g if same else g[g["blk"] == g["i"]]
-        right = g if same else g[g["blk"] == g["j"]]
-        a, b = left["id"].to_numpy(), right["id"].to_numpy()
-        ca, cb = left["comp"].to_numpy(), right["comp"].to_numpy()
+        probe, member = g[g["probe"]], g[~g["probe"]]
         out = []
-        if len(a) and len(b):
-            sa, sb = _sigs(list(left["sig"])), _sigs(list(right["sig"]))
-            for k in range(len(a)):
-                other = np.flatnonzero((cb != ca[k]) & ((b > a[k]) if same else True))
-                if len(other):
-                    ok = other[passes(np.broadcast_to(sa[k], (len(other), HASHES)), sb[other])]
-                    out += [(min(a[k], x), max(a[k], x)) for x in b[ok]]
-        return pd.DataFrame(out, columns=["b", "a"], dtype="int64")[["a", "b"]]
+        if len(probe) and len(member):
+            b, cb, sb = member["id"].to_numpy(), member["comp"].to_numpy(), _sigs(list(member["sig"]))
+            for a, ca, sa in zip(probe["id"], probe["comp"], _sigs(list(probe["sig"])), strict=True):
+                other = np.flatnonzero(cb != ca)
+                ok = other[passes(np.broadcast_to(sa, (len(other), HASHES)), sb[other])]
+                out += [(max(a, x), min(a, x)) for x in b[ok]]
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    return rows.groupBy("bucket", "i", "j").applyInPandas(run, "a long, b long")
+    return rows.groupBy("bucket", "blk", "pblk").applyInPandas(run, "a long, b long")
 
 
 def near_components(docs: DataFrame) -> DataFrame:
@@ -242,14 +232,13 @@ def near_components(docs: DataFrame) -> DataFrame:
                  .dropDuplicates(["id", "set_id"]).drop("set_id"), "near-reps")
     rows = store(bands(reps), "near-bands")
     buckets = store(rows.groupBy("bucket").agg(F.min("id").alias("b"), F.count(F.lit(1)).alias("m")).where("m > 1"), "near-buckets")
-    members = store(rows.join(buckets, "bucket").select("bucket", F.col("id").alias("a"), "b", "m"), "near-members")
+    members = store(rows.join(buckets, "bucket").select("bucket", F.col("id").alias("a"), "b"), "near-members")
     star = members.where("a != b").select("a", "b").distinct()
     links = store(_verify(store(_bayes(star, reps), "near-star"), docs), "near-links")
     found = components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")), "near-cc")
     labelled = store(members.join(found.withColumnRenamed("node", "a"), "a", "left")
-                     .select("bucket", F.col("a").alias("id"), F.coalesce("component_id", "a").alias("comp"), "m"), "near-labelled")
-    open_ = store(labelled.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("bucket"), "near-open")
-    rest = labelled.join(open_, "bucket", "left_semi").join(reps.select("id", "sig"), "id")
+                     .select("bucket", F.col("a").alias("id"), F.coalesce("component_id", "a").alias("comp")), "near-labelled")
+    rest = split_buckets(labelled, CELL).join(reps.select("id", "sig"), "id")
     more = store(_cells(rest).distinct(), "near-rest")
     same_id = usable.groupBy("doc_id").agg(F.min("set_id").alias("lo"), F.max("set_id").alias("hi")).where("lo != hi").select("doc_id")
     by_class = usable.join(classes, "set_id").select("doc_id", "rep").where("doc_id != rep")
