@@ -35,12 +35,12 @@ INSIDE = 32.0
 STRETCH = 256
 BLOCK_TOKENS = 1 << 18
 BLOCK_CHARS = 1 << 20
-CACHE_WORDS = 400_000
+CACHE_WORDS = 800_000
 END_ID = 2
 SMALLEST_POWER = 64
 #: lower-casing first is safe only where composing and lower-casing commute, and special tokens are told by case
 UNSAFE = re.compile("[^\x00-ɏ]|İ|<\\|")
-WORD_AND_MARKS = re.compile(r"([^\W\d_]+)([.,!?]+)")
+WORD_AND_MARKS = re.compile(r"([^\W\d_]+)([.,!?:;()#$%&*+/=@\"-]+)")
 
 
 class Tokenizer:
@@ -53,6 +53,9 @@ class Tokenizer:
         self.tok = tokenizers.Tokenizer.from_file(path)
         self.cache: dict[str, tuple[int, ...]] = {"": ()}
         vocab = self.tok.get_vocab()
+        self.closes = [False] * (max(vocab.values()) + 1)  # pieces that end a word
+        for piece, i in vocab.items():
+            self.closes[i] = piece.endswith("</w>")
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         for piece, i in vocab.items():
             p = piece.removesuffix("</w>")
@@ -60,7 +63,7 @@ class Tokenizer:
 
     def _learn(self, missing: set[str]) -> None:
         cache = self.cache
-        if len(cache) + len(missing) > CACHE_WORDS:
+        if len(cache) > CACHE_WORDS:
             cache.clear()
             cache[""] = ()
         plain, marked, other = [], [], []
@@ -76,42 +79,62 @@ class Tokenizer:
             if c not in cache:
                 (plain if c.isalpha() else other).append(c)
         plain = list(dict.fromkeys(plain))
-        if plain:  # a word of letters is one piece before merging, so one call does for many
-            enc = self.tok.encode(" ".join(plain), add_special_tokens=False)
-            ids, words = enc.ids, enc.word_ids
-            found: list[list[int]] = [[] for _ in plain]
-            if words and words[-1] == len(plain) - 1 and None not in words:
-                for i, w in zip(ids, words, strict=True):
-                    found[w].append(i)
-                for c, x in zip(plain, found, strict=True):
-                    cache[c] = tuple(x)
+        if plain:  # a word of letters is one piece before merging and its last id closes it, so one call does for many
+            ids, closes = self.tok.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, self.closes
+            found, word = [], []
+            for i in ids:
+                word.append(i)
+                if closes[i]:
+                    found.append(tuple(word))
+                    word = []
+            if len(found) == len(plain) and not word:
+                cache.update(zip(plain, found, strict=True))
             else:
                 other += plain
-        for c, enc in zip(other, self.tok.encode_batch(other, add_special_tokens=False), strict=True):
+        for c, enc in zip(other, self.tok.encode_batch_fast(other, add_special_tokens=False), strict=True):
             cache[c] = tuple(enc.ids)
         for c, w, m in marked:
             cache[c] = cache[w] + cache[m]
 
+    def _know(self, chunks: set[str]) -> None:
+        while missing := chunks.difference(self.cache):
+            self._learn(missing)
+
+    @staticmethod
+    def _chunks(text: str) -> list[str]:
+        return (text if UNSAFE.search(text) else text.lower()).replace("\n", " ").split(" ")
+
+    def _ids(self, chunks: list[str]) -> list[int]:
+        return list(chain.from_iterable(map(self.cache.__getitem__, chunks)))
+
     def encode(self, text: str) -> np.ndarray:
-        """Ids of a whole text with the end id."""
-        parts = []
-        if not UNSAFE.search(text):
-            text = text.lower()
-        at = 0
+        """Ids of a whole text with the end id, a block of about BLOCK_CHARS at a time."""
+        parts, at = [], 0
         while at < len(text):
             to = len(text) if at + BLOCK_CHARS >= len(text) else text.find(" ", at + BLOCK_CHARS)
             to = len(text) if to < 0 else to
-            chunks = text[at:to].replace("\n", " ").split(" ")
-            missing = set(chunks).difference(self.cache)
-            if missing:
-                before = len(self.cache)
-                self._learn(missing)
-                if len(self.cache) < before:  # the cache was emptied: learn the rest of this block again
-                    self._learn(set(chunks).difference(self.cache))
-            parts.append(np.fromiter(chain.from_iterable(map(self.cache.__getitem__, chunks)), np.uint32))
+            chunks = self._chunks(text[at:to])
+            self._know(set(chunks))
+            parts.append(np.array(self._ids(chunks), np.uint32))
             at = to + 1
-        parts.append(np.array([END_ID], np.uint32))
-        return np.concatenate(parts)
+        return np.concatenate([*parts, np.array([END_ID], np.uint32)])
+
+    def encode_many(self, texts: list[str]):
+        """``encode`` of each text; the unknown words of up to BLOCK_CHARS of texts are learned together."""
+        at = 0
+        while at < len(texts):
+            size, to = len(texts[at]), at + 1
+            while to < len(texts) and size + len(texts[to]) <= BLOCK_CHARS:
+                size += len(texts[to])
+                to += 1
+            if size > BLOCK_CHARS:
+                yield self.encode(texts[at])
+            else:
+                chunks = [self._chunks(t) for t in texts[at:to]]
+                self._know(set(chain.from_iterable(chunks)))
+                for c in chunks:
+                    yield np.array([*self._ids(c), END_ID], np.uint32)
+            at = to
 
 
 @lru_cache(maxsize=2)
@@ -228,7 +251,7 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = SIZE, with_ids: bool
     def run(batches):
         tok = tokenizer(tokenizer_path)
         first = TaskContext.get().partitionId() << 33
-        stream = ((i, tok.encode(t or "")) for b in batches for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+        stream = (x for b in batches for x in zip(b.column(0).to_pylist(), tok.encode_many([t or "" for t in b.column(1).to_pylist()]), strict=True))
         rows = []
 
         def out():
