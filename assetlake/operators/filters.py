@@ -31,7 +31,11 @@ def allow_deny(c, allow: list[str], deny: list[str]) -> Column:
     NULL keys are handled explicitly, so "*" also admits rows without a key.
     """
     c = col(c)
-    return ~_member(c, deny) & (F.lit("*" in allow) | _member(c, allow))
+    kept = (c.isNull() | ~c.isin(list(deny))) if deny else F.lit(True)
+    if "*" in allow:
+        return kept
+    # plain terms, so that both lists reach the scan as pushed filters; a NULL result drops the row like false
+    return kept & c.isin(list(allow)) if allow else F.lit(False)
 
 
 def allow_deny_frame(df: DataFrame, key: str, allow: list[str], deny: list[str]) -> DataFrame:

@@ -6,46 +6,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import joins
-from .joins import counted_checkpoint, sized_broadcast
+from .joins import sized_broadcast
 
-MAX_DEPTH = 1000
 
-
-def path_depth_children(assets: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+def path_depth_children(assets: DataFrame) -> DataFrame:
     """(id, depth, path, child_count) for every asset.
 
-    Breadth-first from the roots (no parent): each level is one join of the
-    asset edges with the previous level. Each level is checkpointed to the
-    shared checkpoint folder, which cuts the lineage and lets a lost executor
-    recompute one level instead of the whole walk. Work per level is the size
-    of that level; the loop ends when a level is empty. A path that would
-    revisit an id (a cycle) stops there. Assets that no root reaches (orphan
-    parents, cycles) get NULL depth and path.
+    Pointer doubling: every asset holds the path up to some ancestor and joins
+    that ancestor's, so the known part doubles each round and a tree of any depth
+    takes log2(depth) rounds. Each round is checkpointed to the shared checkpoint
+    folder, which cuts the lineage. Assets that no root reaches (orphan parents,
+    cycles) get NULL depth and path: a missing ancestor finds no row to join, and
+    a path that meets its own ancestor again is dropped.
     """
     edges = assets.select("id", "parent_id").filter(F.col("id").isNotNull())
-    level, n = counted_checkpoint(
-        edges.filter(F.col("parent_id").isNull())
-        .select("id", F.lit(0).cast("long").alias("depth"), F.array("id").alias("path")))
-    levels = [level]
-    for _ in range(max_depth):
-        if n == 0:
-            break
-        # the level's size is known from its own checkpoint job: broadcast a
-        # small frontier (a parent with a huge number of children then never
-        # lands in one sort-merge partition), shuffle-join a large one
-        frontier = level.select(F.col("id").alias("parent_id"), "depth", "path")
-        if n <= joins.BROADCAST_MAX_ROWS:
-            frontier = F.broadcast(frontier)
-        level, n = counted_checkpoint(
-            edges.join(frontier, "parent_id")
-            .filter(~F.array_contains("path", F.col("id")))
-            .select("id", (F.col("depth") + 1).alias("depth"), F.concat("path", F.array("id")).alias("path")))
-        if n:
-            levels.append(level)
-    placed = levels[0]
-    for lv in levels[1:]:
-        placed = placed.unionByName(lv)
+    # top: the next ancestor whose path is still to be put in front; NULL once the root is reached
+    walk = edges.select("id", F.col("parent_id").alias("top"), F.array("id").alias("path")).checkpoint()
+    while not walk.filter(F.col("top").isNotNull()).isEmpty():
+        done, open_ = walk.filter(F.col("top").isNull()), walk.filter(F.col("top").isNotNull())
+        ahead = walk.select(F.col("id").alias("__id"), F.col("top").alias("__top"), F.col("path").alias("__path"))
+        walk = done.unionByName(
+            open_.join(ahead, F.col("top") == F.col("__id"))
+            .filter(~F.arrays_overlap("path", "__path"))
+            .select("id", F.col("__top").alias("top"), F.concat("__path", "path").alias("path"))).checkpoint()
+    placed = walk.select("id", (F.size("path") - 1).cast("long").alias("depth"), "path")
     children = (edges.filter(F.col("parent_id").isNotNull())
                 .groupBy(F.col("parent_id").alias("id")).agg(F.count(F.lit(1)).alias("child_count")))
     return (edges.select("id").distinct()

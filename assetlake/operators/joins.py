@@ -2,59 +2,39 @@
 
 from __future__ import annotations
 
-import threading
-
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when it provably holds at most this many
-# rows; beyond it the planner's shuffle (sort-merge) join is used, with AQE
-# splitting skewed partitions.
+# A dimension is broadcast only when its rows, as JSON, take at most this many
+# bytes and it holds at most this many rows; beyond either the planner's shuffle
+# (sort-merge) join is used, with AQE splitting skewed partitions.
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 BROADCAST_MAX_ROWS = 2_000_000
 
 
 def sized_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Materialize a dimension once, then broadcast it only if it has at most
-    ``max_rows`` rows; otherwise return it for a shuffle join.
+    """Materialize a dimension once, then broadcast it only if it is small;
+    otherwise return it for a shuffle join.
 
     The dimension is written with ``checkpoint()`` to the shared checkpoint
-    folder (``spark.checkpoint.dir``): it is computed exactly once, its row
-    count is then a cheap read, the join reads the stored copy, and a lost
+    folder (``spark.checkpoint.dir``): it is computed exactly once, its size
+    is observed by that job, the join reads the stored copy, and a lost
     executor does not force the dimension's lineage to be recomputed.
     """
     return sized_dim(df, max_rows)[0]
 
 
-def counted_checkpoint(df: DataFrame) -> tuple[DataFrame, int]:
-    """``checkpoint()`` that also returns the row count, observed by the same job."""
+def sized_dim(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> tuple[DataFrame, bool]:
+    """``sized_broadcast`` that also says whether the dimension is broadcast."""
     obs = Observation()
-    stored = df.observe(obs, F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
-    n = _observed(obs, "n")
-    return stored, (stored.count() if n is None else int(n))
-
-
-def sized_dim(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
-    """``sized_broadcast`` that also says whether the dimension is broadcast.
-
-    The row count is an observed metric of the checkpoint job itself, so the
-    size check costs no extra job; if the metric does not arrive, a limited
-    count of the stored copy decides.
-    """
-    if max_rows is None:
-        max_rows = BROADCAST_MAX_ROWS
-    dim, n = counted_checkpoint(df)
-    small = n <= max_rows
+    size = F.octet_length(F.to_json(F.struct(*df.columns)))
+    dim = df.observe(obs, F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).checkpoint()
+    seen = obs.get
+    small = (seen["n"] <= (BROADCAST_MAX_ROWS if max_rows is None else max_rows)
+             and seen["bytes"] <= (BROADCAST_MAX_BYTES if max_bytes is None else max_bytes))
     return (F.broadcast(dim) if small else dim), small
 
 
-def _observed(obs: Observation, name: str, timeout_s: float = 60.0):
-    box: dict = {}
-    t = threading.Thread(target=lambda: box.setdefault("v", obs.get), daemon=True)
-    t.start()
-    t.join(timeout_s)
-    return box["v"].get(name) if "v" in box else None
-
-
 def list_frame(spark, values: list[str], name: str = "value") -> DataFrame:
     """A one-column frame from a (driver-side, config-sized) list of strings."""
     return spark.createDataFrame([(v,) for v in values], f"{name} string")

@@ -17,7 +17,7 @@ from ..operators.metrics import observe_counters
 from ..schemas import PUBLISHED
 from ..sinks.snapshot import SnapshotTable
 from ..sinks.upsert import hierarchy_sync, upsert
-from ..sinks.writers import overwrite, write_delimited
+from ..sinks.writers import overwrite, write_lines
 from ..sources.scan import DeltaState
 from . import publish as P
 from . import replicate as R
@@ -81,20 +81,15 @@ def run_publish_merge(table: str, src, snapshot: SnapshotTable, keys: list[str],
     """Delta publish that keeps older rows: upsert the delta into a versioned snapshot."""
     ident, offset = DELTA[table]
     delta = PUBLISH[table](src, run_time, since_ms=state.read(ident), offset_ms=offset)
-    current = snapshot.current()
-    new = delta if current is None else upsert(current, delta, keys)
-    v = snapshot.commit(new)
+    v = snapshot.commit(upsert(snapshot.current(), delta, keys))
     state.commit(ident, delta.select(F.unix_millis("last_updated_time").alias("last_updated_time")))
     return v
 
 
 def export_points_text(src, out_path: str, external_id: str, single_file: bool = False) -> None:
     """TsPointsToFile: one series as ``externalId|timestamp|timestamp_datetime|value`` lines."""
-    lines = P.points_text_lines(src, external_id)
-    cols = F.split("line", r"\|", 4)
-    df = lines.select(cols[0].alias("externalId"), cols[1].alias("timestamp"),
-                      cols[2].alias("timestamp_datetime"), cols[3].alias("value"))
-    write_delimited(df, out_path, single_file=single_file)
+    lines = P.points_text_lines(src, external_id).select("line")
+    write_lines(lines, out_path, "externalId|timestamp|timestamp_datetime|value", single_file=single_file)
 
 
 # ----------------------------------------------------------------- replicate
@@ -123,8 +118,7 @@ def assert_unique(df: DataFrame, key: str) -> None:
 
 
 def _upsert_into(target: SnapshotTable, rows: DataFrame, keys: list[str]) -> int:
-    current = target.current()
-    return target.commit(rows if current is None else upsert(current, rows, keys))
+    return target.commit(upsert(target.current(), rows, keys))
 
 
 def run_replicate_files(src, tgt, target: SnapshotTable, cfg: JobConfig, run_time) -> int:

@@ -202,8 +202,8 @@ class _Bounded:
 def q_stream_hour_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F2-F7 as a Structured Streaming job: the events table read by the file
     stream source, mapped to numeric series points (stream-static join with
-    the series headers), rolled up per series and hour with a watermark, and
-    upserted per micro-batch into a snapshot in the shared checkpoint folder."""
+    the series headers), rolled up per series and hour and merged
+    per micro-batch into a snapshot in the shared checkpoint folder."""
     import uuid
 
     from ..session import scratch_dir

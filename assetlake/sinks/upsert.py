@@ -10,18 +10,30 @@ from ..operators.hierarchy import DIFF_COLUMNS, hierarchy_diff
 from ..operators.joins import sized_broadcast
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """New snapshot = target rows whose key is not in source,
-    plus the source rows (whole-row replace: unset source fields become NULL).
-
-    The source is expected to be unique on ``keys`` (external ids are); a
-    duplicated key keeps one of its rows. Source keys are broadcast to the
-    anti join only behind a size check (a delta is usually small); otherwise
-    both sides shuffle on the key.
+def _comparable(df: DataFrame, c: str):
+    """A column in a form that can be hashed (maps can't)."""
+    kind = df.schema[c].dataType.simpleString()
+    return F.to_json(F.col(c)) if "map<" in kind else F.col(c)
+
+
+def upsert(target: DataFrame | None, source: DataFrame, keys: list[str], newest: str = "last_updated_time") -> DataFrame:
+    """The new snapshot: source rows replace target rows of the same key as a whole (unset
+    source fields become NULL); target rows without a source row stay.
+
+    One rule on every run, the first (``target`` None) included: of the rows of a key the source's win over the
+    target's, then the largest ``newest`` if there is such a column, then the largest row hash, so a retry decides
+    alike. Rows with a NULL in the key match nothing but an equal row, so repeating a run adds none. Both sides
+    are tagged and meet in one shuffle on the keys; the source is evaluated once and no side is broadcast.
     """
-    src = source.dropDuplicates(keys)
-    keep = target.join(sized_broadcast(src.select(*keys)), keys, "left_anti")
-    return keep.unionByName(src, allowMissingColumns=True)
+    tagged = source.withColumn("__side", F.lit(1))
+    if target is not None:
+        tagged = target.withColumn("__side", F.lit(0)).unionByName(tagged, allowMissingColumns=True)
+    cols = [c for c in tagged.columns if c != "__side"]
+    tie = F.xxhash64(*[_comparable(tagged, c) for c in cols])
+    order = F.struct("__side", *([newest] if newest in cols else []), tie)
+    no_key = F.when(F.greatest(*[F.col(k).isNull().cast("int") for k in keys], F.lit(0)) == 1, tie)
+    return (tagged.groupBy(*[F.col(k).alias(f"__{k}") for k in keys], no_key.alias("__no_key"))
+            .agg(F.max_by(F.struct(*cols), order).alias("row")).select("row.*"))
 
 
 def hierarchy_sync(prepared: DataFrame, target: DataFrame, run_ms: int) -> DataFrame:

@@ -54,13 +54,13 @@ def overwrite(df: DataFrame, path: str, expected_schema: T.StructType | str | No
     w.parquet(path)
 
 
-def write_delimited(df: DataFrame, path: str, sep: str = "|", single_file: bool = False) -> None:
-    """Delimited text with a header line.
+def write_lines(lines: DataFrame, path: str, header: str, single_file: bool = False) -> None:
+    """Finished text lines with a header line per file, written as they are (no quoting, no escaping).
 
-    Sharded by default (one file per partition, each with the header). A
-    single file (``single_file=True``) funnels all rows through one task and
-    is meant for small exports such as one series.
+    Sharded by default (one file per partition). A single file funnels all rows
+    through one task and is meant for small exports such as one series.
     """
-    out = df.coalesce(1) if single_file else df
-    (out.write.mode("overwrite").option("header", True).option("sep", sep)
-     .option("quoteAll", False).option("emptyValue", "").csv(path))
+    out = lines.toDF(header)
+    (out.coalesce(1) if single_file else out).write.mode("overwrite").options(
+        header=True, sep="\u0001", quote="\u0000", emptyValue="", ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False).csv(path)

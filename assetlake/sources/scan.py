@@ -71,17 +71,9 @@ class DeltaState:
         # open-or-create, so reading the marks of a new state table never fails
         spark.createDataFrame([], self.SCHEMA).write.mode("append").parquet(path)
 
-    def _table(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(self.path)
-        except Exception:  # no state yet
-            return None
-
     def read(self, identifier: str) -> int | None:
-        t = self._table()
-        if t is None:
-            return None
-        row = (t.filter(F.col("identifier") == identifier)
+        """The current mark; a read error is raised, never taken for "no mark" (that would be a silent full read)."""
+        row = (self.spark.read.schema(self.SCHEMA).parquet(self.path).filter(F.col("identifier") == identifier)
                .agg(F.max_by("mark", "committed_at").alias("m")).first())
         return None if row is None or row["m"] is None else int(row["m"])
 

@@ -35,10 +35,8 @@ def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType | s
     snap = SnapshotTable(spark, snapshot_path)
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        current = snap.current()
-        snap.commit(batch if current is None else upsert(current, batch, keys))
+        if not batch.isEmpty():
+            snap.commit(upsert(snap.current(), batch, keys))
 
     (stream.writeStream.foreachBatch(apply)
      .option("checkpointLocation", checkpoint_location)
@@ -46,50 +44,38 @@ def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType | s
     return snap
 
 
-def hourly_rollup(points: DataFrame, watermark: str = "1 hour") -> DataFrame:
-    """F2-F7 on a stream of points ``(id, ts timestamp, value)``: per series and
-    hour count / min / max / sum / average, with a watermark bounding state."""
-    return (points.withWatermark("ts", watermark)
-            .groupBy("id", F.window("ts", "1 hour").alias("w"))
+def hourly_rollup(points: DataFrame) -> DataFrame:
+    """F2-F7 on points ``(id, ts timestamp, value)``: per series and hour count / min / max / sum / average."""
+    return (points.groupBy("id", F.window("ts", "1 hour").alias("w"))
             .agg(F.count("value").alias("count"), F.min("value").alias("min"), F.max("value").alias("max"),
                  F.sum("value").alias("sum"), F.avg("value").alias("average"))
             .select("id", F.unix_millis(F.col("w.start")).alias("hour"), "count", "min", "max", "sum", "average"))
 
 
-def run_hourly_rollup(spark: SparkSession, source_dir: str, schema: T.StructType | str, out_path: str,
-                      checkpoint_location: str) -> None:
-    """Append finished hours to ``out_path`` (hours close when the watermark passes)."""
-    stream = spark.readStream.schema(schema).parquet(source_dir)
-    (hourly_rollup(stream).writeStream.outputMode("append").format("parquet")
-     .option("path", out_path).option("checkpointLocation", checkpoint_location)
-     .trigger(availableNow=True).start().awaitTermination())
-
-
 def hourly_rollup_snapshot(spark: SparkSession, points_stream: DataFrame, snapshot_path: str,
                            checkpoint_location: str) -> DataFrame:
     """Run the hourly rollup over all available input and return the result table.
 
-    Update mode emits the hours each micro-batch changed; every micro-batch is
-    upserted on (id, hour) into a versioned snapshot, so the snapshot holds
-    every hour, including those the watermark has not closed yet, and nothing
-    is gathered on the driver.
+    Every micro-batch is aggregated per (id, hour) and merged into the hours
+    already there, so a point counts however late it arrives: there is no
+    watermark and no state that could expire. The batch number is committed with
+    the snapshot version, so a retried micro-batch is not merged twice.
     """
     snap = SnapshotTable(spark, snapshot_path)
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():  # watermark-only micro-batches change nothing
+        name = f"{checkpoint_location}#{epoch_id}"
+        if snap.has_batch(name):
             return
-        current = snap.current()
-        snap.commit(batch if current is None else upsert(current, batch, ["id", "hour"]))
-
-    # A watermark-only micro-batch emits nothing in update mode; expired state
-    # is evicted by the next run's first batch instead.
-    key = "spark.sql.streaming.noDataMicroBatches.enabled"
-    previous = spark.conf.get(key, "true")
-    spark.conf.set(key, "false")
-    try:
-        (hourly_rollup(points_stream).writeStream.outputMode("update").foreachBatch(apply)
-         .option("checkpointLocation", checkpoint_location).trigger(availableNow=True).start().awaitTermination())
-    finally:
-        spark.conf.set(key, previous)
+        hours, current = hourly_rollup(batch), snap.current()
+        if current is not None:
+            hours = (current.unionByName(hours).groupBy("id", "hour")
+                     .agg(F.sum("count").alias("count"), F.min("min").alias("min"), F.max("max").alias("max"),
+                          F.sum("sum").alias("sum"))
+                     .withColumn("average", F.when(F.col("count") > 0, F.col("sum") / F.col("count")))
+                     .select("id", "hour", "count", "min", "max", "sum", "average"))
+        snap.commit(hours, batch=name)
+
+    (points_stream.writeStream.foreachBatch(apply)
+     .option("checkpointLocation", checkpoint_location).trigger(availableNow=True).start().awaitTermination())
     return snap.current()
