@@ -52,24 +52,28 @@ def drop_scratch(spark: SparkSession) -> None:
     _delete(spark, scratch_dir(spark, f"llm-{spark.sparkContext.applicationId}"))
 
 
-def split_buckets(labelled: DataFrame, cell: int) -> DataFrame:
+def split_buckets(labelled: DataFrame, cell: int, again: DataFrame | None = None) -> DataFrame:
     """Cells that compare the members (bucket, id, comp) of every bucket across components.
 
-    A bucket's members outside its largest component are probes; each is compared with every member. Members are dealt
-    into blocks of about ``cell``, probes into blocks of their own, and a cell is one block of each: (bucket, blk, pblk,
-    probe, id, comp). Rows grow with members times probe blocks, so a bucket that is nearly one component is handed on
-    nearly once, and no cell outgrows its task. Buckets within one component are left out.
+    A bucket's members outside its largest component are probes (with ``again``, its (bucket, id) are); each is compared
+    with every member. Members are dealt into blocks of about ``cell``, probes into blocks of their own, and a cell is one
+    block of each: (bucket, blk, pblk, probe, id, comp). Rows grow with members times probe blocks, so a bucket that is
+    nearly one component is handed on nearly once, and no cell outgrows its task. Buckets within one component are left out.
     """
-    counts = labelled.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("c"))
-    open_ = store(counts.groupBy("bucket").agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("m"))
-                  .where("m > top.c").select("bucket", F.col("top.comp").alias("main"),
-                                             F.ceil(F.col("m") / F.lit(cell)).cast("long").alias("nb"),
-                                             F.ceil((F.col("m") - F.col("top.c")) / F.lit(cell)).cast("long").alias("no")), "cells-open")
+    if again is not None:
+        labelled = labelled.join(again.withColumn("again", F.lit(True)), ["bucket", "id"], "left")
+    asked = F.lit(0) if again is None else F.count("again")
+    counts = labelled.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("c"), asked.alias("asked"))
+    probes = F.col("m") - F.col("top.c") if again is None else F.col("asked")
+    open_ = store(counts.groupBy("bucket").agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("m"), F.sum("asked").alias("asked"))
+                  .withColumn("o", probes).where("m > top.c and o > 0")
+                  .select("bucket", F.col("top.comp").alias("main"), F.ceil(F.col("m") / F.lit(cell)).cast("long").alias("nb"),
+                          F.ceil(F.col("o") / F.lit(cell)).cast("long").alias("no")), "cells-open")
     rows = labelled.join(open_, "bucket")
     up_to = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     members = rows.select("bucket", F.pmod(F.xxhash64("id"), "nb").alias("blk"), up_to("no").alias("pblk"), F.lit(False).alias("probe"), "id", "comp")
-    probes = rows.where("comp != main").select("bucket", up_to("nb").alias("blk"), F.pmod(F.xxhash64("id"), "no").alias("pblk"),
-                                               F.lit(True).alias("probe"), "id", "comp")
+    probes = rows.where("comp != main" if again is None else "again").select(
+        "bucket", up_to("nb").alias("blk"), F.pmod(F.xxhash64("id"), "no").alias("pblk"), F.lit(True).alias("probe"), "id", "comp")
     return members.unionByName(probes)
 
 

@@ -11,7 +11,10 @@ are verified exactly on the full sets.
 A star alone could miss a link between two members that are both unlike the
 smallest one. Buckets whose members are not all in one component after the star
 are therefore compared across components, in cells of about ``CELL`` x ``CELL``
-spread over tasks; only pairs that pass the Bayesian bounds leave a cell. Components are found by distributed union-find.
+spread over tasks. One link joins two components, so a cell hands on the ``FIRST``
+likeliest survivors of a document and component; documents with more go to another
+round, over the components joined by then, which hands on ``GROWTH`` times as many,
+until nothing is left over. Components are found by distributed union-find.
 
 Defined results: NULL text, or text without words, has the empty set and links
 with nothing; rows that repeat a doc_id share its component; a row with a NULL
@@ -25,7 +28,6 @@ from functools import lru_cache
 from math import comb
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +40,7 @@ HASHES, ROWS = 200, 5  # 40 bands of 5: a pair at 0.75 is missed with probabilit
 STEP = 20
 MISS = 1e-6
 CELL = 128
+FIRST, GROWTH = 2, 8  # survivors of a document and component that a cell hands on: in the first round, and from round to round
 CHUNK = 4096
 SPACES = b" \t\n\r\x0b\x0c"
 
@@ -101,16 +104,24 @@ def least_matches() -> list[int]:
     return out
 
 
-def passes(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Row by row: whether a pair of signatures survives every batch. Pruned pairs aren't compared further."""
-    alive, matches = np.arange(len(left)), np.zeros(len(left), np.int32)
+def survivors(left: np.ndarray, right: np.ndarray, p: np.ndarray, q: np.ndarray):
+    """Which pairs (left[p], right[q]) survive every batch, and their equal values. Pruned pairs aren't compared further."""
+    alive, matches = np.arange(len(p)), np.zeros(len(p), np.int32)
     for k, least in enumerate(least_matches()):
         part = slice(k * STEP, (k + 1) * STEP)
-        matches = matches + (left[alive, part] == right[alive, part]).sum(axis=1)
+        matches = matches + (left[p[alive], part] == right[q[alive], part]).sum(axis=1)
         keep = matches >= least
         alive, matches = alive[keep], matches[keep]
+        if not len(alive):
+            break
+    return alive, matches
+
+
+def passes(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Row by row: whether a pair of signatures survives."""
+    rows = np.arange(len(left))
     ok = np.zeros(len(left), bool)
-    ok[alive] = True
+    ok[survivors(left, right, rows, rows)[0]] = True
     return ok
 
 
@@ -203,21 +214,51 @@ def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             .select("a", "b", "x", "y").mapInArrow(run, "a long, b long"))
 
 
-def _cells(rows: DataFrame) -> DataFrame:
-    """Bayesian survivors from different components among the cells (bucket, blk, pblk, probe, id, comp, sig)."""
-
-    def run(g: pd.DataFrame) -> pd.DataFrame:
-        probe, member = g[g["probe"]], g[~g["probe"]]
-        out = []
-        if len(probe) and len(member):
-            b, cb, sb = member["id"].to_numpy(), member["comp"].to_numpy(), _sigs(list(member["sig"]))
-            for a, ca, sa in zip(probe["id"], probe["comp"], _sigs(list(probe["sig"])), strict=True):
-                other = np.flatnonzero(cb != ca)
-                ok = other[passes(np.broadcast_to(sa, (len(other), HASHES)), sb[other])]
-                out += [(max(a, x), min(a, x)) for x in b[ok]]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
-    return rows.groupBy("bucket", "blk", "pblk").applyInPandas(run, "a long, b long")
+def _cells(rows: DataFrame, most: int) -> DataFrame:
+    """(bucket, a, b, more): Bayesian survivors from different components among the cells (bucket, blk, pblk, probe, id,
+    comp, sig). Of a probe ``a`` and a component, the ``most`` likeliest; ``more`` if there are others."""
+    schema = pa.schema([("bucket", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("more", pa.bool_())])
+
+    def run(g: pa.Table) -> pa.Table:
+        probe = g.column("probe").to_numpy()
+        ids, comp, sig = g.column("id").to_numpy(), g.column("comp").to_numpy(), _sigs(g.column("sig").to_pylist())
+        left, right = np.flatnonzero(probe), np.flatnonzero(~probe)
+        p, q = np.nonzero(comp[left][:, None] != comp[right][None, :])
+        p, q = left[p], right[q]
+        alive, matches = survivors(sig, sig, p, q)
+        order = np.lexsort((ids[q[alive]], -matches, comp[q[alive]], p[alive]))
+        p, q = p[alive][order], q[alive][order]
+        new = np.ones(len(p), bool)
+        new[1:] = (p[1:] != p[:-1]) | (comp[q[1:]] != comp[q[:-1]])
+        starts = np.flatnonzero(new)
+        sizes = np.diff(np.append(starts, len(p)))
+        ok = np.arange(len(p)) - np.repeat(starts, sizes) < most
+        bucket = np.full(int(ok.sum()), g.column("bucket")[0].as_py(), np.int64)
+        return pa.Table.from_arrays([pa.array(bucket), pa.array(ids[p[ok]]), pa.array(ids[q[ok]]), pa.array(np.repeat(sizes > most, sizes)[ok])], schema=schema)
+
+    return rows.groupBy("bucket", "blk", "pblk").applyInArrow(run, "bucket long, a long, b long, more boolean")
+
+
+def _across(labelled: DataFrame, links: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
+    """``links`` and those that join the components of ``labelled`` (bucket, id, comp) further."""
+    most, wanted = FIRST, None
+    while True:
+        cells = split_buckets(labelled, CELL, wanted)
+        told = store(_cells(cells.join(reps.select("id", "sig"), "id"), most), "near-rest")
+        pairs = store(told.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "near-across")
+        found = store(_verify(pairs, docs), "near-more")
+        links = links.unionByName(found)
+        wanted = store(told.where("more").select("bucket", F.col("a").alias("id")).distinct(), "near-again")
+        if wanted.isEmpty():
+            return links
+        # what was joined by this round needs no further comparison
+        joined = store(components(found.join(labelled.select(F.col("id").alias("a"), F.col("comp").alias("src")).distinct(), "a")
+                                  .join(labelled.select(F.col("id").alias("b"), F.col("comp").alias("dst")).distinct(), "b")
+                                  .select("src", "dst"), "near-join"), "near-joined")
+        open_ = labelled.join(wanted.select("bucket").distinct(), "bucket", "left_semi")
+        labelled = store(open_.join(joined.select(F.col("node").alias("comp"), "component_id"), "comp", "left")
+                         .select("bucket", "id", F.coalesce("component_id", "comp").alias("comp")), "near-labelled")
+        most *= GROWTH
 
 
 def near_components(docs: DataFrame) -> DataFrame:
@@ -238,11 +279,10 @@ def near_components(docs: DataFrame) -> DataFrame:
     found = components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")), "near-cc")
     labelled = store(members.join(found.withColumnRenamed("node", "a"), "a", "left")
                      .select("bucket", F.col("a").alias("id"), F.coalesce("component_id", "a").alias("comp")), "near-labelled")
-    rest = split_buckets(labelled, CELL).join(reps.select("id", "sig"), "id")
-    more = store(_cells(rest).distinct(), "near-rest")
+    links = _across(labelled, links, reps, docs)
     same_id = usable.groupBy("doc_id").agg(F.min("set_id").alias("lo"), F.max("set_id").alias("hi")).where("lo != hi").select("doc_id")
     by_class = usable.join(classes, "set_id").select("doc_id", "rep").where("doc_id != rep")
-    edges = links.unionByName(_verify(more, docs)).select(F.col("a").alias("src"), F.col("b").alias("dst")).unionByName(
+    edges = links.select(F.col("a").alias("src"), F.col("b").alias("dst")).unionByName(
         by_class.join(same_id, "doc_id").select(F.col("doc_id").alias("src"), F.col("rep").alias("dst")))
     final = store(components(edges, "near-cc2"), "near-final")
     named = classes.join(final.withColumnRenamed("node", "rep"), "rep", "left").select("set_id", F.coalesce("component_id", "rep").alias("component_id"))

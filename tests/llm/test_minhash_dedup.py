@@ -89,3 +89,19 @@ def test_bayes_prunes_little_at_the_threshold():
 def test_cells_find_what_the_star_leaves_out(spark, monkeypatch):
     monkeypatch.setattr(M, "CELL", 2)
     test_chains_whose_ends_are_unlike(spark)
+
+
+def test_rounds_go_on_until_no_survivor_is_left_over(spark, monkeypatch):
+    """Two groups of near copies, unlike the smallest document of their buckets in part: few survivors a round, same result."""
+    monkeypatch.setattr(M, "FIRST", 1)
+    monkeypatch.setattr(M, "GROWTH", 2)
+    monkeypatch.setattr(M, "CELL", 4)
+    rng = random.Random(9)
+    base = [f"w{k}" for k in range(300)]
+    rows = []
+    for i in range(60):
+        words = list(base)
+        for k in rng.sample(range(300), 4 + i % 9):
+            words[k] = f"x{i}_{k}"
+        rows.append((i, " ".join(words)))
+    assert result(M.near_components(spark.createDataFrame([(i, t, "x", 1, 5) for i, t in rows], SCHEMA))) == brute(rows)
