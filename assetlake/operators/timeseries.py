@@ -13,7 +13,8 @@ Definitions (per series, points sorted by time, one point per millisecond):
   segment covering ``H``; NULL before the first point).
   step_interpolation = value of the last point at or before ``H``.
 * continuous_variance = S2/T - (S1/T)^2 over the clipped segment pieces of
-  the bucket, with T = covered time, S1 = integral of v, S2 = integral of v^2.
+  the bucket, with T = covered time, S1 = integral of v, S2 = integral of v^2,
+  both taken around the bucket's first value, so a large offset doesn't cancel.
 * total_variation = sum of |change| over the pieces of the bucket (linear), or
   the sum of the jumps at points inside the bucket (step).
 
@@ -72,7 +73,8 @@ def hourly_aggregates(points: DataFrame, bucket_ms: int = HOUR_MS, dedup: bool =
     has_next = F.col("nt").isNotNull()
     step = F.col("is_step")
     nv_eff = F.when(step, v).otherwise(F.col("nv"))  # value at the right end of the piece
-    dt_in, s1_in, s2_in = _piece(v, nv_eff, F.col("nt") - t)
+    p = p.withColumn("ref", F.first("value", ignorenulls=True).over(w_in))  # the bucket's first value, in every row that has one
+    dt_in, s1_in, s2_in = _piece(v - F.col("ref"), nv_eff - F.col("ref"), F.col("nt") - t)
     zero = F.lit(0.0)
     b = p.groupBy("id", "hour").agg(
         F.max("external_id").alias("external_id"),
@@ -85,6 +87,7 @@ def hourly_aggregates(points: DataFrame, bucket_ms: int = HOUR_MS, dedup: bool =
         F.var_pop("value").alias("discrete_variance"),
         F.min("timestamp").alias("first_t"),
         F.min_by("value", "timestamp").alias("first_v"),
+        F.max("ref").alias("ref"),
         F.max("timestamp").alias("last_t"),
         F.max_by("value", "timestamp").alias("last_v"),
         F.sum(F.when(has_next, dt_in).otherwise(zero)).alias("dt_in"),
@@ -101,15 +104,15 @@ def hourly_aggregates(points: DataFrame, bucket_ms: int = HOUR_MS, dedup: bool =
     last_t, last_v = F.col("last_t"), F.col("last_v")
     prev_t, prev_v = F.col("prev_t"), F.col("prev_v")
     next_t, next_v = F.col("next_t"), F.col("next_v")
-    end = H + F.lit(bucket_ms)
+    end, ref = H + F.lit(bucket_ms), F.col("ref")
     # piece A: from the last point of the bucket to the bucket end (next point is later)
     a_vb = F.when(step, last_v).otherwise(_lin(last_v, last_t, next_v, next_t, end))
-    a_dt, a_s1, a_s2 = _piece(last_v, a_vb, end - last_t)
+    a_dt, a_s1, a_s2 = _piece(last_v - ref, a_vb - ref, end - last_t)
     has_a = next_t.isNotNull()
     # piece B: from the bucket start to the first point (previous point is earlier)
     b_va = F.when(step, prev_v).otherwise(_lin(prev_v, prev_t, first_v, first_t, H))
     b_vb = F.when(step, prev_v).otherwise(first_v)
-    b_dt, b_s1, b_s2 = _piece(b_va, b_vb, first_t - H)
+    b_dt, b_s1, b_s2 = _piece(b_va - ref, b_vb - ref, first_t - H)
     has_b = prev_t.isNotNull() & (first_t > H)
     T = F.col("dt_in") + F.when(has_a, a_dt).otherwise(zero) + F.when(has_b, b_dt).otherwise(zero)
     S1 = F.col("s1_in") + F.when(has_a, a_s1).otherwise(zero) + F.when(has_b, b_s1).otherwise(zero)
@@ -121,7 +124,7 @@ def hourly_aggregates(points: DataFrame, bucket_ms: int = HOUR_MS, dedup: bool =
               .when(prev_t.isNotNull(), F.when(step, prev_v).otherwise(_lin(prev_v, prev_t, first_v, first_t, H))))
     step_interp = F.when(first_t == H, first_v).when(prev_t.isNotNull(), prev_v)
     cvar = F.when(T > 0, F.greatest(F.lit(0.0), S2 / T - (S1 / T) * (S1 / T)))
-    average = F.when(T > 0, S1 / T) if time_weighted else F.col("average")
+    average = F.when(T > 0, ref + S1 / T) if time_weighted else F.col("average")
     return b.select(
         "id", "external_id", "hour", average.alias("average"), "max", "min", "count", "sum",
         interp.alias("interpolation"), step_interp.alias("step_interpolation"),

@@ -79,6 +79,14 @@ def test_time_weighted_average(spark):
     assert out[(5, 0)]["average"] == pytest.approx(7.5)
 
 
+def test_variance_of_a_series_with_a_large_offset(spark):
+    rows = [(6, "o", k * 60000, 1e9 + 0.01 * (k % 2), False) for k in range(120)]
+    out = _agg(spark, rows)
+    # a triangle wave between 1e9 and 1e9 + 0.01: variance 0.01^2 / 12
+    assert out[(6, 0)]["continuous_variance"] == pytest.approx(0.01 ** 2 / 12, rel=1e-3)
+    assert out[(6, H)]["continuous_variance"] == pytest.approx(0.01 ** 2 / 12, rel=1e-3)
+
+
 def test_cluster_settings():
     from assetlake.session import cluster_settings
     conf = cluster_settings(100 * 1024 ** 4, 8000)
