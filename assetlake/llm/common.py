@@ -52,13 +52,14 @@ def drop_scratch(spark: SparkSession) -> None:
     _delete(spark, scratch_dir(spark, f"llm-{spark.sparkContext.applicationId}"))
 
 
-def split_buckets(labelled: DataFrame, cell: int, again: DataFrame | None = None) -> DataFrame:
+def split_buckets(labelled: DataFrame, cell: int, again: DataFrame | None = None, carry: DataFrame | None = None) -> DataFrame:
     """Cells that compare the members (bucket, id, comp) of every bucket across components.
 
     A bucket's members outside its largest component are probes (with ``again``, its (bucket, id) are); each is compared
     with every member. Members are dealt into blocks of about ``cell``, probes into blocks of their own, and a cell is one
     block of each: (bucket, blk, pblk, probe, id, comp). Rows grow with members times probe blocks, so a bucket that is
     nearly one component is handed on nearly once, and no cell outgrows its task. Buckets within one component are left out.
+    The columns of ``carry`` (id, ...) are joined to a bucket's members once, before they are dealt.
     """
     if again is not None:
         labelled = labelled.join(again.withColumn("again", F.lit(True)), ["bucket", "id"], "left")
@@ -70,11 +71,15 @@ def split_buckets(labelled: DataFrame, cell: int, again: DataFrame | None = None
                   .select("bucket", F.col("top.comp").alias("main"), F.ceil(F.col("m") / F.lit(cell)).cast("long").alias("nb"),
                           F.ceil(F.col("o") / F.lit(cell)).cast("long").alias("no")), "cells-open")
     rows = labelled.join(open_, "bucket")
-    up_to = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    members = rows.select("bucket", F.pmod(F.xxhash64("id"), "nb").alias("blk"), up_to("no").alias("pblk"), F.lit(False).alias("probe"), "id", "comp")
-    probes = rows.where("comp != main" if again is None else "again").select(
-        "bucket", up_to("nb").alias("blk"), F.pmod(F.xxhash64("id"), "no").alias("pblk"), F.lit(True).alias("probe"), "id", "comp")
-    return members.unionByName(probes)
+    if carry is not None:
+        rows = rows.join(carry, "id")
+    place = lambda blk, pblk, probe: F.struct(blk.alias("blk"), pblk.alias("pblk"), F.lit(probe).alias("probe"))
+    up_to = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    as_member = F.transform(up_to("no"), lambda k: place(F.pmod(F.xxhash64("id"), "nb"), k, False))
+    as_probe = F.transform(up_to("nb"), lambda k: place(k, F.pmod(F.xxhash64("id"), "no"), True))
+    asks = F.col("comp") != F.col("main") if again is None else F.col("again").isNotNull()
+    dealt = rows.withColumn("cell", F.explode(F.when(asks, F.concat(as_member, as_probe)).otherwise(as_member)))
+    return dealt.select("bucket", "cell.*", "id", "comp", *([c for c in carry.columns if c != "id"] if carry is not None else []))
 
 
 def bounded_batches(spark: SparkSession, rows: int = 512) -> None:

@@ -39,7 +39,7 @@ NUM, DEN = 75, 100
 HASHES, ROWS = 200, 5  # 40 bands of 5: a pair at 0.75 is missed with probability 2e-5
 STEP = 20
 MISS = 1e-6
-CELL = 128
+CELL = 512  # 262,144 pairs: about 50 MB at most in a task while a batch of values is compared
 FIRST, GROWTH = 2, 8  # survivors of a document and component that a cell hands on: in the first round, and from round to round
 CHUNK = 4096
 SPACES = b" \t\n\r\x0b\x0c"
@@ -243,8 +243,8 @@ def _across(labelled: DataFrame, links: DataFrame, reps: DataFrame, docs: DataFr
     """``links`` and those that join the components of ``labelled`` (bucket, id, comp) further."""
     most, wanted = FIRST, None
     while True:
-        cells = split_buckets(labelled, CELL, wanted)
-        told = store(_cells(cells.join(reps.select("id", "sig"), "id"), most), "near-rest")
+        cells = split_buckets(labelled, CELL, wanted, reps.select("id", "sig"))
+        told = store(_cells(cells, most), "near-rest")
         pairs = store(told.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "near-across")
         found = store(_verify(pairs, docs), "near-more")
         links = links.unionByName(found)
