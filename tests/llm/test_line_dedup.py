@@ -87,3 +87,27 @@ def test_near_lines_and_edges(spark, monkeypatch):
     texts = {r.doc_id: r.text for r in X.rebuild(df, X.line_components(df)).collect()}
     for i, t in rows:
         assert texts[i] == (t if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if want[i, k] == (i, k)))
+
+
+def found_pairs(spark, pairs):
+    """Share of the pairs whose two lines are one component."""
+    rows = [(k, f"{a}\n{b}") for k, (a, b) in enumerate(pairs)]
+    got = result(X.line_components(spark.createDataFrame(rows, "doc_id long, text string")))
+    return sum(got[k, 1] == (k, 0) for k in range(len(pairs))) / len(pairs)
+
+
+def test_short_lines_near_the_threshold_are_candidates(spark):
+    """Isolated pairs of 8 to 40 shingles in the union, at similarity 0.75 to 0.85."""
+    rng = random.Random(11)
+    letters = "abcdefghijklmnopqrstuvwxyz0123456789"
+    pairs = []
+    while len(pairs) < 1500:
+        union = rng.randrange(8, 41)
+        same = rng.randrange(union)
+        if 0.75 <= same / union <= 0.85:
+            b = "".join(rng.choice(letters) for _ in range(union + X.SHINGLE - 1))
+            pairs.append((b[:same + X.SHINGLE - 1], b))
+    assert all(len(shingles(a) & shingles(b)) * 100 >= 75 * len(shingles(a) | shingles(b)) for a, b in pairs)
+    share = found_pairs(spark, pairs)
+    print("found near the threshold", share)
+    assert share >= 0.99
