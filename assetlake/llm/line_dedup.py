@@ -21,9 +21,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assetlake.llm.common import components, split_buckets, store, table, unclash
+from assetlake.llm.common import components, discard, split_buckets, store, table, unclash
 
-SHINGLE = 12
+SHINGLE = 5  # one changed character leaves lines of 39 bytes or more similar
 NUM, DEN = 75, 100
 BANDS, ROWS = 19, 5  # a pair at 0.75 is a candidate with 0.994, at 0.85 with 0.99997; over 100 columns Spark generates no code
 TURNS = 4
@@ -76,15 +76,20 @@ def _verify(pairs: DataFrame, sigs: DataFrame, rows: DataFrame, name: str) -> Da
     keys = store(sigs.select("id", "h1", "h2").join(ids, "id"), f"{name}-keys")
     small = keys.count() * 32 <= SMALL_BYTES
     need = F.broadcast(keys) if small else keys
-    sets = store(rows.select("h1", "h2", "line").join(need, ["h1", "h2"]).groupBy("id").agg(F.first("line").alias("line"))
-                 .select("id", F.array_distinct(_hashes(F.col("line"))).alias("s")), f"{name}-sets")
+    texts = store(rows.select("h1", "h2", "line").join(need, ["h1", "h2"]).groupBy("id").agg(F.first("line").alias("line")), f"{name}-texts")
 
     def side(c):
-        return sets.select(F.col("id").alias(c), F.col("s").alias(f"s{c}"))
+        return texts.select(F.col("id").alias(c), F.col("line").alias(f"l{c}"))
 
-    both, na, nb = F.size(F.array_intersect("sa", "sb")), F.size("sa"), F.size("sb")
-    return (pairs.join(side("a"), "a").join(side("b"), "b")
-            .where((F.least(na, nb) * DEN >= F.greatest(na, nb) * NUM) & (both * DEN >= (na + nb - both) * NUM)).select("a", "b"))
+    def near(p):
+        both, na, nb = F.size(F.array_intersect(p["sa"], p["sb"])), F.size(p["sa"]), F.size(p["sb"])
+        return (F.least(na, nb) * DEN >= F.greatest(na, nb) * NUM) & (both * DEN >= (na + nb - both) * NUM)
+
+    # the texts are moved, since sets take eight times their room; an array of one pair has each set made once
+    sets = F.struct(*[F.array_distinct(_hashes(F.col(f"l{c}"))).alias(f"s{c}") for c in ("a", "b")])
+    out = store(pairs.join(side("a"), "a").join(side("b"), "b").where(F.exists(F.array(sets), near)).select("a", "b"), f"{name}-links")
+    discard(keys, texts)
+    return out
 
 
 def line_components(docs: DataFrame) -> DataFrame:
@@ -95,18 +100,23 @@ def line_components(docs: DataFrame) -> DataFrame:
     buckets = store(exploded.groupBy("bucket").agg(F.min("id").alias("b"), F.count(F.lit(1)).alias("m")).where("m > 1"), "line-buckets")
     members = store(exploded.join(buckets, "bucket").select("bucket", F.col("id").alias("a"), "b"), "line-members")
     star = store(members.where("a != b").select("a", "b").distinct(), "line-star")
-    links = store(_verify(star, sigs, rows, "line"), "line-links")
+    discard(buckets)
+    links = _verify(star, sigs, rows, "line")
     found = components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")), "line-cc")
     labelled = store(members.join(found.withColumnRenamed("node", "a"), "a", "left")
                      .select("bucket", F.col("a").alias("id"), F.coalesce("component_id", "a").alias("comp")), "line-labelled")
+    discard(members)
     cells = split_buckets(labelled, CELL)
     left, right = cells.where("probe").alias("l"), cells.where("not probe").alias("r")
     across = (left.join(right, ["bucket", "blk", "pblk"]).where("l.comp != r.comp")
               .select(F.greatest("l.id", "r.id").alias("a"), F.least("l.id", "r.id").alias("b")).distinct())
     across = store(across.join(star, ["a", "b"], "left_anti"), "line-across")
-    more = store(_verify(across, sigs, rows, "line-more"), "line-more")
+    discard(labelled, star)
+    more = _verify(across, sigs, rows, "line-more")
+    discard(across)
     final = components(links.unionByName(more).select(F.col("a").alias("src"), F.col("b").alias("dst")), "line-cc2")
     named = store(sigs.select("id", "h1", "h2").join(final.withColumnRenamed("node", "id"), "id").select("h1", "h2", F.col("component_id").alias("cc")), "line-named")
+    discard(sigs, links, more)
     narrow = store(rows.select("doc_id", "line_no", "h1", "h2", (F.col("line") == "").alias("blank")), "line-narrow")
     # a line without partner is its own component, named by its digests
     per_line = narrow.where("not blank").groupBy("h1", "h2").agg(

@@ -111,3 +111,20 @@ def test_short_lines_near_the_threshold_are_candidates(spark):
     share = found_pairs(spark, pairs)
     print("found near the threshold", share)
     assert share >= 0.99
+
+
+def test_one_changed_character(spark):
+    rng = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyz "
+
+    def planted(low, high, n=800):
+        out = []
+        for _ in range(n):
+            a = "x" + "".join(rng.choice(letters) for _ in range(rng.randrange(low, high + 1) - 2)) + "x"
+            at = rng.randrange(len(a))
+            out.append((a, a[:at] + "#" + a[at + 1:]))
+        return out
+
+    long, short = found_pairs(spark, planted(39, 90)), found_pairs(spark, planted(30, 38))
+    print("one changed character found: 39 to 90 bytes", long, "30 to 38 bytes", short)
+    assert long >= 0.99
