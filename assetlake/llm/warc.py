@@ -8,7 +8,9 @@ response, the others are revisits that refer to it.
 
 Reading: every record's length, checksum and block digest are checked. After a
 failed check the reader looks for the next valid gzip member or version line,
-goes on there, and reports the bytes between as a quarantined gap.
+goes on there, and reports the bytes between as a quarantined gap. A header may
+have any length. The query fails if an archive just written gives a gap or other
+than the records written.
 
 Defined results: NULL html is an empty payload; rows that repeat the smallest
 page_id are all responses; where all page_ids of equal payloads are NULL, all
@@ -33,7 +35,7 @@ from assetlake.llm.common import bounded_batches, fresh_path, store, table, uncl
 
 ROLL_BYTES = 64 << 20
 WINDOW = 4 << 20
-LONGEST_HEADER = 64 << 10
+HEADER = 64 << 10  # bytes read at first for a plain record's header
 DATE = "2024-01-01T00:00:00Z"
 VERSION = b"WARC/1.1\r\n"
 NEXT = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
@@ -132,8 +134,8 @@ class _Bytes:
 
 def parse(data: bytes) -> tuple[dict, bytes, int]:
     """Headers, block and length of the record at the start of ``data``; ValueError if a check fails."""
-    end = data.find(b"\r\n\r\n", 0, LONGEST_HEADER)
-    if not re.match(rb"WARC/1\.[01]\r\n", data) or end < 0:
+    end = data.find(b"\r\n\r\n") if re.match(rb"WARC/1\.[01]\r\n", data) else -1
+    if end < 0:
         raise ValueError("no record header")
     fields = {}
     for line in data[:end].decode("utf-8", "replace").split("\r\n")[1:]:
@@ -153,10 +155,14 @@ def parse(data: bytes) -> tuple[dict, bytes, int]:
 def _at(src: _Bytes, at: int) -> tuple[list[tuple[dict, bytes]], int]:
     """Records of the gzip member, or the plain record, at an offset, and the offset behind."""
     if src.get(at, 3) != b"\x1f\x8b\x08":
-        need = len(src.get(at, LONGEST_HEADER))
-        head = src.get(at, need)
-        m = re.search(rb"(?i)\r\ncontent-length:\s*(\d+)\s*\r\n", head)
-        if not m or (end := head.find(b"\r\n\r\n")) < 0:
+        need, head = HEADER, src.get(at, HEADER)
+        if not re.match(rb"WARC/1\.[01]\r\n", head):
+            raise ValueError("no record header")
+        while (end := head.find(b"\r\n\r\n")) < 0 and len(head) == need:
+            need *= 2
+            head = src.get(at, need)
+        m = re.search(rb"(?i)\r\ncontent-length:\s*(\d+)\s*\r\n", head[:end + 2]) if end >= 0 else None
+        if not m:
             raise ValueError("no record header")
         fields, block, used = parse(src.get(at, end + 8 + int(m[1])))
         return [(fields, block)], at + used
@@ -258,9 +264,20 @@ def read_archives(archives: DataFrame, payload: bool = True) -> DataFrame:
     return archives.select("path").repartition(n).mapInArrow(run, READ)
 
 
+def complete(archives: DataFrame, records: DataFrame) -> DataFrame:
+    """The records read from archives just written; fails at a gap, or if an archive has other than n_records."""
+    records = store(records, "warc-records")
+    seen = records.groupBy("path").agg(F.count(F.when(F.col("gap").isNull(), 1)).alias("n_read"), F.count("gap").alias("n_gaps"))
+    wrong = (archives.join(seen, "path", "left").withColumn("n_read", F.coalesce("n_read", F.lit(0)))
+             .where("n_read != n_records or n_gaps > 0").select("path", "n_records", "n_read", "n_gaps").take(3))
+    if wrong:
+        raise RuntimeError(f"archives read back otherwise than written: {[r.asDict() for r in wrong]}")
+    return records
+
+
 def q_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = write_archives(table(spark, sf_dir, "pages"), _uri(fresh_path(spark, "warc")))
-    return read_archives(archives, payload=False).where("gap is null").select(
+    return complete(archives, read_archives(archives, payload=False)).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

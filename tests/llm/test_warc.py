@@ -6,6 +6,7 @@ import random
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from assetlake.llm import warc as W
 from assetlake.llm.common import fresh_path
@@ -73,3 +74,24 @@ def test_nulls_repeats_and_clashes(spark):
                           ("3", "response", "None", 4)])
     assert bytes(next(r.payload for r in recs if r.page_id == 8)).decode() == "é" * 200_000
     assert W.read_archives(W.write_archives(df.limit(0), W._uri(fresh_path(spark, "warc")))).count() == 0
+
+
+@pytest.mark.parametrize("packed", [True, False])
+def test_long_headers(packed):
+    recs = [W.record(i, "http://x/" + "q" * n, b"<p>") for i, n in enumerate((10, 65_000, 200_000, 9_000_000, 10))]
+    got = read(b"".join(W.member(r) if packed else r for r in recs))
+    assert [h and h["warc-record-id"] for _, _, h, _, _ in got] == [f"<urn:x-page:{i}>" for i in range(5)]
+    assert [len(h["warc-target-uri"]) for _, _, h, _, _ in got] == [19, 65_009, 200_009, 9_000_009, 19]
+
+
+def test_query_keeps_pages_with_long_urls_and_fails_at_losses(spark, tmp_path):
+    rows = [(1, "http://a/" + "q" * 200_000, "same"), (2, "http://b/", "same"), (3, None, "else")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = sorted((r.page_id, r.record_type, r.refers_to) for r in W.q_warc(spark, str(tmp_path)).collect())
+    assert got == [(1, "response", None), (2, "revisit", 1), (3, "response", None)]
+    archives = W.write_archives(spark.read.parquet(f"{tmp_path}/pages.parquet"), W._uri(fresh_path(spark, "warc")))
+    records = W.read_archives(archives, payload=False)
+    assert W.complete(archives, records).count() == 3
+    for damaged in (records.where("page_id != 2"), records.where("false"), records.withColumn("gap", F.lit("wrong length"))):
+        with pytest.raises(RuntimeError, match="otherwise than written"):
+            W.complete(archives, damaged)
