@@ -1,12 +1,17 @@
 """Secret scan: pattern candidates, false positives removed by a random forest.
 
-Candidates are long runs of key characters that hold a digit or change case
-often. A random forest scores each by length, character transitions, dictionary
+Candidates are values assigned to a name for secrets (of any length and
+characters), private key bodies, passwords in URLs, signed web tokens, issuers'
+formats wherever they stand, and, in what is left, long runs of key characters
+that hold a digit or change case often. A random forest scores each by length, character transitions, dictionary
 coverage, whether it lies in a path, and the words beside it. The dictionary is
 every word that makes up at least ``MIN_SHARE`` of all words of the corpus (so at
 most 1 / MIN_SHARE words, counted over all documents). The forest is trained from
 labelled findings (value, before, after, label); ``weak_findings`` derives such
-labels from issuer formats and assignments where no reviewed ones are at hand.
+labels from these forms where no reviewed ones are at hand; a value that only
+stands near a word for secrets gets no label. The forms that are sure by
+themselves (keys, tokens, issuers' formats, passwords in URLs) score at least
+``CUTOFF`` whatever the findings held.
 At most ``PER_LABEL`` findings per label, picked by hash, are used for fitting
 (bounded, documented sample of labelled rows); everything else reads all rows.
 
@@ -18,6 +23,7 @@ an empty result.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import re
@@ -30,8 +36,20 @@ from pyspark.sql import functions as F
 from assetlake.llm.common import bounded_batches, store, table, unclash
 
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9_+/\-])[A-Za-z0-9_+/\-]{16,}={0,2}")
-ISSUED = re.compile(r"(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk_live_[A-Za-z0-9]{16,}|xox[abpr]-[A-Za-z0-9\-]{10,}|AIza[A-Za-z0-9_\-]{35}")
-ASSIGNED = re.compile(r"(?i)(?:token|password|passwd|pwd|secret|api[_-]?key|access[_-]?key|credential)s?[\"']?\s*(?:=|:|=>)\s*[\"']?$")
+ISSUED = re.compile(r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])|gh[pousr]_[A-Za-z0-9]{36,}|github_pat_[A-Za-z0-9_]{22,}|glpat-[A-Za-z0-9_\-]{20,}"
+                    r"|sk_live_[A-Za-z0-9]{16,}|xox[abpr]-[A-Za-z0-9\-]{10,}|AIza[A-Za-z0-9_\-]{35})")
+PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "github_pat_", "glpat-", "sk_live_", "xox", "AIza")
+JWT = re.compile(r"(?<![A-Za-z0-9_\-])eyJ[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]{4,}\.[A-Za-z0-9_\-]*")
+PEM = re.compile(r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----(?:\\[nr]|\s)*+"
+                 r"(?:([^-]*+(?:-(?!----)[^-]*+)*+)(?=-----END )|((?:[A-Za-z0-9+/=]{40,}+(?:\\[nr]|\s)*+)++(?:[A-Za-z0-9+/]{0,39}={1,2})?))")
+URL_PASSWORD = re.compile(r"(?<![A-Za-z0-9+.\-])[A-Za-z][A-Za-z0-9+.\-]{1,30}://[^\s/:@]*:([^\s/]+)@")
+NAMES = r"(?:token|password|passwd|passphrase|pwd|secret|api[_-]?key|access[_-]?key|private[_-]?key|credential)s?[\"']?\s*(?::?=>?|:)\s*"
+BEARER = r"authorization[\"']?\s*[:=]\s*[\"']?(?:bearer|basic|token)\s+"
+NAMED = ("token", "pass", "pwd", "secret", "key", "cred", "auth")
+ASSIGNMENT = re.compile(rf"(?i)(?:{NAMES}|{BEARER})(?:\"((?:[^\"\\\n]|\\.)+)\"|'((?:[^'\\\n]|\\.)+)'|[\"']?([^\s\"']\S*))")
+ASSIGNED = re.compile(rf"(?i)(?:{NAMES}|{BEARER})[\"']?$")
+URL_BEFORE = re.compile(r"://[^\s/:@]*:$")
+PEM_BEFORE = re.compile(r"PRIVATE KEY(?: BLOCK)?-----(?:\\[nr]|\s)*$")
 HINTS = ("token", "pass", "secret", "key", "auth", "cred")
 PLAIN = ("sha", "md5", "commit", "id", "uuid", "hash", "digest", "card", "phone", "order")
 NEAR = 32
@@ -43,13 +61,51 @@ SEED = 7
 MASK = "[SECRET]"
 
 
+def _forms(text: str):
+    """(start, end) of values told by their form, the most telling form first; a pattern runs only where its fixed part occurs."""
+    folded = text.casefold()
+    for m in PEM.finditer(text) if "PRIVATE KEY" in text else ():
+        k = 1 if m[1] is not None else 2
+        yield m.start(k), m.start(k) + len(re.sub(r"(?:\\[nr]|\s)+\Z", "", m[k]))
+    for m in ASSIGNMENT.finditer(text) if any(w in folded for w in NAMED) else ():
+        k = m.lastindex
+        yield m.start(k), m.start(k) + len(m[k] if k < 3 else m[k].rstrip("\"'.,;:)]}>"))
+    for m in URL_PASSWORD.finditer(text) if "://" in text else ():
+        yield m.span(1)
+    for found, fixed in ((JWT, ("eyJ",)), (ISSUED, PREFIXES)):
+        for m in found.finditer(text) if any(w in text for w in fixed) else ():
+            yield m.span()
+
+
 def candidates(text: str):
-    """(start, value, before, after) of each candidate of a whole text."""
+    """(start, value, before, after) of each candidate of a whole text, in their order; none overlap."""
+    taken: list[tuple[int, int]] = []
+    for a, b in _forms(text):
+        at = bisect.bisect(taken, (a, b))
+        if a < b and (at == 0 or taken[at - 1][1] <= a) and (at == len(taken) or b <= taken[at][0]):
+            taken.insert(at, (a, b))
+    spans, k = list(taken), 0
     for m in CANDIDATE.finditer(text):
-        v = m[0]
-        if not any(c.isdigit() for c in v) and sum(a.islower() != b.islower() for a, b in zip(v, v[1:], strict=False)) < 4:
-            continue
-        yield m.start(), v, text[max(0, m.start() - NEAR):m.start()], text[m.end():m.end() + 8]
+        # what the forms leave of a run
+        start, end = m.span()
+        while k < len(taken) and taken[k][1] <= start:
+            k += 1
+        pieces, j = [], k
+        while j < len(taken) and taken[j][0] < end:
+            pieces.append((start, taken[j][0]))
+            start, j = taken[j][1], j + 1
+        for a, b in [*pieces, (start, end)]:
+            v = text[a:b]
+            if b - a >= 16 and (any(c.isdigit() for c in v) or sum(x.islower() != y.islower() for x, y in zip(v, v[1:], strict=False)) >= 4):
+                spans.append((a, b))
+    for a, b in sorted(spans):
+        yield a, text[a:b], text[max(0, a - NEAR):a], text[b:b + 8]
+
+
+def sure(value: str, before: str, after: str) -> bool:
+    """A form that is a secret by itself: issuer's format, signed token, private key body, password in a URL."""
+    return (ISSUED.fullmatch(value) is not None or JWT.fullmatch(value) is not None or PEM_BEFORE.search(before) is not None
+            or URL_BEFORE.search(before) is not None and after.startswith("@"))
 
 
 class Dictionary:
@@ -91,7 +147,7 @@ def features(value: str, before: str, after: str, words: Dictionary) -> list[flo
         float(value.isdigit()), words.coverage(value), words.likely(value),
         float("/" in value) + float(before.endswith(("/", ".", "@"))) + float(after.startswith(("/", ".", "@"))),
         float(before.rstrip(" \"'").endswith(("=", ":", ">"))), float(before[-1:] in ("'", '"')),
-        float(any(h in w for w in beside for h in HINTS)), float(any(w.endswith(PLAIN) for w in beside)), float(ISSUED.match(value) is not None),
+        float(any(h in w for w in beside for h in HINTS)), float(any(w.endswith(PLAIN) for w in beside)), float(sure(value, before, after)),
     ]
 
 
@@ -156,12 +212,20 @@ class Model:
         self.words, self.forest = words, forest
 
     def score(self, found: list[tuple[str, str, str]]) -> np.ndarray:
-        return self.forest.score(np.array([features(*f, self.words) for f in found])) if found else np.zeros(0)
-
-
-def weak_label(value: str, before: str) -> int:
-    """1: an issuer's format, or assigned to a name for secrets; else 0."""
-    return int(ISSUED.fullmatch(value) is not None or ASSIGNED.search(before) is not None)
+        if not found:
+            return np.zeros(0)
+        told = self.forest.score(np.array([features(*f, self.words) for f in found]))
+        return np.where([sure(*f) for f in found], np.maximum(told, CUTOFF), told) if self.forest.trees else told
+
+
+def weak_label(value: str, before: str, after: str = "@") -> int | None:
+    """1: sure by its form, or assigned to a name for secrets; None (unreviewed): letters alone after a colon, or near a word for secrets; else 0."""
+    if sure(value, before, after):
+        return 1
+    if ASSIGNED.search(before):
+        return None if value.isalpha() and before.rstrip(" \t\"'").endswith(":") else 1
+    beside = re.findall(r"[a-z]+", before.lower())[-3:]
+    return None if any(h in w for w in beside for h in (*HINTS, "bearer", "basic")) else 0
 
 
 def weak_findings(docs: DataFrame) -> DataFrame:
@@ -170,7 +234,7 @@ def weak_findings(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            rows = [(v, pre, post, weak_label(v, pre)) for t in b.column(0).to_pylist() for _, v, pre, post in candidates(t or "")]
+            rows = [(v, pre, post, weak_label(v, pre, post)) for t in b.column(0).to_pylist() for _, v, pre, post in candidates(t or "")]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [()] * 4, schema.types, strict=True)], schema=schema)
 
     return docs.select("text").mapInArrow(run, "value string, before string, after string, label int")
