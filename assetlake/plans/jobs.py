@@ -8,6 +8,8 @@ re-reads the same rows (at-least-once with idempotent sinks).
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,7 +51,7 @@ PUBLISH = {
     "relationships": P.publish_relationships, "sequence_columns": P.publish_sequence_columns,
     "sequence_headers": P.publish_sequence_headers, "sequence_rows": P.publish_sequence_rows,
     "ts_headers": P.publish_ts_headers, "ts_points": P.publish_ts_points,
-    "ts_points_hour": P.publish_ts_points_hour,
+    "ts_points_hour": partial(P.publish_ts_points_hour, neighbours=True),
 }
 
 

@@ -17,7 +17,7 @@ from ..operators import filters as flt
 from ..operators.hierarchy import path_depth_children
 from ..operators.joins import sized_broadcast
 from ..operators.rules import cap_event_end
-from ..operators.timeseries import hourly_aggregates
+from ..operators.timeseries import HOUR_MS, hourly_aggregates
 from ..sources.scan import delta_since
 
 # Fixed value: default reserved series-name prefix excluded from publishing.
@@ -198,14 +198,37 @@ def publish_ts_points(src, run_time, window: tuple[int, int | None] | None = Non
 
 
 # --------------------------------------------------------------------- C13
+def points_around(points: DataFrame, window: tuple[int, int | None]) -> DataFrame:
+    """Per series the last point before the window and, if it is closed, the first after it (the largest value of a millisecond)."""
+    t, (lo, hi) = F.col("timestamp"), window
+
+    def one(df, order):
+        nearest = df.groupBy("id").agg(F.max(F.struct(order.alias("o"), "value", "external_id", "timestamp")).alias("p"))
+        return nearest.select("id", "p.external_id", "p.timestamp", "p.value")
+
+    out = one(points.filter(t < F.lit(lo)), t)
+    return out if hi is None else out.unionByName(one(points.filter(t > F.lit(hi)), -t))
+
+
 def publish_ts_points_hour(src, run_time, window: tuple[int, int | None] | None = None,
-                           reserved_prefix: str = RESERVED_SERIES_PREFIX) -> DataFrame:
-    """Hourly aggregates of numeric publishable series."""
+                           reserved_prefix: str = RESERVED_SERIES_PREFIX, neighbours: bool = False) -> DataFrame:
+    """Hourly aggregates of numeric publishable series.
+
+    With ``neighbours`` the window is widened to whole hours, and one point outside it on each
+    side gives its edge buckets their segments; without, points outside are cut off first.
+    """
     window = window or flt.window_last_days(run_time, 4)
+    if neighbours:
+        lo, hi = window
+        window = lo - lo % HOUR_MS, None if hi is None else hi - hi % HOUR_MS + HOUR_MS - 1
     heads = publishable_series(src, reserved_prefix, numeric_only=True).select("id", "is_step")
-    pts = flt.filter_window(src.ts_points(), "timestamp", window).filter(F.col("value").isNotNull())
-    pts = pts.join(sized_broadcast(heads), "id")
-    agg = hourly_aggregates(pts)
+    numeric = src.ts_points().filter(F.col("value").isNotNull())
+    pts = flt.filter_window(numeric, "timestamp", window)
+    if neighbours:
+        pts = pts.select("id", "external_id", "timestamp", "value").unionByName(points_around(numeric, window))
+    agg = hourly_aggregates(pts.join(sized_broadcast(heads), "id"))
+    if neighbours:
+        agg = agg.filter(flt.in_window("hour", window))
     return agg.select(
         "id", "external_id", millis_to_ts("hour").alias("timestamp"), "average", "max", "min", "count",
         "sum", "interpolation", "step_interpolation", "continuous_variance", "discrete_variance",

@@ -91,3 +91,29 @@ def test_cluster_settings():
     from assetlake.session import cluster_settings
     conf = cluster_settings(100 * 1024 ** 4, 8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+
+
+@pytest.mark.parametrize("window", [(3 * H, None), (3 * H, 5 * H - 1), (3 * H + 600_000, 4 * H + 10)])
+def test_published_hours_have_segments_over_the_window_edges(spark, window):
+    """The job's buckets are those of the whole history, cut to the window's hours afterwards."""
+    from types import SimpleNamespace
+
+    from assetlake.plans.jobs import PUBLISH
+    from assetlake.plans.params import RUN_TIME
+
+    rows = [(i, f"e{i}", t, float(v), i == 2) for i in (1, 2) for t, v in
+            [(0, 1), (H + 900_000, 9), (3 * H + 300_000, 2), (3 * H + 900_000, 4), (4 * H + 5, 7), (6 * H + 70, 30), (6 * H + 70, 31), (9 * H, 1)]]
+    rows += [(3, "e3", 3 * H + 5, 8.0, False), (4, "e4", H, 1.0, False), (4, "e4", 8 * H, 3.0, False)]
+    points = spark.createDataFrame(rows, SCHEMA)
+    heads = spark.createDataFrame([(i, f"e{i}", f"n{i}", False, i == 2, []) for i in range(1, 5)],
+                                  "id long, external_id string, name string, is_string boolean, is_step boolean, security_categories array<long>")
+    src = SimpleNamespace(ts_points=lambda: points.drop("is_step"), ts_headers=lambda: heads)
+    names = ["average", "max", "min", "count", "sum", "interpolation", "step_interpolation", "continuous_variance", "discrete_variance", "total_variation"]
+    last = window[1] if window[1] is not None else 100 * H
+    want = {(r["id"], r["hour"]): [r[n] for n in names] for r in hourly_aggregates(points).collect() if 3 * H <= r["hour"] <= last}
+    got = {(r["id"], int(r["ms"])): [r[n] for n in names]
+           for r in PUBLISH["ts_points_hour"](src, RUN_TIME, window=window).selectExpr("*", "unix_millis(timestamp) ms").collect()}
+    assert got.keys() == want.keys() and len(got) >= 5
+    for k, v in want.items():
+        assert got[k] == [x if x is None else pytest.approx(x) for x in v], k
+    assert got[1, 3 * H][names.index("interpolation")] is not None
