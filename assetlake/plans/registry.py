@@ -7,6 +7,7 @@ returning the comparison form of its result (see ``compare.py``).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,9 +22,10 @@ from ..operators.hierarchy import path_depth_children
 from ..operators.metrics import run_counters
 from ..operators.rules import cap_event_end, clean_file_names, event_rules
 from ..operators.timeseries import hourly_aggregates
+from ..session import scratch_dir
 from ..sinks.upsert import hierarchy_sync, upsert
 from ..sources.derived import DerivedTenant
-from ..sources.scan import upper_bound
+from ..sources.scan import DeltaState, upper_bound
 from ..sources.tables import Tables
 from . import publish as P
 from . import replicate as R
@@ -102,7 +104,7 @@ Q: dict[str, Callable[[DerivedTenant, DerivedTenant], DataFrame]] = {
     "q_delta_events": lambda s, t: P.publish_events(s, RUN_TIME, since_ms=DELTA_MARK_MS,
                                                     offset_ms=DELTA_OFFSET_MS),
     "q_full_read_events": lambda s, t: P.publish_events(
-        _Bounded(s, RUN_MS), RUN_TIME),
+        _FullRead(s, RUN_MS), RUN_TIME),
     # ---------------------------------------------------------- filters (D*)
     "q_filter_root_allow_deny": lambda s, t: R.prepare_assets(s, t, cfg_assets(), on_invalid="quarantine"),
     "q_filter_raw_db": lambda s, t: _raw_text(R.prepare_raw(s, cfg_raw(["geo", "sales"], ["sales"]))),
@@ -189,14 +191,18 @@ Q: dict[str, Callable[[DerivedTenant, DerivedTenant], DataFrame]] = {
 }
 
 
-class _Bounded:
-    """Source view whose events are bounded above by the run time (A18 + A19)."""
+class _FullRead:
+    """Source view whose events are read in full despite a stored mark, bounded above by the run time (A18 + A19)."""
 
     def __init__(self, src, until_ms: int):
         self._src, self._until = src, until_ms
 
     def events(self):
-        return upper_bound(self._src.events(), self._until)
+        df = self._src.events()
+        spark = df.sparkSession
+        state = DeltaState(spark, scratch_dir(spark, f"full-read-{uuid.uuid4().hex}"))
+        state.commit("events", spark.createDataFrame([(DELTA_MARK_MS,)], "last_updated_time long"))
+        return upper_bound(state.scan(df, "events", DELTA_OFFSET_MS, full_read=True), self._until)
 
 
 def q_stream_hour_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:

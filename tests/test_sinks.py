@@ -166,3 +166,20 @@ def test_replicate_assets_runner(spark, tenants, tmp_dir):
     jobs.run_replicate_assets(src, tgt, snap, cfg_assets(), RUN_MS, on_invalid="quarantine")
     out = snap.current()
     assert out.select("external_id").distinct().count() == out.count()
+
+
+def test_full_read_query_goes_past_a_stored_mark(spark, monkeypatch):
+    from assetlake.plans.params import DELTA_MARK_MS
+    from assetlake.plans.registry import queries
+    from assetlake.sources.scan import DeltaState as State
+    from conftest import SF
+
+    seen, scan = [], State.scan
+
+    def noted(self, df, identifier, offset_ms, full_read=False, **more):
+        seen.append((self.read(identifier), full_read, scan(self, df, identifier, offset_ms, **more).count()))
+        return scan(self, df, identifier, offset_ms, full_read, **more)
+
+    monkeypatch.setattr(State, "scan", noted)
+    rows = queries()["q_full_read_events"](spark, SF).count()
+    assert [x[:2] for x in seen] == [(DELTA_MARK_MS, True)] and seen[0][2] < rows
