@@ -16,6 +16,7 @@ ENTRIES = {
     "op8_minhash_dedup": ("minhash_dedup", "q_minhash_dedup", None),
     "op9_warc": ("warc", "q_warc", None),
     "op10_sentencepiece": ("sentencepiece_codec", "q_sentencepiece", None),
+    "op11_token_alignment": ("token_alignment", "q_token_alignment", None),
     "op13_token_counts": ("token_counts", "q_token_counts", None),
 }
 
