@@ -21,8 +21,11 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
+from array import array
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import batched, chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +36,9 @@ from assetlake.llm.common import bounded_batches, discard, store, table, unclash
 
 BLOCK_CHARS = 1 << 21
 BLOCK_DOCS = 4096
+CACHE_WORDS = 300_000
+#: texts that aren't encoded word by word: white space before a space, a space at the end, words too long to keep
+WHOLE = re.compile(r"\s |[^ ]{65}| \Z")
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -42,6 +48,10 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+def cut(found: bytes, starts: list[int]) -> list[bytes]:
+    return [found[s:e] for s, e in pairwise([*starts, len(found)])]
+
+
 class Aligner:
     """Both tokenizers, the bytes of their tokens and the identity map."""
 
@@ -71,25 +81,67 @@ class Aligner:
         ends = lambda n, inner, last: [b"%d%b" % (i, inner) for i in range(n)] + [b"%d%b" % (i, last) for i in range(n)]
         self.written = ends(self.n_a, b",", b"|") + ends(self.n_b, b",", b";")
 
-    def encode(self, texts: list[str | None]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of both for each text; none where the text has no tokens."""
-        full = [k for k, t in enumerate(texts) if t]
-        ids_a: list[list[int]] = [[] for _ in texts]
-        ids_b: list[list[int]] = [[] for _ in texts]
-        if full:
-            found_a = self.a.encode_batch_fast([" " + texts[k] for k in full], add_special_tokens=False)
-            found_b = self.b.encode([texts[k] for k in full], num_threads=1)
-            for k, a, b in zip(full, found_a, found_b, strict=True):
-                want, a = b" " + texts[k].encode(), a.ids
-                if b"".join(map(self.a_bytes.__getitem__, a)) == want == b"".join(map(self.b_bytes.__getitem__, b)):
-                    ids_a[k], ids_b[k] = a, b
+        #: ids of words behind a space, as 32-bit integers; None where the tokens don't give back the bytes
+        self.words_a: dict[str, bytes | None] = {}
+        self.words_b: dict[str, bytes | None] = {}
+        inner = lambda found: any(" " in x.lstrip(" ") for x in found)
+        tried = self.a.pre_tokenizer.pre_tokenize_str(" ".join(map(chr, [*range(33, 1024), 0x3042, 0x6F22, 0x1F642])))
+        self.a_first, self.b_first = (np.array([x[:1] == b" " for x in found]) for found in (self.a_bytes, b_bytes))
+        self.by_word = not inner(bytes(letters[c] for c in x).decode("latin-1") for x, _ in tried) and not inner(x.decode("latin-1") for x in b_bytes)
+
+    def _whole(self, texts: list[str]):
+        """Ids of both for each whole text, as 32-bit integers, or None twice."""
+        found_a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
+        for t, a, b in zip(texts, found_a, self.b.encode(texts, num_threads=1), strict=True):
+            want, a = b" " + t.encode(), a.ids
+            fits = b"".join(map(self.a_bytes.__getitem__, a)) == want == b"".join(map(self.b_bytes.__getitem__, b))
+            yield (array("i", a).tobytes(), array("i", b).tobytes()) if fits else (None, None)
+
+    def _together(self, words: list[str]):
+        """Ids of many words from one text that joins them: a word's first token alone begins with a space."""
+        joined = " ".join(words)
+        a, b = (np.frombuffer(x or b"", np.int32) for x in next(self._whole([joined])))
+        first_a, first_b = (np.flatnonzero(first[ids]) for first, ids in ((self.a_first, a), (self.b_first, b)))
+        if len(first_a) != len(words) or len(first_b) != len(words):
+            return self._whole(words)
+        return zip(*(cut(ids.tobytes(), (first * 4).tolist()) for ids, first in ((a, first_a), (b, first_b))), strict=True)
+
+    def _learn(self, words: set[str]) -> None:
+        new = words.difference(self.words_a)
+        if len(self.words_a) + len(new) > CACHE_WORDS:  # what is at hand stays
+            held = words.difference(new)
+            self.words_a, self.words_b = ({w: known[w] for w in held} for known in (self.words_a, self.words_b))
+        for some in batched(new, 10_000):
+            for w, (a, b) in zip(some, self._together(list(some)), strict=True):
+                self.words_a[w], self.words_b[w] = a, b
+
+    def encode(self, texts: list[str | None]) -> tuple[list[bytes], list[bytes]]:
+        """Ids of both for each text, as 32-bit integers; none where the text has no tokens.
+
+        No token of either crosses from another character to a space, and nothing before a single space bears on what
+        follows: such texts are encoded word by word, each word once. All others are encoded whole.
+        """
+        ids_a, ids_b, split, whole = [b""] * len(texts), [b""] * len(texts), [], []
+        for k, t in enumerate(texts):
+            if t:
+                if self.by_word and not WHOLE.search(" " + t):
+                    split.append((k, t.split(" ")))
+                else:
+                    whole.append(k)
+        for k, (a, b) in zip(whole, self._whole([texts[k] for k in whole]), strict=True):
+            ids_a[k], ids_b[k] = a or b"", b or b""
+        self._learn(set(chain.from_iterable(words for _, words in split)))
+        for k, words in split:
+            a = list(map(self.words_a.__getitem__, words))
+            if None not in a:
+                ids_a[k], ids_b[k] = b"".join(a), b"".join(map(self.words_b.__getitem__, words))
         return ids_a, ids_b
 
     def align(self, texts: list[str | None]) -> dict:
         """Figures of each text, its groups as written, and its links by id pair (see ``align`` below)."""
         ids_a, ids_b = self.encode(texts)
-        n_a, n_b = (np.array([len(x) for x in ids], np.int64) for ids in (ids_a, ids_b))
-        a, b = (np.concatenate([np.asarray(x, np.int64) for x in (*ids, ())]) for ids in (ids_a, ids_b))
+        n_a, n_b = (np.array([len(x) >> 2 for x in ids], np.int64) for ids in (ids_a, ids_b))
+        a, b = (np.frombuffer(b"".join(ids), np.int32).astype(np.int64) for ids in (ids_a, ids_b))
         del ids_a, ids_b
         end_a, end_b = np.cumsum(self.a_len[a]), np.cumsum(self.b_len[b])
         doc_end = np.concatenate(([0], end_a))[np.cumsum(n_a)]  # all texts stand one behind the other

@@ -139,6 +139,15 @@ def test_any_texts(tokens, texts):
         assert mine == Counter(links)
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet="aeinst'.,\n\t 1▁é\x1c\x85\u2028", max_size=40))
+def test_word_by_word_is_whole(text):
+    both = A.aligner(A_PATH, B_PATH)
+    a, b = both.encode([text])
+    whole = next(iter(both._whole([text]))) if text else (b"", b"")
+    assert (a[0], b[0]) == tuple(x or b"" for x in whole)
+
+
 def test_clashing_columns_long_text_and_empty(spark, tokens):
     rows = [(1, "some words and more " * 60_000), (2, None), (2, ""), (4, "some words"), (4, "some words")]
     check(spark, tokens, rows, SCHEMA, ("x", [1], "y"))
