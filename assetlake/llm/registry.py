@@ -17,6 +17,7 @@ ENTRIES = {
     "op9_warc": ("warc", "q_warc", None),
     "op10_sentencepiece": ("sentencepiece_codec", "q_sentencepiece", None),
     "op11_token_alignment": ("token_alignment", "q_token_alignment", None),
+    "op12_conversation_trie": ("conversation_trie", "q_conversation_trie", "Q_SQL"),
     "op13_token_counts": ("token_counts", "q_token_counts", None),
 }
 
