@@ -17,6 +17,7 @@ from .. import config as K
 from ..config import JobConfig
 from ..operators.metrics import observe_counters
 from ..schemas import PUBLISHED
+from ..sinks.partitioned import PartitionedTable
 from ..sinks.snapshot import SnapshotTable
 from ..sinks.upsert import hierarchy_sync, upsert
 from ..sinks.writers import overwrite, write_lines
@@ -50,6 +51,7 @@ PUBLISH = {
     "files": P.publish_files, "labels": P.publish_labels, "raw": P.publish_raw,
     "relationships": P.publish_relationships, "sequence_columns": P.publish_sequence_columns,
     "sequence_headers": P.publish_sequence_headers, "sequence_rows": P.publish_sequence_rows,
+    "sequence_bodies": P.publish_sequence_bodies,
     "ts_headers": P.publish_ts_headers, "ts_points": P.publish_ts_points,
     "ts_points_hour": partial(P.publish_ts_points_hour, neighbours=True),
 }
@@ -119,7 +121,12 @@ def assert_unique(df: DataFrame, key: str) -> None:
         raise ValueError(f"duplicate {key} values")
 
 
-def _upsert_into(target: SnapshotTable, rows: DataFrame, keys: list[str]) -> int:
+def _upsert_into(target: SnapshotTable | PartitionedTable, rows: DataFrame, keys: list[str]) -> int:
+    """The new version of a snapshot, or the number of partitions rewritten."""
+    if isinstance(target, PartitionedTable):
+        if target.keys != keys:
+            raise ValueError(f"the target is keyed on {target.keys}, the job on {keys}")
+        return len(target.upsert(rows))
     return target.commit(upsert(target.current(), rows, keys))
 
 

@@ -289,6 +289,17 @@ FROM seq_headers""", "seq_headers")
 SELECT h.external_id AS seq_external_id, r.row_number,
        'flag=' || r.c_flag || ';late=' || r.c_late || ';price=' || r.c_price || ';qty=' || r.c_qty AS rows, {RUT}
 FROM seq_rows r JOIN seq_headers h ON r.id = h.id""", "seq_rows", "seq_headers")
+    body = "seq_rows r JOIN seq_headers h ON r.id = h.id WHERE (r.id - 8000000) % 13 <> 0 AND (r.id - 8000000) % 17 <> 0"
+    S["q_publish_sequence_bodies"] = q(f"""
+SELECT h.external_id AS seq_external_id, r.row_number,
+       'flag=' || CASE WHEN (r.id - 8000000) % 7 = 0 THEN '' ELSE r.c_flag END
+       || CASE WHEN (r.id - 8000000) % 11 = 0 THEN '' WHEN (r.id - 8000000) % 7 = 0 THEN ';late=' ELSE ';late=' || r.c_late END
+       || ';price=' || r.c_price || ';qty=' || r.c_qty AS rows, {RUT}
+FROM {body}""", "seq_rows", "seq_headers")
+    S["q_sequence_last_record"] = q(f"""
+SELECT s.id, s.external_id, count(b.row_number) AS n_records, max(b.row_number) AS last_row_number
+FROM seq_headers s LEFT JOIN (SELECT r.id, r.row_number FROM {body}) b ON b.id = s.id GROUP BY s.id, s.external_id""",
+                                    "seq_rows", "seq_headers")
     S["q_publish_ts_headers"] = q(f"""
 SELECT id, external_id, name, description, is_string, is_step, unit, asset_id,
        {ARR('security_categories')} AS security_categories, {TS('created_time')} AS created_time,
@@ -483,6 +494,8 @@ SELECT external_id, timestamp, {R6('value')} AS value, value_string FROM (
                         value_string FROM ts_points WHERE timestamp % 2 = 0) t
   WHERE NOT EXISTS (SELECT 1 FROM ({rep_points}) s WHERE s.external_id = t.external_id AND s.timestamp = t.timestamp)
   UNION ALL SELECT * FROM ({rep_points}))""".replace("WITH_SRC AS (SELECT 1)\n", ""), "ts_points", "ts_headers")
+    S["q_points_by_day"] = f"""SELECT *, strftime(epoch_ms(timestamp), '%Y-%m-%d') AS p_date FROM ({S['q_upsert_points']})"""
+    S["q_events_by_key"] = S["q_upsert_events"]
     S["q_upsert_raw"] = q("""
 SELECT db_name, table_name, key, last_updated_time, columns_text AS columns FROM (
   SELECT db_name, table_name, key, last_updated_time - 86400000 AS last_updated_time, columns_text

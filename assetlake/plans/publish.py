@@ -16,6 +16,7 @@ from ..functions.scalars import cell_text, dynamic_text, iso_instant, map_to_kv,
 from ..operators import filters as flt
 from ..operators.hierarchy import path_depth_children
 from ..operators.joins import sized_broadcast
+from ..operators.nested import records
 from ..operators.rules import cap_event_end
 from ..operators.timeseries import HOUR_MS, hourly_aggregates
 from ..sources.scan import delta_since
@@ -158,7 +159,8 @@ def publish_sequence_headers(src, run_time, since_ms: int | None = None, offset_
 # --------------------------------------------------------------------- C10
 def sequence_rows_with_columns(headers: DataFrame, rows: DataFrame) -> DataFrame:
     """Rows of the given headers, each carrying its header's columns."""
-    h = headers.select("id", F.col("external_id").alias("seq_external_id"), "columns")
+    ids = F.transform("columns", lambda c: F.struct(c["external_id"].alias("external_id")))  # all that a record needs
+    h = headers.select("id", F.col("external_id").alias("seq_external_id"), ids.alias("columns"))
     return rows.join(sized_broadcast(h), "id")
 
 
@@ -173,6 +175,13 @@ def publish_sequence_rows(src, run_time) -> DataFrame:
     return df.select("seq_external_id", "row_number", zip_cells().alias("rows"), _audit(run_time))
 
 
+def publish_sequence_bodies(src, run_time) -> DataFrame:
+    """C10 from nested bodies (I2): those of known headers (A11), each record zipped with its body's own columns."""
+    known = sized_broadcast(src.sequence_headers().select("id"))
+    df = records(src.sequence_body().join(known, "id", "left_semi"))
+    return df.select(F.col("external_id").alias("seq_external_id"), "row_number", zip_cells().alias("rows"), _audit(run_time))
+
+
 # --------------------------------------------------------------------- C11
 def publish_ts_headers(src, run_time, since_ms: int | None = None, offset_ms: int = 600000) -> DataFrame:
     df = _maybe_delta(src.ts_headers(), since_ms, offset_ms)

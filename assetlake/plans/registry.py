@@ -20,9 +20,11 @@ from ..operators import remap
 from ..operators.batching import batch_rows
 from ..operators.hierarchy import path_depth_children
 from ..operators.metrics import run_counters
+from ..operators.nested import last_record
 from ..operators.rules import cap_event_end, clean_file_names, event_rules
 from ..operators.timeseries import hourly_aggregates
 from ..session import scratch_dir
+from ..sinks.partitioned import DayTable, KeyedTable
 from ..sinks.upsert import hierarchy_sync, upsert
 from ..sources.derived import DerivedTenant
 from ..sources.scan import DeltaState, upper_bound
@@ -83,6 +85,29 @@ def _target_points(src):
         (F.col("value") * 2).alias("value"), "value_string")
 
 
+def _through(table, first: DataFrame, then: DataFrame) -> DataFrame:
+    """The stored rows after ``first`` and ``then`` were upserted into ``table``."""
+    table.upsert(first)
+    table.upsert(then)
+    return table.stored()
+
+
+def _scratch(df: DataFrame, name: str) -> str:
+    return scratch_dir(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+
+
+def _points_by_day(src) -> DataFrame:
+    old = _target_points(src)
+    return _through(DayTable(old.sparkSession, _scratch(old, "points-by-day")), old, R.prepare_ts_points(src, cfg_ts(), RUN_TIME)).select(
+        "external_id", "timestamp", "value", "value_string", F.col("p_date").cast("string").alias("p_date"))
+
+
+def _events_by_key(src, tgt) -> DataFrame:
+    old = tgt.events()
+    table = KeyedTable(old.sparkSession, _scratch(old, "events-by-key"), ["external_id"], 16)
+    return _through(table, old, R.prepare_events(src, tgt, cfg_events(), RUN_TIME, since_ms=DELTA_MARK_MS)).drop(table.part)
+
+
 Q: dict[str, Callable[[DerivedTenant, DerivedTenant], DataFrame]] = {
     # ---------------------------------------------------------------- publish
     "q_publish_assets": lambda s, t: P.publish_assets(s, RUN_TIME),
@@ -95,6 +120,8 @@ Q: dict[str, Callable[[DerivedTenant, DerivedTenant], DataFrame]] = {
     "q_publish_sequence_columns": lambda s, t: P.publish_sequence_columns(s, RUN_TIME),
     "q_publish_sequence_headers": lambda s, t: P.publish_sequence_headers(s, RUN_TIME),
     "q_publish_sequence_rows": lambda s, t: P.publish_sequence_rows(s, RUN_TIME),
+    "q_publish_sequence_bodies": lambda s, t: P.publish_sequence_bodies(s, RUN_TIME),
+    "q_sequence_last_record": lambda s, t: last_record(s.sequence_body()),
     "q_publish_ts_headers": lambda s, t: P.publish_ts_headers(s, RUN_TIME),
     "q_publish_ts_points": lambda s, t: P.publish_ts_points(s, RUN_TIME),
     "q_publish_ts_points_hour": lambda s, t: P.publish_ts_points_hour(s, RUN_TIME),
@@ -178,6 +205,8 @@ Q: dict[str, Callable[[DerivedTenant, DerivedTenant], DataFrame]] = {
         t.events(), R.prepare_events(s, t, cfg_events(), RUN_TIME, since_ms=DELTA_MARK_MS), ["external_id"]),
     "q_upsert_points": lambda s, t: upsert(
         _target_points(s), R.prepare_ts_points(s, cfg_ts(), RUN_TIME), ["external_id", "timestamp"]),
+    "q_points_by_day": lambda s, t: _points_by_day(s),
+    "q_events_by_key": lambda s, t: _events_by_key(s, t),
     "q_upsert_raw": lambda s, t: _raw_text(upsert(
         t.raw_rows(), R.prepare_raw(s, cfg_raw(["sales"], [])), ["db_name", "table_name", "key"])),
     "q_hierarchy_diff": lambda s, t: R.plan_hierarchy_sync(s, t, cfg_assets(), on_invalid="quarantine"),

@@ -18,6 +18,7 @@ from ..operators import filters as flt
 from ..operators import remap
 from ..operators.hierarchy import hierarchy_diff
 from ..operators.joins import sized_broadcast
+from ..operators.nested import records
 from ..operators.rules import clean_file_names, event_rules
 from ..sources.scan import delta_since, upper_bound
 
@@ -139,11 +140,12 @@ def prepare_sequence_headers(src, tgt, cfg: JobConfig, headers: DataFrame | None
                     _null("bigint").alias("last_updated_time"), "data_set_id")
 
 
-def prepare_sequence_rows(src, cfg: JobConfig, headers: DataFrame | None = None) -> DataFrame:
-    """Rows of the replicated headers, keyed by the target external id."""
+def prepare_sequence_rows(src, cfg: JobConfig, headers: DataFrame | None = None, nested: bool = False) -> DataFrame:
+    """Rows of the replicated headers, keyed by the target external id; ``nested`` reads them from bodies."""
     h = headers if headers is not None else filtered_sequence_headers(src, cfg)
     keys = h.select("id", ext_id_fallback("external_id", "id").alias("seq_external_id"))
-    return src.sequence_rows().join(sized_broadcast(keys), "id").select("seq_external_id", "row_number", "values")
+    rows = records(src.sequence_body()).select("id", "row_number", "values") if nested else src.sequence_rows()
+    return rows.join(sized_broadcast(keys), "id").select("seq_external_id", "row_number", "values")
 
 
 # ------------------------------------------------------------- time series

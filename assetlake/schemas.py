@@ -47,3 +47,4 @@ PUBLISHED: dict[str, str] = {
                        "continuous_variance double, discrete_variance double, total_variation double, "
                        "row_updated_time timestamp"),
 }
+PUBLISHED["sequence_bodies"] = PUBLISHED["sequence_rows"]  # the same table, read from nested bodies

@@ -8,12 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import remap
 from ..operators.hierarchy import DIFF_COLUMNS, hierarchy_diff
 from ..operators.joins import sized_broadcast
-
-
-def _comparable(df: DataFrame, c: str):
-    """A column in a form that can be hashed (maps can't)."""
-    kind = df.schema[c].dataType.simpleString()
-    return F.to_json(F.col(c)) if "map<" in kind else F.col(c)
+from .partitioned import hashable, without_key
 
 
 def upsert(target: DataFrame | None, source: DataFrame, keys: list[str], newest: str = "last_updated_time") -> DataFrame:
@@ -29,10 +24,9 @@ def upsert(target: DataFrame | None, source: DataFrame, keys: list[str], newest:
     if target is not None:
         tagged = target.withColumn("__side", F.lit(0)).unionByName(tagged, allowMissingColumns=True)
     cols = [c for c in tagged.columns if c != "__side"]
-    tie = F.xxhash64(*[_comparable(tagged, c) for c in cols])
+    tie = F.xxhash64(*[hashable(tagged, c) for c in cols])
     order = F.struct("__side", *([newest] if newest in cols else []), tie)
-    no_key = F.when(F.greatest(*[F.col(k).isNull().cast("int") for k in keys], F.lit(0)) == 1, tie)
-    return (tagged.groupBy(*[F.col(k).alias(f"__{k}") for k in keys], no_key.alias("__no_key"))
+    return (tagged.groupBy(*[F.col(k).alias(f"__{k}") for k in keys], without_key(tagged, keys, cols).alias("__no_key"))
             .agg(F.max_by(F.struct(*cols), order).alias("row")).select("row.*"))
 
 

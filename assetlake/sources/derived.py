@@ -275,6 +275,18 @@ class DerivedTenant:
             ).alias("values"),
         )
 
+    def sequence_body(self) -> DataFrame:
+        """Bodies of every sequence: some NULL or without rows, some with fewer cells than columns or fewer columns."""
+        k = F.col("id") - 8000000
+        rows = self.sequence_rows().groupBy("id").agg(F.array_sort(F.collect_list(F.struct("row_number", "values"))).alias("rows"))
+        heads = self.sequence_headers().select("id", "external_id", F.transform(
+            "columns", lambda c: F.struct(c["external_id"].alias("external_id"))).alias("columns"))
+        short = F.transform("rows", lambda r: F.struct(r["row_number"].alias("row_number"), F.slice(r["values"], 1, 2).alias("values")))
+        none = F.slice("rows", 1, 0)
+        return heads.join(rows, "id", "left").select(
+            "id", "external_id", F.when(k % 11 == 0, F.slice("columns", 1, 3)).otherwise(F.col("columns")).alias("columns"),
+            F.when(k % 13 == 0, F.lit(None)).when(k % 17 == 0, none).when(k % 7 == 0, short).otherwise(F.col("rows")).alias("rows"))
+
     # ---------------------------------------------------------------------- files
     def files(self) -> DataFrame:
         p = self.t("pages")

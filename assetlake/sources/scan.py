@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RESOURCES = ("assets", "data_sets", "events", "files", "labels", "relationships", "raw_rows",
-             "sequence_headers", "sequence_rows", "ts_headers", "ts_points")
+             "sequence_headers", "sequence_rows", "sequence_body", "ts_headers", "ts_points")
 
 
 class ParquetTenant:
