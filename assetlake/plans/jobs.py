@@ -121,18 +121,19 @@ def assert_unique(df: DataFrame, key: str) -> None:
         raise ValueError(f"duplicate {key} values")
 
 
-def _upsert_into(target: SnapshotTable | PartitionedTable, rows: DataFrame, keys: list[str]) -> int:
+def _upsert_into(target: SnapshotTable | PartitionedTable, rows: DataFrame, keys: list[str], unique: bool = False) -> int:
     """The new version of a snapshot, or the number of partitions rewritten."""
     if isinstance(target, PartitionedTable):
         if target.keys != keys:
             raise ValueError(f"the target is keyed on {target.keys}, the job on {keys}")
-        return len(target.upsert(rows))
+        return len(target.upsert(rows, unique))
     return target.commit(upsert(target.current(), rows, keys))
 
 
 def run_replicate_files(src, tgt, target: SnapshotTable, cfg: JobConfig, run_time) -> int:
-    """Files with content: upsert keyed on external id."""
-    return _upsert_into(target, R.prepare_files(src, tgt, cfg, run_time, with_content=True), ["external_id"])
+    """Files with content: upsert keyed on external id (B10); the newest row of a key is chosen before bodies are read."""
+    rows = R.prepare_files(src, tgt, cfg, run_time, with_content=True, newest_only=True)
+    return _upsert_into(target, rows, ["external_id"], unique=True)
 
 
 def run_replicate_files_metadata(src, tgt, target: SnapshotTable, cfg: JobConfig, run_time,

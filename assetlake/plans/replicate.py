@@ -20,6 +20,8 @@ from ..operators.hierarchy import hierarchy_diff
 from ..operators.joins import sized_broadcast
 from ..operators.nested import records
 from ..operators.rules import clean_file_names, event_rules
+from ..sinks.partitioned import latest
+from ..sources.files import attach_bodies, binary_bodies, path_key
 from ..sources.scan import delta_since, upper_bound
 
 # Delta safety overlaps (ms) of the replicators.
@@ -71,9 +73,9 @@ def prepare_events(src, tgt, cfg: JobConfig, run_time=None, since_ms: int | None
 # ------------------------------------------------------------------- files
 def prepare_files(src, tgt, cfg: JobConfig, run_time=None, with_content: bool = True,
                   since_ms: int | None = None, offset_ms: int = FILES_METADATA_DELTA_OFFSET_MS,
-                  salts: int = 1) -> DataFrame:
-    """A5/A4, A19, D1, E11, E5, E3, E8, K12, C17."""
-    f = _scan(src.files(), run_time, since_ms, offset_ms)
+                  salts: int = 1, newest_only: bool = False) -> DataFrame:
+    """Metadata first, the bodies joined last (``file_bodies``)."""
+    f = _scan(src.files().drop("content"), run_time, since_ms, offset_ms)
     f = flt.data_set_filter(f, src.data_sets(), cfg.allow_list(K.DATA_SET_EXT_ID))
     f = f.withColumn("external_id", ext_id_fallback("external_id", "id"))
     if cfg.flag(K.CONTEXTUALIZATION):
@@ -84,14 +86,29 @@ def prepare_files(src, tgt, cfg: JobConfig, run_time=None, with_content: bool =
     if with_content:
         if cfg.flag(K.IGNORE_INVALID_LABELS):
             f = remap.keep_known(f, "id", "labels", tgt.labels())
-        f = clean_file_names(f)
+        f = clean_file_names(f.withColumn("__path", path_key()))  # bodies lie under the name as it was
     cols = [_null("bigint").alias("id"), "external_id", "source_created_time", "source_modified_time",
             "name", "directory", "mime_type", "source", "asset_ids", "security_categories", "labels",
             "uploaded", "uploaded_time", _null("bigint").alias("created_time"),
             _null("bigint").alias("last_updated_time"), "data_set_id", "metadata"]
-    if with_content:
-        cols.append("content")
-    return f.select(*cols)
+    if not with_content:
+        return f.select(*cols)
+    if newest_only:
+        f = latest(f, ["external_id"], "last_updated_time")
+    key, bodies = file_bodies(src)
+    f = f.withColumn("__body", F.col("id") if key is None else F.col(key))
+    return attach_bodies(f, bodies, "__body").select(*cols, "content")
+
+
+def file_bodies(src) -> tuple[str | None, DataFrame]:
+    """(metadata column that holds the key or None for the id, bodies as (__body, content)) of a tenant.
+
+    Bodies are a column of the files table, or files of their own below ``src.content_dir``.
+    """
+    content_dir = getattr(src, "content_dir", None)
+    if content_dir:
+        return "__path", binary_bodies(src.spark, content_dir).withColumnRenamed("path", "__body")
+    return None, src.files().select(F.col("id").alias("__body"), "content").where("content IS NOT NULL AND __body IS NOT NULL")
 
 
 # ------------------------------------------------------------------ labels

@@ -113,15 +113,16 @@ class PartitionedTable:
         size = F.octet_length(F.to_json(F.struct(*self.keys)))
         found = delta.groupBy(self.part).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).collect()
         waves: list[tuple[list, bool]] = []
+        some: list = []
         rows = held = 0
         for r in sorted(found, key=lambda r: r["bytes"]):
             if r["bytes"] > joins.BROADCAST_MAX_BYTES or r["n"] > joins.BROADCAST_MAX_ROWS:
                 waves.append(([r[self.part]], False))
                 continue
-            if not waves or held + r["bytes"] > joins.BROADCAST_MAX_BYTES or rows + r["n"] > joins.BROADCAST_MAX_ROWS:
-                waves.append(([], True))
-                rows = held = 0
-            waves[-1][0].append(r[self.part])
+            if not some or held + r["bytes"] > joins.BROADCAST_MAX_BYTES or rows + r["n"] > joins.BROADCAST_MAX_ROWS:
+                some, rows, held = [], 0, 0
+                waves.append((some, True))
+            some.append(r[self.part])
             rows, held = rows + r["n"], held + r["bytes"]
         return waves
 
@@ -143,13 +144,16 @@ class PartitionedTable:
         kept = tagged.join(F.broadcast(keys) if small else keys, same, "left_anti").drop("__no_key")
         return kept.unionByName(mine.repartitionByRange(self.part, *self.keys))
 
-    def upsert(self, rows: DataFrame) -> list:
-        """Replace rows of the same key as a whole, add the others; returns the partitions rewritten."""
+    def upsert(self, rows: DataFrame, unique: bool = False) -> list:
+        """Replace rows of the same key as a whole, add the others; returns the partitions rewritten.
+
+        ``unique`` says that ``rows`` hold a key once, so they aren't reduced (and payloads not shuffled) here.
+        """
         delta = self.place(rows)
         target = self.stored()
         if target is not None:
             delta = self._aligned(delta, target)
-        delta = latest(delta, self.keys, self.newest).checkpoint()
+        delta = (delta if unique else latest(delta, self.keys, self.newest)).checkpoint()
         pending = f"{self.path}/_pending/{uuid.uuid4().hex}"
         touched = []
         for parts, small in self._waves(delta):

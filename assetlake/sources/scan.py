@@ -15,9 +15,10 @@ RESOURCES = ("assets", "data_sets", "events", "files", "labels", "relationships"
 class ParquetTenant:
     """A tenant whose resources are Parquet folders ``<root>/<resource>``."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, content_dir: str | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.content_dir = content_dir  # file bodies by directory and name, where the files table holds none
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{name}")

@@ -130,18 +130,6 @@ def test_materialized_tenant_roundtrip(spark, tenants, tmp_dir):
     assert _set(pt.labels()) == _set(src.labels())
 
 
-def test_files_with_binary_content(spark, tmp_dir):
-    from assetlake.sources.files import files_with_content
-    body_dir = os.path.join(tmp_dir, "bodies")
-    os.makedirs(body_dir)
-    for name, body in (("a.txt", b"alpha"), ("b.txt", b"beta")):
-        with open(os.path.join(body_dir, name), "wb") as fh:
-            fh.write(body)
-    meta = spark.createDataFrame([(1, "a.txt"), (2, "b.txt"), (3, "c.txt")], "id long, name string")
-    got = {r["id"]: r["content"] for r in files_with_content(spark, meta, body_dir).collect()}
-    assert got[1] == bytearray(b"alpha") and got[2] == bytearray(b"beta") and got[3] is None
-
-
 def test_cli_publish_and_replicate(spark, tenants, tmp_dir):
     from assetlake.__main__ import main
     src, tgt = tenants
