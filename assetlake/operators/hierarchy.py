@@ -19,7 +19,8 @@ def path_depth_children(assets: DataFrame) -> DataFrame:
     cycles) get NULL depth and path: a missing ancestor finds no row to join, and
     a path that meets its own ancestor again is dropped.
     """
-    edges = assets.select("id", "parent_id").filter(F.col("id").isNotNull())
+    # one row an id (the largest parent, as in the lookup maps), so ids given twice don't multiply
+    edges = assets.filter(F.col("id").isNotNull()).groupBy("id").agg(F.max("parent_id").alias("parent_id"))
     # top: the next ancestor whose path is still to be put in front; NULL once the root is reached
     walk = edges.select("id", F.col("parent_id").alias("top"), F.array("id").alias("path")).checkpoint()
     while not walk.filter(F.col("top").isNotNull()).isEmpty():
@@ -32,7 +33,7 @@ def path_depth_children(assets: DataFrame) -> DataFrame:
     placed = walk.select("id", (F.size("path") - 1).cast("long").alias("depth"), "path")
     children = (edges.filter(F.col("parent_id").isNotNull())
                 .groupBy(F.col("parent_id").alias("id")).agg(F.count(F.lit(1)).alias("child_count")))
-    return (edges.select("id").distinct()
+    return (edges.select("id")
             .join(placed, "id", "left")
             .join(children, "id", "left")
             .select("id", "depth", "path",
@@ -49,29 +50,40 @@ def _comparable(c: str):
     return F.col(c)
 
 
-def hierarchy_diff(source: DataFrame, target: DataFrame) -> DataFrame:
-    """B6 plan: per asset, op in {create, update, delete, unchanged}.
-
-    ``source`` holds the replicated source assets with ``root_external_id``;
-    ``target`` holds the target assets with ``root_external_id``. Assets are
-    matched by external id across the whole target (an asset may move between
-    roots); deletes are limited to target assets under roots present in the
-    source (the sync scope). One full outer join on the external id; the row
-    difference is a NULL-safe compare of a struct of the replicated fields.
+def _one_a_key(df: DataFrame, cols: list[str], name: str) -> DataFrame:
+    """external_id, one row of it as a struct (the newest, then the largest row hash), the number of rows it had."""
+    newest = ["last_updated_time"] if "last_updated_time" in cols else []
+    order = F.struct(*newest, F.xxhash64("external_id", *[_comparable(c) for c in cols]))
+    return df.groupBy("external_id").agg(F.max_by(F.struct(*cols, F.struct(*[_comparable(c).alias(c) for c in DIFF_COLUMNS]).alias("compared")), order).alias(name),
+                                         F.count(F.lit(1)).alias(f"{name}_n"))
+
+
+def merge_hierarchy(source: DataFrame, target: DataFrame) -> DataFrame:
+    """Source and target assets met once by external id: external_id, s, t (both rows whole), s_n, t_n, op.
+
+    ``source`` holds the replicated source assets, ``target`` the target's, both with ``root_external_id``. Assets match
+    across the whole target (one may move between roots). op is create, update, unchanged, delete (a target asset
+    under a root of the source, which the source lacks) or outside (any other target asset). One full outer join; both
+    sides are reduced to one row a key in the same partitioning, so duplicates (s_n, t_n) can't multiply. Target
+    assets without external id match nothing and pass by the join.
     """
-    cols = list(DIFF_COLUMNS)
-    s = source.select(F.col("external_id"), F.col("root_external_id").alias("s_root"),
-                      F.struct(*[_comparable(c).alias(c) for c in cols]).alias("s_row"),
-                      F.lit(True).alias("in_s"))
-    scope = source.select(F.col("root_external_id").alias("t_root"), F.lit(True).alias("in_scope")).distinct()
-    t = (target.select(F.col("external_id"), F.col("root_external_id").alias("t_root"),
-                       F.struct(*[_comparable(c).alias(c) for c in cols]).alias("t_row"),
-                       F.lit(True).alias("in_t"))
-         .join(sized_broadcast(scope), "t_root", "left"))
-    j = s.join(t, "external_id", "full_outer").filter(F.col("in_s").isNotNull() | F.col("in_scope").isNotNull())
-    op = (F.when(F.col("in_t").isNull(), F.lit("create"))
-          .when(F.col("in_s").isNull(), F.lit("delete"))
-          .when(F.col("s_row").eqNullSafe(F.col("t_row")) & F.col("s_root").eqNullSafe(F.col("t_root")),
-                F.lit("unchanged"))
-          .otherwise(F.lit("update")))
-    return j.select("external_id", F.coalesce("s_root", "t_root").alias("root_external_id"), op.alias("op"))
+    s_cols = [c for c in source.columns if c != "external_id"]
+    t_cols = [c for c in target.columns if c != "external_id"]
+    s = _one_a_key(source.where("external_id IS NOT NULL"), s_cols, "s")
+    t = _one_a_key(target.where("external_id IS NOT NULL"), t_cols, "t")
+    both = s.join(t, "external_id", "full_outer")
+    lone = target.where("external_id IS NULL").select("external_id", F.struct(
+        *t_cols, F.struct(*[_comparable(c).alias(c) for c in DIFF_COLUMNS]).alias("compared")).alias("t"), F.lit(1).cast("long").alias("t_n"))
+    scope = source.select(F.col("root_external_id").alias("__root"), F.lit(True).alias("__in")).distinct()
+    met = both.unionByName(lone, allowMissingColumns=True).join(sized_broadcast(scope), F.col("t.root_external_id") == F.col("__root"), "left")
+    same = F.col("s.compared").eqNullSafe(F.col("t.compared")) & F.col("s.root_external_id").eqNullSafe(F.col("t.root_external_id"))
+    op = (F.when(F.col("t").isNull(), "create").when(F.col("s").isNull(), F.when(F.col("__in"), "delete").otherwise("outside"))
+          .when(same, "unchanged").otherwise("update"))
+    return met.select("external_id", "s", "t", "s_n", "t_n", op.alias("op"))
+
+
+def hierarchy_diff(source: DataFrame, target: DataFrame) -> DataFrame:
+    """B6 plan: per asset in scope (external_id, root_external_id, op), op in {create, update, delete, unchanged}."""
+    cols = ["external_id", *DIFF_COLUMNS, "root_external_id"]
+    return merge_hierarchy(source.select(*cols), target.select(*cols)).where("op <> 'outside'").select(
+        "external_id", F.coalesce("s.root_external_id", "t.root_external_id").alias("root_external_id"), "op")

@@ -61,14 +61,16 @@ def map_array(df: DataFrame, key: str, column: str, mapping: DataFrame, salts: i
     """Map every element of an array through ``mapping(k, v)``.
 
     Unmapped elements are dropped; order and duplicates are kept; rows with
-    empty or NULL arrays survive with an empty array. ``key`` must identify
-    a row. Work is proportional to the number of array elements; no group
-    holds more than one row's elements. When the mapping is too large to
+    empty or NULL arrays survive with an empty array. Each distinct array is
+    mapped once and joined back by its value, so ids may repeat or be NULL (``key`` names
+    the row id and isn't read) and only the arrays go through the grouping, which never
+    gathers more than one array's elements. When the mapping is too large to
     broadcast, ``salts`` > 1 spreads a hot element (one asset linked from a
     large share of the rows) over that many tasks.
     """
     m, small = sized_dim(mapping.select(F.col("k").alias("__e"), F.col("v").alias("__v")))
-    elems = df.select(F.col(key).alias("__key"), F.posexplode(column).alias("__pos", "__e"))
+    arrays = df.select(F.col(column).alias("__key")).where(F.size("__key") > 0).distinct()
+    elems = arrays.select("__key", F.posexplode("__key").alias("__pos", "__e"))
     if salts > 1 and not small:
         joined = salted_join(elems, m.withColumnRenamed("__e", "__e2"), "__e", "__e2", salts).drop("__e2")
     else:
@@ -77,7 +79,7 @@ def map_array(df: DataFrame, key: str, column: str, mapping: DataFrame, salts: i
               .groupBy("__key")
               .agg(F.array_sort(F.collect_list(F.struct("__pos", "__v"))).alias("__m")))
     elem_type = mapping.schema["v"].dataType.simpleString()
-    return (df.join(mapped, F.col(key) == F.col("__key"), "left")
+    return (df.join(mapped, F.col(column) == F.col("__key"), "left")
             .withColumn(column, F.coalesce(F.transform("__m", lambda x: x["__v"]),
                                            F.array().cast(f"array<{elem_type}>")))
             .drop("__key", "__m"))
@@ -88,7 +90,6 @@ def remap_array(df: DataFrame, key: str, column: str, trans: DataFrame, salts: i
     return map_array(df, key, column, trans.select(F.col("src_id").alias("k"), F.col("tgt_id").alias("v")), salts)
 
 
-
 def keep_known(df: DataFrame, key: str, column: str, known: DataFrame, known_col: str = "external_id") -> DataFrame:
     """Keep only array values that exist in ``known`` (order kept, no dedup)."""
     vals = known.select(F.col(known_col).alias("k")).filter(F.col("k").isNotNull()).distinct()

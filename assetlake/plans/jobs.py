@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import config as K
@@ -187,6 +187,8 @@ def run_replicate_assets(src, tgt, target: SnapshotTable, cfg: JobConfig, run_ms
                          on_invalid: str = "fail") -> int:
     """Hierarchy synchronisation: the target snapshot becomes equal to the source per root."""
     prepared = R.prepare_assets(src, tgt, cfg, on_invalid)
-    synced = hierarchy_sync(prepared, tgt.assets(), run_ms).checkpoint()
+    counters = Observation("replicate_assets")
+    synced = hierarchy_sync(prepared, tgt.assets(), run_ms, counters).checkpoint()
+    LAST_COUNTERS["replicate_assets"] = counters.get
     assert_unique(synced, "id")  # new ids are xxhash64(external_id): check for collisions
     return target.commit(synced)

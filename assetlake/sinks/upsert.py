@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators import remap
-from ..operators.hierarchy import DIFF_COLUMNS, hierarchy_diff
+from ..operators.hierarchy import DIFF_COLUMNS, merge_hierarchy
 from ..operators.joins import sized_broadcast
 from .partitioned import hashable, without_key
 
@@ -30,33 +30,30 @@ def upsert(target: DataFrame | None, source: DataFrame, keys: list[str], newest:
             .agg(F.max_by(F.struct(*cols), order).alias("row")).select("row.*"))
 
 
-def hierarchy_sync(prepared: DataFrame, target: DataFrame, run_ms: int) -> DataFrame:
+def hierarchy_sync(prepared: DataFrame, target: DataFrame, run_ms: int, counters: Observation | None = None) -> DataFrame:
     """B6 applied: the target asset table after making every in-scope root
     equal to the source (create, update, delete).
 
     ``prepared`` is the output of ``replicate.prepare_assets`` (with
-    ``root_external_id``). New assets get ``id = xxhash64(external_id)``;
-    parent and root ids are resolved through the new table's external ids.
+    ``root_external_id``). Source and target meet in one join (``merge_hierarchy``). New assets get
+    ``id = xxhash64(external_id)``; parent and root ids are resolved through the new table's external ids.
+    ``counters`` observes the assets by op and the duplicates of either side.
     """
-    prepared = prepared.checkpoint()  # read four times below; computed once
+    prepared = prepared.checkpoint()  # its roots are the scope, its rows one side of the join
     tgt = remap.parent_and_root_ext(target.drop("parent_external_id"), remap.id_to_ext(target))
-    plan = hierarchy_diff(prepared, tgt)
-    scope = prepared.select(F.col("root_external_id").alias("__root")).distinct()
-    out_of_scope = (tgt.join(sized_broadcast(scope), F.col("root_external_id") == F.col("__root"), "left_anti")
-                    .join(prepared.select("external_id"), "external_id", "left_anti")
-                    .select("id", "external_id", *DIFF_COLUMNS, "root_external_id", "created_time",
-                            "last_updated_time"))
-    t_old = tgt.select("external_id", F.col("id").alias("t_id"), F.col("created_time").alias("t_created"),
-                       F.col("last_updated_time").alias("t_updated"))
-    kept = (prepared.join(plan.filter(F.col("op") != "delete").select("external_id", "op"), "external_id")
-            .join(t_old, "external_id", "left")
-            .select(F.coalesce("t_id", F.xxhash64("external_id")).alias("id"), "external_id", *DIFF_COLUMNS,
-                    "root_external_id",
-                    F.coalesce("t_created", F.lit(run_ms)).alias("created_time"),
-                    F.when(F.col("op") == "unchanged", F.col("t_updated")).otherwise(F.lit(run_ms))
-                    .alias("last_updated_time")))
-    new = out_of_scope.unionByName(kept).checkpoint()  # read by three branches below
-    ids = new.select(F.col("external_id").alias("__ext"), F.col("id").alias("__id"))
+    fields = ["external_id", *DIFF_COLUMNS, "root_external_id"]
+    merged = merge_hierarchy(prepared.select(*fields), tgt.select("id", *fields, "created_time", "last_updated_time"))
+    if counters is not None:
+        merged = merged.observe(counters, *[F.count_if(F.col("op") == o).alias(o) for o in ("create", "update", "delete", "unchanged", "outside")],
+                                *[F.coalesce(F.sum(F.col(f"{k}_n") - 1), F.lit(0)).alias(f"{name}_duplicates") for k, name in (("s", "source"), ("t", "target"))])
+    outside, unchanged = F.col("op") == "outside", F.col("op").isin("outside", "unchanged")
+    side = lambda c: F.when(outside, F.col(f"t.{c}")).otherwise(F.col(f"s.{c}")).alias(c)
+    new = (merged.where("op <> 'delete'")
+           .select(F.coalesce("t.id", F.xxhash64("external_id")).alias("id"), "external_id", *[side(c) for c in (*DIFF_COLUMNS, "root_external_id")],
+                   F.coalesce("t.created_time", F.when(~outside, F.lit(run_ms))).alias("created_time"),
+                   F.when(unchanged, F.col("t.last_updated_time")).otherwise(F.lit(run_ms)).alias("last_updated_time"))
+           .checkpoint())  # read by three branches below
+    ids = new.where("external_id IS NOT NULL").select(F.col("external_id").alias("__ext"), F.col("id").alias("__id"))
     par = ids.select(F.col("__ext").alias("__pext"), F.col("__id").alias("parent_id"))
     # root external ids are hot keys: resolve them through the (small) set of roots
     roots = new.select(F.col("root_external_id").alias("__ext")).distinct()
