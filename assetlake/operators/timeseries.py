@@ -25,6 +25,13 @@ the per-bucket aggregate (no second shuffle). A series-hour holds at most
 of all rows is spread over many tasks. The segments that cross bucket edges
 are then stitched with a window over the bucket table (one row per output
 row), partitioned by series.
+
+``fill_empty`` adds the buckets without points between two points of a series
+that are at most ``max_gap_ms`` apart: count 0, the aggregates of points NULL,
+interpolations, variance and variation those of the one segment that crosses
+the bucket. A bucket row generates the empty ones behind it, at most
+``max_gap_ms / bucket_ms`` rows; longer silences stay without rows, and so do
+the time before the first and after the last point.
 """
 
 from __future__ import annotations
@@ -47,7 +54,7 @@ def _piece(va, vb, dt):
 
 
 def hourly_aggregates(points: DataFrame, bucket_ms: int = HOUR_MS, dedup: bool = True,
-                      time_weighted: bool = False) -> DataFrame:
+                      time_weighted: bool = False, fill_empty: bool = False, max_gap_ms: int | None = None) -> DataFrame:
     """``points(id, external_id, timestamp, value, is_step)`` -> one row per (id, bucket).
 
     ``average`` is the mean of the bucket's points; with ``time_weighted`` it is
@@ -59,6 +66,8 @@ def hourly_aggregates(points: DataFrame, bucket_ms: int = HOUR_MS, dedup: bool =
     (id, hour) serves the dedup aggregate, the within-hour window and the
     bucket aggregate, so the points are shuffled once.
     """
+    if fill_empty and max_gap_ms is None:
+        raise ValueError("fill_empty needs max_gap_ms, the longest silence to fill")
     t, v = F.col("timestamp"), F.col("value")
     p = points.select("id", "external_id", "timestamp", "value",
                       F.coalesce("is_step", F.lit(False)).alias("is_step"),
@@ -125,8 +134,20 @@ def hourly_aggregates(points: DataFrame, bucket_ms: int = HOUR_MS, dedup: bool =
     step_interp = F.when(first_t == H, first_v).when(prev_t.isNotNull(), prev_v)
     cvar = F.when(T > 0, F.greatest(F.lit(0.0), S2 / T - (S1 / T) * (S1 / T)))
     average = F.when(T > 0, ref + S1 / T) if time_weighted else F.col("average")
-    return b.select(
-        "id", "external_id", "hour", average.alias("average"), "max", "min", "count", "sum",
-        interp.alias("interpolation"), step_interp.alias("step_interpolation"),
-        cvar.alias("continuous_variance"), "discrete_variance",
-        (F.col("tv_in") + tv_a + tv_b).alias("total_variation"))
+    out = {"average": average, "max": F.col("max"), "min": F.col("min"), "count": F.col("count"), "sum": F.col("sum"),
+           "interpolation": interp, "step_interpolation": step_interp, "continuous_variance": cvar,
+           "discrete_variance": F.col("discrete_variance"), "total_variation": F.col("tv_in") + tv_a + tv_b}
+    if not fill_empty:
+        return b.select("id", "external_id", "hour", *[c.alias(k) for k, c in out.items()])
+    next_hour = next_t - F.pmod(next_t, F.lit(bucket_ms))
+    between = F.when((next_hour - H > bucket_ms) & (next_t - last_t <= F.lit(int(max_gap_ms))),
+                     F.sequence(H + F.lit(bucket_ms), next_hour - F.lit(bucket_ms), F.lit(bucket_ms).cast("long")))
+    b = b.withColumn("at", F.explode(F.concat(F.array(H), F.coalesce(between, F.array().cast("array<bigint>")))))
+    at = F.col("at")
+    opens = F.when(step, last_v).otherwise(_lin(last_v, last_t, next_v, next_t, at))
+    closes = F.when(step, last_v).otherwise(_lin(last_v, last_t, next_v, next_t, at + F.lit(bucket_ms)))
+    empty = {"average": (opens + closes) / 2 if time_weighted else F.lit(None).cast("double"), "count": F.lit(0).cast("long"),
+             "interpolation": opens, "step_interpolation": last_v, "continuous_variance": (closes - opens) * (closes - opens) / 12,
+             "total_variation": F.abs(closes - opens)}
+    return b.select("id", "external_id", at.alias("hour"), *[
+        F.when(at == H, c).otherwise(empty.get(k, F.lit(None).cast("double"))).alias(k) for k, c in out.items()])

@@ -12,7 +12,7 @@ from ..operators import filters as flt
 from ..operators.rules import (DESCRIPTION_KEY, DESCRIPTION_NOTE, END_KEY, END_NEGATIVE_NOTE, ORIGINAL_FILE_NAME_KEY,
                                START_AFTER_END_NOTE, START_KEY, START_NEGATIVE_NOTE)
 from .oracle_fixtures import with_ctes
-from .params import DELTA_MARK_MS, DELTA_OFFSET_MS, RUN_MS, RUN_TIME, RUN_TS_TEXT
+from .params import DELTA_MARK_MS, DELTA_OFFSET_MS, FILL_GAP_MS, RUN_MS, RUN_TIME, RUN_TS_TEXT
 
 CAP = 253402300799990
 
@@ -73,53 +73,36 @@ amap AS (SELECT aelem.id, list(tam.tid ORDER BY aelem.pos) AS mapped FROM aelem
          JOIN tam ON tam.ext = coalesce(sam.ext, CAST(aelem.aid AS VARCHAR)) GROUP BY aelem.id)"""
 
 
-def hourly(points_select: str) -> str:
-    """CTE ``hourly`` over ``points_select(id, external_id, timestamp, value, is_step)``."""
-    dt = "CAST(nt - t AS DOUBLE)"
-    nve = "(CASE WHEN is_step THEN v ELSE nv END)"
-    a_dt = "CAST(hour + 3600000 - last_t AS DOUBLE)"
-    b_dt = "CAST(first_t - hour AS DOUBLE)"
+def hourly(points_select: str, hours_where: str = "true") -> str:
+    """CTE ``hourly`` over ``points_select(id, external_id, timestamp, value, is_step)``, straight from the definition.
+
+    The points of a series, one a millisecond, are joined by segments (constant in step series). Every segment is
+    clipped to every hour that holds a point; the continuous aggregates are integrals over the clipped pieces, the
+    variance taken around the hour's own mean.
+    """
+    at = lambda x: f"CASE WHEN is_step THEN v ELSE v + (nv - v) * CAST({x} - t AS DOUBLE) / CAST(nt - t AS DOUBLE) END"
     return f"""
 hp AS ({points_select}),
-hp1 AS (SELECT id, external_id, timestamp AS t, value AS v, coalesce(is_step, false) AS is_step,
-               timestamp - (timestamp % 3600000) AS hour FROM hp),
-hp2 AS (SELECT *, lead(t) OVER w AS nt, lead(v) OVER w AS nv FROM hp1
-        WINDOW w AS (PARTITION BY id, hour ORDER BY t)),
-hb AS (SELECT id, hour, max(external_id) AS external_id, bool_or(is_step) AS is_step,
-              avg(v) AS average, max(v) AS max, min(v) AS min, count(v) AS count, sum(v) AS sum,
-              var_pop(v) AS discrete_variance, min(t) AS first_t, arg_min(v, t) AS first_v,
-              max(t) AS last_t, arg_max(v, t) AS last_v,
-              sum(CASE WHEN nt IS NOT NULL THEN {dt} ELSE 0.0 END) AS dt_in,
-              sum(CASE WHEN nt IS NOT NULL THEN (v + {nve}) / 2 * {dt} ELSE 0.0 END) AS s1_in,
-              sum(CASE WHEN nt IS NOT NULL THEN (v * v + v * {nve} + {nve} * {nve}) / 3 * {dt} ELSE 0.0 END) AS s2_in,
-              sum(CASE WHEN nt IS NOT NULL THEN abs(nv - v) ELSE 0.0 END) AS tv_in
-       FROM hp2 GROUP BY id, hour),
-hb2 AS (SELECT *, lag(last_t) OVER w AS prev_t, lag(last_v) OVER w AS prev_v,
-               lead(first_t) OVER w AS next_t, lead(first_v) OVER w AS next_v
-        FROM hb WINDOW w AS (PARTITION BY id ORDER BY hour)),
-hb3 AS (SELECT *,
-          CASE WHEN is_step THEN last_v
-               ELSE last_v + (next_v - last_v) * CAST(hour + 3600000 - last_t AS DOUBLE) / CAST(next_t - last_t AS DOUBLE) END AS a_vb,
-          CASE WHEN is_step THEN prev_v
-               ELSE prev_v + (first_v - prev_v) * CAST(hour - prev_t AS DOUBLE) / CAST(first_t - prev_t AS DOUBLE) END AS b_va,
-          CASE WHEN is_step THEN prev_v ELSE first_v END AS b_vb,
-          next_t IS NOT NULL AS has_a, prev_t IS NOT NULL AND first_t > hour AS has_b
-        FROM hb2),
-hb4 AS (SELECT *,
-          dt_in + CASE WHEN has_a THEN {a_dt} ELSE 0.0 END + CASE WHEN has_b THEN {b_dt} ELSE 0.0 END AS tt,
-          s1_in + CASE WHEN has_a THEN (last_v + a_vb) / 2 * {a_dt} ELSE 0.0 END
-                + CASE WHEN has_b THEN (b_va + b_vb) / 2 * {b_dt} ELSE 0.0 END AS s1,
-          s2_in + CASE WHEN has_a THEN (last_v * last_v + last_v * a_vb + a_vb * a_vb) / 3 * {a_dt} ELSE 0.0 END
-                + CASE WHEN has_b THEN (b_va * b_va + b_va * b_vb + b_vb * b_vb) / 3 * {b_dt} ELSE 0.0 END AS s2,
-          tv_in + CASE WHEN has_a AND NOT is_step THEN abs(a_vb - last_v) ELSE 0.0 END
-                + CASE WHEN is_step AND prev_t IS NOT NULL THEN abs(first_v - prev_v)
-                       WHEN NOT is_step AND has_b THEN abs(b_vb - b_va) ELSE 0.0 END AS total_variation,
-          CASE WHEN first_t = hour THEN first_v WHEN prev_t IS NOT NULL THEN b_va END AS interpolation,
-          CASE WHEN first_t = hour THEN first_v WHEN prev_t IS NOT NULL THEN prev_v END AS step_interpolation
-        FROM hb3),
-hourly AS (SELECT id, external_id, hour, average, max, min, count, sum, interpolation, step_interpolation,
-                  CASE WHEN tt > 0 THEN greatest(0.0, s2 / tt - (s1 / tt) * (s1 / tt)) END AS continuous_variance,
-                  discrete_variance, total_variation FROM hb4)"""
+hp1 AS (SELECT id, timestamp AS t, max(value) AS v, max(external_id) AS external_id, bool_or(coalesce(is_step, false)) AS is_step
+        FROM hp GROUP BY id, timestamp),
+hp2 AS (SELECT *, t - (t % 3600000) AS hour, lead(t) OVER w AS nt, lead(v) OVER w AS nv, lag(v) OVER w AS pv FROM hp1
+        WINDOW w AS (PARTITION BY id ORDER BY t)),
+hb AS (SELECT id, hour, max(external_id) AS external_id, avg(v) AS average, max(v) AS max, min(v) AS min, count(v) AS count, sum(v) AS sum,
+              var_pop(v) AS discrete_variance, max(v) FILTER (WHERE t = hour) AS at_hour,
+              sum(abs(v - pv)) FILTER (WHERE is_step) AS jumps
+       FROM hp2 WHERE {hours_where} GROUP BY id, hour),
+hc AS (SELECT hb.id, hb.hour, p.t, p.v, p.nt, p.nv, p.is_step, greatest(p.t, hb.hour) AS a, least(p.nt, hb.hour + 3600000) AS b
+       FROM hb JOIN hp2 p ON p.id = hb.id AND p.t < hb.hour + 3600000 AND p.nt > hb.hour),
+hd AS (SELECT id, hour, is_step, v, a = hour AS opens, CAST(b - a AS DOUBLE) AS dt, {at('a')} AS va, {at('b')} AS vb FROM hc),
+hm AS (SELECT id, hour, sum(dt) AS total, sum((va + vb) / 2 * dt) / sum(dt) AS mean FROM hd GROUP BY id, hour),
+hv AS (SELECT hd.id, hd.hour, max(total) AS total,
+              sum(((va - mean) * (va - mean) + (va - mean) * (vb - mean) + (vb - mean) * (vb - mean)) / 3 * dt) / max(total) AS continuous_variance,
+              sum(abs(vb - va)) FILTER (WHERE NOT is_step) AS slopes, max(va) FILTER (WHERE opens) AS open_value, max(v) FILTER (WHERE opens) AS open_step
+       FROM hd JOIN hm ON hm.id = hd.id AND hm.hour = hd.hour GROUP BY hd.id, hd.hour),
+hourly AS (SELECT hb.id, hb.external_id, hb.hour, average, max, min, count, sum, coalesce(open_value, at_hour) AS interpolation,
+                  coalesce(open_step, at_hour) AS step_interpolation, continuous_variance, discrete_variance,
+                  coalesce(slopes, jumps, 0.0) AS total_variation
+           FROM hb LEFT JOIN hv ON hv.id = hb.id AND hv.hour = hb.hour)"""
 
 
 HIER = """
@@ -318,7 +301,7 @@ SELECT id, external_id, {TS('hour')} AS timestamp, {R6('average')} AS average, {
        {R6('discrete_variance')} AS discrete_variance, {R6('total_variation')} AS total_variation, {RUT}
 FROM hourly""", "ts_points", "ts_headers", extra=hourly(f"""
 SELECT p.id, p.external_id, p.timestamp, p.value, h.is_step FROM ts_points p JOIN ts_headers h ON p.id = h.id
-WHERE {PUBLISHABLE} AND NOT coalesce(h.is_string, false) AND p.value IS NOT NULL AND p.timestamp >= {lo4}"""))
+WHERE {PUBLISHABLE} AND NOT coalesce(h.is_string, false) AND p.value IS NOT NULL""", f"hour >= {lo4 - lo4 % 3600000}"))
     # ------------------------------------------------------------- scans
     S["q_asset_path_depth_children"] = q(f"""
 SELECT a.id, h.depth, {ARR('h.path')} AS path, CAST(coalesce(cc.child_count, 0) AS BIGINT) AS child_count
@@ -398,6 +381,17 @@ SELECT id, hour, {R6('average')} AS average, {R6('max')} AS max, {R6('min')} AS
 SELECT id, hour, {R6('interpolation')} AS interpolation, {R6('step_interpolation')} AS step_interpolation,
        {R6('continuous_variance')} AS continuous_variance, {R6('total_variation')} AS total_variation FROM hourly""",
                                "ts_points", "ts_headers", extra=hourly(all_pts))
+    at = lambda x: f"CASE WHEN is_step THEN v ELSE v + (nv - v) * CAST({x} - t AS DOUBLE) / CAST(nt - t AS DOUBLE) END"
+    S["q_hour_filled"] = q(f"""
+SELECT id, external_id, hour, {R6('average')} AS average, count, {R6('interpolation')} AS interpolation,
+       {R6('step_interpolation')} AS step_interpolation, {R6('continuous_variance')} AS continuous_variance,
+       {R6('total_variation')} AS total_variation
+FROM (SELECT id, external_id, hour, average, count, interpolation, step_interpolation, continuous_variance, total_variation FROM hourly
+      UNION ALL
+      SELECT id, external_id, h, NULL, 0, va, v, (vb - va) * (vb - va) / 12, abs(vb - va)
+      FROM (SELECT *, {at('h')} AS va, {at('h + 3600000')} AS vb
+            FROM (SELECT *, unnest(range(hour + 3600000, nt - nt % 3600000, 3600000)) AS h FROM hp2 WHERE nt - t <= {FILL_GAP_MS})))""",
+                           "ts_points", "ts_headers", extra=hourly(all_pts))
     S["q_batches"] = q("""
 SELECT bucket, batch, count(*) AS n_items, min(id) AS first_id, max(id) AS last_id
 FROM (SELECT id, id % 20 AS bucket,

@@ -52,3 +52,6 @@ def cfg_ts() -> JobConfig:
                      allow={"dataSetExternalId": ["*"], "tsExternalId": ["ts:1", "ts:3"],
                             "tsExternalIdRegEx": ["ts:2.*", "ts:1[0-9]"]},
                      deny={"tsExternalId": ["ts:25"], "tsExternalIdRegEx": ["ts:.*7"]})
+
+# longest silence that q_hour_filled fills
+FILL_GAP_MS = 24 * 3600000

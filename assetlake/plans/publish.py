@@ -220,11 +220,13 @@ def points_around(points: DataFrame, window: tuple[int, int | None]) -> DataFram
 
 
 def publish_ts_points_hour(src, run_time, window: tuple[int, int | None] | None = None,
-                           reserved_prefix: str = RESERVED_SERIES_PREFIX, neighbours: bool = False) -> DataFrame:
+                           reserved_prefix: str = RESERVED_SERIES_PREFIX, neighbours: bool = False,
+                           fill_empty: bool = False, max_gap_ms: int | None = None) -> DataFrame:
     """Hourly aggregates of numeric publishable series.
 
     With ``neighbours`` the window is widened to whole hours, and one point outside it on each
     side gives its edge buckets their segments; without, points outside are cut off first.
+    ``fill_empty`` adds hours without points in silences of at most ``max_gap_ms``.
     """
     window = window or flt.window_last_days(run_time, 4)
     if neighbours:
@@ -235,7 +237,7 @@ def publish_ts_points_hour(src, run_time, window: tuple[int, int | None] | None
     pts = flt.filter_window(numeric, "timestamp", window)
     if neighbours:
         pts = pts.select("id", "external_id", "timestamp", "value").unionByName(points_around(numeric, window))
-    agg = hourly_aggregates(pts.join(sized_broadcast(heads), "id"))
+    agg = hourly_aggregates(pts.join(sized_broadcast(heads), "id"), fill_empty=fill_empty, max_gap_ms=max_gap_ms)
     if neighbours:
         agg = agg.filter(flt.in_window("hour", window))
     return agg.select(

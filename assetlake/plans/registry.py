@@ -32,7 +32,7 @@ from ..sources.tables import Tables
 from . import publish as P
 from . import replicate as R
 from .compare import for_compare
-from .params import (DELTA_MARK_MS, DELTA_OFFSET_MS, RUN_MS, RUN_TIME, cfg_assets, cfg_events, cfg_files,
+from .params import (DELTA_MARK_MS, DELTA_OFFSET_MS, FILL_GAP_MS, RUN_MS, RUN_TIME, cfg_assets, cfg_events, cfg_files,
                      cfg_raw, cfg_relationships, cfg_sequences, cfg_ts)
 
 
@@ -124,7 +124,7 @@ Q: dict[str, Callable[[DerivedTenant, DerivedTenant], DataFrame]] = {
     "q_sequence_last_record": lambda s, t: last_record(s.sequence_body()),
     "q_publish_ts_headers": lambda s, t: P.publish_ts_headers(s, RUN_TIME),
     "q_publish_ts_points": lambda s, t: P.publish_ts_points(s, RUN_TIME),
-    "q_publish_ts_points_hour": lambda s, t: P.publish_ts_points_hour(s, RUN_TIME),
+    "q_publish_ts_points_hour": lambda s, t: P.publish_ts_points_hour(s, RUN_TIME, neighbours=True),
     # ------------------------------------------------------------ scans (A*)
     "q_asset_path_depth_children": lambda s, t: path_depth_children(s.assets()),
     "q_raw_catalog": lambda s, t: P.raw_catalog(s),
@@ -170,6 +170,8 @@ Q: dict[str, Callable[[DerivedTenant, DerivedTenant], DataFrame]] = {
         "id", "hour", "average", "max", "min", "count", "sum", "discrete_variance"),
     "q_hour_continuous": lambda s, t: hourly_aggregates(_all_history_points(s)).select(
         "id", "hour", "interpolation", "step_interpolation", "continuous_variance", "total_variation"),
+    "q_hour_filled": lambda s, t: hourly_aggregates(_all_history_points(s), fill_empty=True, max_gap_ms=FILL_GAP_MS).select(
+        "id", "external_id", "hour", "average", "count", "interpolation", "step_interpolation", "continuous_variance", "total_variation"),
     "q_batches": lambda s, t: batch_rows(s.ts_headers().select("id"), F.pmod(F.col("id"), F.lit(20)), "id", 20)
     .select("bucket", "batch", F.size("items").cast("long").alias("n_items"),
             F.element_at("items", 1).alias("first_id"), F.element_at("items", -1).alias("last_id")),
