@@ -6,6 +6,10 @@
 
 Tenants are folders of Parquet tables (``<dir>/<resource>``); ``--out`` is the
 published table (publish) or the versioned target snapshot (replicate).
+
+``publish --merge KEY,...`` with ``--state`` keeps older rows: the delta up to the run time is merged into a table of
+key buckets. ``replicate --buckets N`` writes targets as tables of N key buckets, of which a run rewrites the touched
+ones; points are then kept by day. ``--content`` is the folder of file bodies, ``--quarantine`` takes rejected assets.
 """
 
 from __future__ import annotations
@@ -17,6 +21,7 @@ from .config import JobConfig
 from .operators.filters import to_ms
 from .plans import jobs
 from .session import get_spark
+from .sinks.partitioned import DayTable, KeyedTable
 from .sinks.snapshot import SnapshotTable
 from .sources.scan import DeltaState, ParquetTenant
 
@@ -34,12 +39,22 @@ def main(argv=None) -> None:
     ap.add_argument("--run-time", default=datetime.now(timezone.utc).isoformat())
     ap.add_argument("--external-id")
     ap.add_argument("--on-invalid", default="fail", choices=["fail", "quarantine"])
+    ap.add_argument("--merge", help="key columns: merge the delta instead of replacing the table")
+    ap.add_argument("--buckets", type=int, help="key buckets of a replicated target (or of a merged table, 64 by default)")
+    ap.add_argument("--content", help="folder of file bodies, by directory and name")
+    ap.add_argument("--quarantine", help="snapshot of rejected assets")
     ap.add_argument("--single-file", action="store_true", help="export as one file (small series only)")
     a = ap.parse_args(argv)
 
     spark = get_spark(app=f"assetlake-{a.kind}-{a.name or ''}")
-    src = ParquetTenant(spark, a.source)
+    src = ParquetTenant(spark, a.source, a.content)
     state = DeltaState(spark, a.state) if a.state else None
+    if a.kind == "publish" and a.merge:
+        if state is None or a.name not in jobs.DELTA:
+            raise SystemExit("--merge needs --state and a table with delta reads")
+        keys = a.merge.split(",")
+        jobs.run_publish_merge(a.name, src, KeyedTable(spark, a.out, keys, a.buckets or 64), keys, a.run_time, state, a.full_read, until=a.run_time)
+        return
     if a.kind == "publish":
         jobs.run_publish(a.name, src, a.out, a.run_time, state, a.full_read)
         return
@@ -48,8 +63,13 @@ def main(argv=None) -> None:
         return
     tgt = ParquetTenant(spark, a.target)
     cfg = JobConfig.from_file(a.config) if a.config else JobConfig()
-    out = SnapshotTable(spark, a.out)
     name = a.name
+
+    def target(path, *keys):
+        return KeyedTable(spark, path, list(keys), a.buckets) if a.buckets else SnapshotTable(spark, path)
+
+    keys = {"raw": ("db_name", "table_name", "key")}.get(name, ("external_id",))
+    out = SnapshotTable(spark, a.out) if name == "assets" else target(a.out, *keys)
     if name == "events":
         jobs.run_replicate_events(src, tgt, out, cfg, a.run_time, state, a.full_read)
     elif name == "files":
@@ -63,11 +83,13 @@ def main(argv=None) -> None:
     elif name == "relationships":
         jobs.run_replicate_relationships(src, tgt, out, cfg)
     elif name == "sequences":
-        jobs.run_replicate_sequences(src, tgt, out, SnapshotTable(spark, a.out + "_rows"), cfg)
+        jobs.run_replicate_sequences(src, tgt, out, target(a.out + "_rows", "seq_external_id", "row_number"), cfg)
     elif name == "ts":
-        jobs.run_replicate_ts(src, tgt, out, SnapshotTable(spark, a.out + "_points"), cfg, a.run_time)
+        points = a.out + "_points"
+        jobs.run_replicate_ts(src, tgt, out, DayTable(spark, points) if a.buckets else SnapshotTable(spark, points), cfg, a.run_time)
     elif name == "assets":
-        jobs.run_replicate_assets(src, tgt, out, cfg, to_ms(a.run_time), a.on_invalid)
+        jobs.run_replicate_assets(src, tgt, out, cfg, to_ms(a.run_time), a.on_invalid,
+                                  SnapshotTable(spark, a.quarantine) if a.quarantine else None)
     else:
         raise SystemExit(f"unknown resource {name!r}")
 

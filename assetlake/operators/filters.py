@@ -2,8 +2,8 @@
 
 Config lists live on the driver (they come from a job config file); short
 lists become ``isin`` literals that reach the Parquet scan as pushed
-filters, long lists become a broadcast semi/anti join against a frame of
-the list (bounded by the config size).
+filters, longer ones a semi/anti join against a frame of the list, which is
+broadcast only up to the size limit of other dimensions.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import col, full_match
+from . import joins
 from .joins import list_frame, sized_broadcast
 
 ISIN_MAX = 1000
@@ -39,18 +40,24 @@ def allow_deny(c, allow: list[str], deny: list[str]) -> Column:
 
 
 def allow_deny_frame(df: DataFrame, key: str, allow: list[str], deny: list[str]) -> DataFrame:
-    """D2-D4 on a frame; switches to broadcast semi/anti joins for long lists."""
+    """D2-D4, E9 on a frame, with the result of ``allow_deny`` whatever the length of the lists."""
     if len(allow) + len(deny) <= ISIN_MAX:
         return df.filter(allow_deny(key, allow, deny))
-    spark = df.sparkSession
     out = df
     if deny:
-        out = out.join(F.broadcast(list_frame(spark, deny, key)), key, "left_anti")
+        out = out.join(_list_side(df, key, deny), key, "left_anti")
     if "*" not in allow:
-        out = out.join(F.broadcast(list_frame(spark, allow, key)), key, "left_semi")
+        out = out.join(_list_side(df, key, allow), key, "left_semi")
     return out
 
 
+def _list_side(df: DataFrame, key: str, values: list[str]) -> DataFrame:
+    """A list as a join side; its size is known here, so the choice needs no job."""
+    side = list_frame(df.sparkSession, sorted(set(values)), key)
+    small = len(values) <= joins.BROADCAST_MAX_ROWS and sum(len(v.encode()) for v in values) <= joins.BROADCAST_MAX_BYTES
+    return F.broadcast(side) if small else side.hint("merge")
+
+
 def regex_allow_deny(c, allow: list[str], allow_regex: list[str],
                      deny: list[str], deny_regex: list[str]) -> Column:
     """Exact deny -> regex deny -> "*" -> exact allow -> regex allow.

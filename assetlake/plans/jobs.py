@@ -8,6 +8,7 @@ re-reads the same rows (at-least-once with idempotent sinks).
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
 from functools import partial
 
 from pyspark.sql import DataFrame, Observation
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import config as K
 from ..config import JobConfig
+from ..operators import filters as flt
 from ..operators.metrics import observe_counters
 from ..schemas import PUBLISHED
 from ..sinks.partitioned import PartitionedTable
@@ -80,13 +82,20 @@ def run_publish(table: str, src, out_path: str, run_time, state: DeltaState | No
     return df
 
 
-def run_publish_merge(table: str, src, snapshot: SnapshotTable, keys: list[str], run_time,
-                      state: DeltaState) -> int:
-    """Delta publish that keeps older rows: upsert the delta into a versioned snapshot."""
+def run_publish_merge(table: str, src, snapshot: SnapshotTable | PartitionedTable, keys: list[str], run_time,
+                      state: DeltaState, full_read: bool = False, until=None) -> int:
+    """Delta publish that keeps older rows: upsert the delta, bounded above by ``until`` if given, into a snapshot or a
+    partitioned table. The new mark is the latest update time among the rows written, observed by the write itself:
+    rows that arrive meanwhile are read next time.
+    """
     ident, offset = DELTA[table]
-    delta = PUBLISH[table](src, run_time, since_ms=state.read(ident), offset_ms=offset)
-    v = snapshot.commit(upsert(snapshot.current(), delta, keys))
-    state.commit(ident, delta.select(F.unix_millis("last_updated_time").alias("last_updated_time")))
+    mark = Observation()
+    delta = PUBLISH[table](src, run_time, since_ms=None if full_read else state.read(ident), offset_ms=offset)
+    if until is not None:
+        delta = delta.where(F.col("last_updated_time") <= F.timestamp_millis(F.lit(flt.to_ms(until)).cast("long")))
+    delta = delta.observe(mark, F.unix_millis(F.max("last_updated_time")).alias("mark"))
+    v = _upsert_into(snapshot, delta, keys)
+    state.advance(ident, mark.get["mark"])
     return v
 
 
@@ -100,7 +109,8 @@ def export_points_text(src, out_path: str, external_id: str, single_file: bool =
 def run_replicate_events(src, tgt, target: SnapshotTable, cfg: JobConfig, run_time,
                          state: DeltaState | None = None, full_read: bool = False) -> int:
     since = None if (state is None or full_read) else state.read("events-replication")
-    prepared = R.prepare_events(src, tgt, cfg, run_time, since_ms=since)
+    mark = Observation("events_mark")
+    prepared = R.prepare_events(src, tgt, cfg, run_time, since_ms=since, mark=mark)
     prepared, obs = observe_counters(
         prepared, "replicate_events",
         events=F.lit(True), assets_mapped=F.size("asset_ids") > 0,
@@ -109,8 +119,7 @@ def run_replicate_events(src, tgt, target: SnapshotTable, cfg: JobConfig, run_ti
     v = _upsert_into(target, prepared, ["external_id"])
     LAST_COUNTERS["replicate_events"] = obs.get
     if state is not None:
-        # new mark = max update time among the rows read (same pushed-down scan)
-        state.commit("events-replication", R.scanned(src.events(), run_time, since, R.EVENTS_DELTA_OFFSET_MS))
+        state.advance("events-replication", mark.get["mark"])
     return v
 
 
@@ -139,11 +148,11 @@ def run_replicate_files(src, tgt, target: SnapshotTable, cfg: JobConfig, run_tim
 def run_replicate_files_metadata(src, tgt, target: SnapshotTable, cfg: JobConfig, run_time,
                                  state: DeltaState | None = None, full_read: bool = False) -> int:
     since = None if (state is None or full_read) else state.read("files-metadata-replication")
-    rows = R.prepare_files(src, tgt, cfg, run_time, with_content=False, since_ms=since)
+    mark = Observation("files_mark")
+    rows = R.prepare_files(src, tgt, cfg, run_time, with_content=False, since_ms=since, mark=mark)
     v = _upsert_into(target, rows, ["external_id"])
     if state is not None:
-        state.commit("files-metadata-replication",
-                     R.scanned(src.files(), run_time, since, R.FILES_METADATA_DELTA_OFFSET_MS))
+        state.advance("files-metadata-replication", mark.get["mark"])
     return v
 
 
@@ -184,11 +193,20 @@ def run_replicate_ts(src, tgt, headers_out: SnapshotTable, points_out: SnapshotT
 
 
 def run_replicate_assets(src, tgt, target: SnapshotTable, cfg: JobConfig, run_ms: int,
-                         on_invalid: str = "fail") -> int:
-    """Hierarchy synchronisation: the target snapshot becomes equal to the source per root."""
-    prepared = R.prepare_assets(src, tgt, cfg, on_invalid)
+                         on_invalid: str = "fail", quarantine: SnapshotTable | None = None) -> int:
+    """Hierarchy synchronisation: the target snapshot becomes equal to the source per root.
+
+    With ``on_invalid="quarantine"`` assets without a key are counted and, if ``quarantine`` is given, stored there with
+    the reason; both outputs come from one stored pass over the source.
+    """
+    checks = Observation("checked_assets")
+    checked = R.checked_assets(src, cfg).observe(checks, F.count_if(F.col("reason").isNull()).alias("accepted"),
+                                                 F.count_if(F.col("reason").isNotNull()).alias("rejected")).checkpoint()
+    if on_invalid == "quarantine" and quarantine is not None:
+        quarantine.commit(R.rejected_assets(checked, datetime.fromtimestamp(run_ms / 1000, timezone.utc)))
+    prepared = R.prepare_assets(src, tgt, cfg, on_invalid, checked)
     counters = Observation("replicate_assets")
     synced = hierarchy_sync(prepared, tgt.assets(), run_ms, counters).checkpoint()
-    LAST_COUNTERS["replicate_assets"] = counters.get
+    LAST_COUNTERS["replicate_assets"] = counters.get | checks.get
     assert_unique(synced, "id")  # new ids are xxhash64(external_id): check for collisions
     return target.commit(synced)

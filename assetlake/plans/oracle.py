@@ -315,6 +315,15 @@ LEFT JOIN cc ON a.id = cc.id""", "src_assets", extra=HIER, recursive=True)
 SELECT external_id, name, parent_external_id, description, source, data_set_id, {ARR('labels')} AS labels,
        {KV('metadata')} AS metadata, root_external_id FROM pa""", *A, maps=("sam", "sdm", "tdm"),
                                       extra=PREPARED_ASSETS.split(",\nttm AS")[0])
+    denied = "coalesce(external_id IN (SELECT 'ev:' || k FROM range(0, 20000, 10) r(k)), false)"
+    S["q_filter_long_lists"] = q(f"""
+SELECT 'listed' AS rule, id FROM src_events WHERE external_id IN (SELECT 'ev:' || k FROM range(0, 6000, 2) r(k)) AND NOT {denied}
+UNION ALL SELECT 'every', id FROM src_events WHERE NOT {denied}""", "src_events")
+    S["q_asset_quarantine"] = q("""
+SELECT id, CASE WHEN external_id IS NULL OR root_id IS NULL THEN 'rejected' ELSE 'accepted' END AS state,
+       CASE WHEN external_id IS NULL AND root_id IS NULL THEN 'no external id, no root id' WHEN external_id IS NULL THEN 'no external id'
+            WHEN root_id IS NULL THEN 'no root id' END AS reason
+FROM src_assets""", "src_assets")
     S["q_filter_raw_db"] = q("""
 SELECT db_name, table_name, key, last_updated_time, columns_text AS columns FROM src_raw WHERE db_name = 'geo'""",
                              "src_raw")

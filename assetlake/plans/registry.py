@@ -32,7 +32,7 @@ from ..sources.tables import Tables
 from . import publish as P
 from . import replicate as R
 from .compare import for_compare
-from .params import (DELTA_MARK_MS, DELTA_OFFSET_MS, FILL_GAP_MS, RUN_MS, RUN_TIME, cfg_assets, cfg_events, cfg_files,
+from .params import (DELTA_MARK_MS, DELTA_OFFSET_MS, FILL_GAP_MS, LONG_ALLOW, LONG_DENY, RUN_MS, RUN_TIME, cfg_assets, cfg_events, cfg_files,
                      cfg_raw, cfg_relationships, cfg_sequences, cfg_ts)
 
 
@@ -85,6 +85,17 @@ def _target_points(src):
         (F.col("value") * 2).alias("value"), "value_string")
 
 
+def _long_lists(ev: DataFrame) -> DataFrame:
+    listed = flt.allow_deny_frame(ev, "external_id", LONG_ALLOW, LONG_DENY)
+    every = flt.allow_deny_frame(ev, "external_id", ["*"], LONG_DENY)
+    return listed.select(F.lit("listed").alias("rule"), "id").unionByName(every.select(F.lit("every").alias("rule"), "id"))
+
+
+def _accepted_and_rejected(checked: DataFrame) -> DataFrame:
+    kept = checked.where("reason IS NULL").select("id", F.lit("accepted").alias("state"), F.lit(None).cast("string").alias("reason"))
+    return kept.unionByName(R.rejected_assets(checked, RUN_TIME).select("id", F.lit("rejected").alias("state"), "reason"))
+
+
 def _through(table, first: DataFrame, then: DataFrame) -> DataFrame:
     """The stored rows after ``first`` and ``then`` were upserted into ``table``."""
     table.upsert(first)
@@ -134,6 +145,8 @@ Q: dict[str, Callable[[DerivedTenant, DerivedTenant], DataFrame]] = {
         _FullRead(s, RUN_MS), RUN_TIME),
     # ---------------------------------------------------------- filters (D*)
     "q_filter_root_allow_deny": lambda s, t: R.prepare_assets(s, t, cfg_assets(), on_invalid="quarantine"),
+    "q_filter_long_lists": lambda s, t: _long_lists(s.events().select("id", "external_id")),
+    "q_asset_quarantine": lambda s, t: _accepted_and_rejected(R.checked_assets(s, cfg_assets()).checkpoint()),
     "q_filter_raw_db": lambda s, t: _raw_text(R.prepare_raw(s, cfg_raw(["geo", "sales"], ["sales"]))),
     "q_filter_sequences": lambda s, t: R.filtered_sequence_headers(s, cfg_sequences()).select("id", "external_id"),
     "q_filter_ts_regex": lambda s, t: R.filtered_series(s, cfg_ts()).select("id", "external_id"),

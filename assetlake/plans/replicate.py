@@ -8,7 +8,7 @@ synchronised with ``assetlake.sinks.hierarchy_sync``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import config as K
@@ -33,14 +33,11 @@ def _null(ddl: str):
     return F.lit(None).cast(ddl)
 
 
-def _scan(df: DataFrame, run_time, since_ms: int | None, offset_ms: int) -> DataFrame:
+def _scan(df: DataFrame, run_time, since_ms: int | None, offset_ms: int, mark: Observation | None = None) -> DataFrame:
+    """A delta bounded on both sides; ``mark`` observes the latest update time among the rows the job reads."""
     df = upper_bound(df, flt.to_ms(run_time)) if run_time is not None else df
-    return df if since_ms is None else delta_since(df, since_ms, offset_ms)
-
-
-def scanned(df: DataFrame, run_time, since_ms: int | None, offset_ms: int) -> DataFrame:
-    """The update times of the rows a delta scan reads (for committing the next mark)."""
-    return _scan(df.select("last_updated_time"), run_time, since_ms, offset_ms)
+    df = df if since_ms is None else delta_since(df, since_ms, offset_ms)
+    return df if mark is None else df.observe(mark, F.max("last_updated_time").alias("mark"))
 
 
 def _map_data_set(df: DataFrame, src, tgt, cfg: JobConfig) -> DataFrame:
@@ -52,10 +49,10 @@ def _map_data_set(df: DataFrame, src, tgt, cfg: JobConfig) -> DataFrame:
 
 # ------------------------------------------------------------------ events
 def prepare_events(src, tgt, cfg: JobConfig, run_time=None, since_ms: int | None = None,
-                   offset_ms: int = EVENTS_DELTA_OFFSET_MS, salts: int = 1) -> DataFrame:
+                   offset_ms: int = EVENTS_DELTA_OFFSET_MS, salts: int = 1, mark: Observation | None = None) -> DataFrame:
     """A16-A19, D1, E11, E5, E3, K8-K11, C16. ``salts`` spreads hot asset links
     over several tasks when the asset translation is too large to broadcast."""
-    ev = _scan(src.events(), run_time, since_ms, offset_ms)
+    ev = _scan(src.events(), run_time, since_ms, offset_ms, mark)
     ev = flt.data_set_filter(ev, src.data_sets(), cfg.allow_list(K.DATA_SET_EXT_ID))
     ev = ev.withColumn("external_id", ext_id_fallback("external_id", "id"))
     if cfg.flag(K.CONTEXTUALIZATION):
@@ -73,9 +70,9 @@ def prepare_events(src, tgt, cfg: JobConfig, run_time=None, since_ms: int | None
 # ------------------------------------------------------------------- files
 def prepare_files(src, tgt, cfg: JobConfig, run_time=None, with_content: bool = True,
                   since_ms: int | None = None, offset_ms: int = FILES_METADATA_DELTA_OFFSET_MS,
-                  salts: int = 1, newest_only: bool = False) -> DataFrame:
+                  salts: int = 1, newest_only: bool = False, mark: Observation | None = None) -> DataFrame:
     """Metadata first, the bodies joined last (``file_bodies``)."""
-    f = _scan(src.files().drop("content"), run_time, since_ms, offset_ms)
+    f = _scan(src.files().drop("content"), run_time, since_ms, offset_ms, mark)
     f = flt.data_set_filter(f, src.data_sets(), cfg.allow_list(K.DATA_SET_EXT_ID))
     f = f.withColumn("external_id", ext_id_fallback("external_id", "id"))
     if cfg.flag(K.CONTEXTUALIZATION):
@@ -125,7 +122,7 @@ def prepare_labels(src, tgt, cfg: JobConfig, map_data_sets: bool = False) -> Dat
 def prepare_raw(src, cfg: JobConfig) -> DataFrame:
     """Rows of the raw tables in allowed databases."""
     rows = src.raw_rows()
-    return rows.filter(flt.allow_deny("db_name", cfg.allow_list(K.DB_NAMES), cfg.deny_list(K.DB_NAMES)))
+    return flt.allow_deny_frame(rows, "db_name", cfg.allow_list(K.DB_NAMES), cfg.deny_list(K.DB_NAMES)).select(*rows.columns)
 
 
 # ----------------------------------------------------------- relationships
@@ -139,8 +136,7 @@ def prepare_relationships(src, tgt, cfg: JobConfig) -> DataFrame:
 # --------------------------------------------------------------- sequences
 def filtered_sequence_headers(src, cfg: JobConfig) -> DataFrame:
     h = flt.data_set_filter(src.sequence_headers(), src.data_sets(), cfg.allow_list(K.DATA_SET_EXT_ID))
-    return h.filter(flt.allow_deny("external_id", cfg.allow_list(K.SEQUENCE_EXT_ID),
-                                   cfg.deny_list(K.SEQUENCE_EXT_ID)))
+    return flt.allow_deny_frame(h, "external_id", cfg.allow_list(K.SEQUENCE_EXT_ID), cfg.deny_list(K.SEQUENCE_EXT_ID))
 
 
 def prepare_sequence_headers(src, tgt, cfg: JobConfig, headers: DataFrame | None = None) -> DataFrame:
@@ -207,25 +203,33 @@ class MissingKeyError(ValueError):
     pass
 
 
-def prepare_assets(src, tgt, cfg: JobConfig, on_invalid: str = "fail") -> DataFrame:
+def checked_assets(src, cfg: JobConfig) -> DataFrame:
+    """The source assets with a ``reason`` why they can't be replicated (NULL: they can)."""
+    a = flt.data_set_filter(src.assets(), src.data_sets(), cfg.allow_list(K.DATA_SET_EXT_ID))
+    reason = F.concat_ws(", ", F.when(F.col("external_id").isNull(), "no external id"), F.when(F.col("root_id").isNull(), "no root id"))
+    return a.withColumn("reason", F.when(reason != "", reason))
+
+
+def rejected_assets(checked: DataFrame, run_time) -> DataFrame:
+    """What is quarantined: the asset's ids and name, the reason, and the run."""
+    return checked.where("reason IS NOT NULL").select("id", "external_id", "name", "root_id", "reason", F.lit(flt.to_ms(run_time)).alias("run_time"))
+
+
+def prepare_assets(src, tgt, cfg: JobConfig, on_invalid: str = "fail", checked: DataFrame | None = None) -> DataFrame:
     """Replicated assets with ``root_external_id``.
 
-    D14: an asset without external id or root id fails the job
-    (``on_invalid="fail"``) or is left out (``"quarantine"``).
+    D14: an asset without external id or root id fails the job (``on_invalid="fail"``) or is left out
+    (``"quarantine"``; ``rejected_assets`` gives those). ``checked`` is a stored ``checked_assets``, so that both
+    outputs come from one pass.
     """
-    a = flt.data_set_filter(src.assets(), src.data_sets(), cfg.allow_list(K.DATA_SET_EXT_ID))
-    bad = F.col("external_id").isNull() | F.col("root_id").isNull()
-    if on_invalid == "fail":
-        n_bad = a.filter(bad).limit(1).count()
-        if n_bad:
-            raise MissingKeyError("source assets must have an external id and a root id")
-    else:
-        a = a.filter(~bad)
+    a = checked if checked is not None else checked_assets(src, cfg)
+    if on_invalid == "fail" and not a.where("reason IS NOT NULL").isEmpty():
+        raise MissingKeyError("source assets must have an external id and a root id")
+    a = a.where("reason IS NULL").drop("reason")
     id_map = remap.id_to_ext(src.assets())
     a = remap.parent_and_root_ext(a, id_map)
     a = _map_data_set(a, src, tgt, cfg)
-    a = a.filter(flt.allow_deny("root_external_id", cfg.allow_list(K.ROOT_ASSET_EXT_ID),
-                                cfg.deny_list(K.ROOT_ASSET_EXT_ID)))
+    a = flt.allow_deny_frame(a, "root_external_id", cfg.allow_list(K.ROOT_ASSET_EXT_ID), cfg.deny_list(K.ROOT_ASSET_EXT_ID))
     return a.select("external_id", "name", "parent_external_id", "description", "source", "data_set_id",
                     "labels", "metadata", "root_external_id")
 

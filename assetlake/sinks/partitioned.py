@@ -14,6 +14,7 @@ table next. One writer at a time.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +49,26 @@ class Folder:
         self._fs.create(self._make(path)).close()
 
 
+def replace_table(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """B1: ``write`` a whole table to a hidden folder beside ``path``, then switch the two by renames.
+
+    A write that fails leaves the old table as it was. A switch that was interrupted is settled by the next one:
+    the new table if it was complete, else the old one.
+    """
+    folder, path = Folder(spark, path), path.rstrip("/")
+    parent, name = path.rsplit("/", 1)
+    new, old = f"{parent}/_new-{name}", f"{parent}/_old-{name}"
+    if folder.exists(old) and not folder.exists(path):
+        folder.move(new if folder.exists(f"{new}/_SUCCESS") else old, path)
+    for left in (old, new):
+        folder.delete(left)
+    write(new)
+    if folder.exists(path):
+        folder.move(path, old)
+    folder.move(new, path)
+    folder.delete(old)
+
+
 def hashable(df: DataFrame, c: str):
     """A column in a form that can be hashed (maps can't)."""
     kind = df.schema[c].dataType.simpleString()

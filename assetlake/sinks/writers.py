@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .partitioned import replace_table
+
 
 class SchemaMismatch(ValueError):
     pass
@@ -44,14 +46,14 @@ def layout(df: DataFrame, partition_col: str | None = None, cluster_by: list[str
 
 def overwrite(df: DataFrame, path: str, expected_schema: T.StructType | str | None = None,
               partition_col: str | None = None, cluster_by: list[str] | None = None) -> None:
-    """Create-or-replace a Parquet table (optionally day-partitioned)."""
+    """Create-or-replace a Parquet table (optionally day-partitioned); readers see the old or the new one."""
     if expected_schema is not None:
         assert_schema(df, expected_schema)
     out = layout(df, partition_col, cluster_by)
     w = out.write.mode("overwrite")
     if partition_col:
         w = w.partitionBy("p_date")
-    w.parquet(path)
+    replace_table(df.sparkSession, path, w.parquet)
 
 
 def write_lines(lines: DataFrame, path: str, header: str, single_file: bool = False) -> None:
@@ -61,6 +63,7 @@ def write_lines(lines: DataFrame, path: str, header: str, single_file: bool = Fa
     through one task and is meant for small exports such as one series.
     """
     out = lines.toDF(header)
-    (out.coalesce(1) if single_file else out).write.mode("overwrite").options(
+    w = (out.coalesce(1) if single_file else out).write.mode("overwrite").options(
         header=True, sep="\u0001", quote="\u0000", emptyValue="", ignoreLeadingWhiteSpace=False,
-        ignoreTrailingWhiteSpace=False).csv(path)
+        ignoreTrailingWhiteSpace=False, extension="txt")
+    replace_table(lines.sparkSession, path, w.csv)

@@ -86,7 +86,10 @@ class DeltaState:
 
     def commit(self, identifier: str, written: DataFrame, column: str = "last_updated_time") -> int | None:
         """Store ``max(column)`` of what was written (or keep the old mark when empty)."""
-        new = written.agg(F.max(column).alias("m")).first()["m"]
+        return self.advance(identifier, written.agg(F.max(column).alias("m")).first()["m"])
+
+    def advance(self, identifier: str, new: int | None) -> int | None:
+        """Store a mark that was observed by the job itself; a mark never goes back, None keeps it."""
         old = self.read(identifier)
         mark = new if old is None else (old if new is None else max(int(new), old))
         if mark is None:
