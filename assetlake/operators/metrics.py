@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..config import JobConfig
@@ -50,9 +50,30 @@ def _sums(df: DataFrame, **exprs) -> DataFrame:
         F.array(*[F.lit(k) for k in exprs]), F.array(*[F.col(k) for k in exprs]))).alias("counter", "value"))
 
 
+class Counters:
+    """counters of one run of a job, observed at several points of its plan while it writes; no job of their own."""
+
+    def __init__(self, job: str):
+        self.job, self._seen = job, []
+
+    def at(self, df: DataFrame, **conds) -> DataFrame:
+        """``df`` with counters: the rows where a condition holds, or the sum of a number."""
+        seen = Observation(f"{self.job}-{len(self._seen)}")
+        self._seen.append(seen)
+        return df.observe(seen, *[F.coalesce(F.sum(F.coalesce(c.cast("long"), F.lit(0))), F.lit(0)).alias(k) for k, c in conds.items()])
+
+    @property
+    def values(self) -> dict[str, int]:
+        """What was counted, once the job's action has run."""
+        return {k: int(v) for seen in self._seen for k, v in seen.get.items()}
+
+
+def counted(counters: Counters | None, df: DataFrame, **conds) -> DataFrame:
+    return df if counters is None else counters.at(df, **conds)
+
+
 def observe_counters(df: DataFrame, name: str, **conds):
     """F13 during a job's own action: ``(df, observation)``; after the write,
     ``observation.get`` holds ``{counter: count}``. No extra job is run."""
-    from pyspark.sql import Observation
     obs = Observation(name)
     return df.observe(obs, *[F.count_if(c).cast("long").alias(k) for k, c in conds.items()]), obs

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .. import config as K
 from ..config import JobConfig
 from ..operators import filters as flt
-from ..operators.metrics import observe_counters
+from ..operators.metrics import Counters, observe_counters
 from ..schemas import PUBLISHED
 from ..sinks.partitioned import PartitionedTable
 from ..sinks.snapshot import SnapshotTable
@@ -109,15 +109,15 @@ def export_points_text(src, out_path: str, external_id: str, single_file: bool =
 def run_replicate_events(src, tgt, target: SnapshotTable, cfg: JobConfig, run_time,
                          state: DeltaState | None = None, full_read: bool = False) -> int:
     since = None if (state is None or full_read) else state.read("events-replication")
-    mark = Observation("events_mark")
-    prepared = R.prepare_events(src, tgt, cfg, run_time, since_ms=since, mark=mark)
+    mark, counters = Observation("events_mark"), Counters("replicate_events")
+    prepared = R.prepare_events(src, tgt, cfg, run_time, since_ms=since, mark=mark, counters=counters)
     prepared, obs = observe_counters(
         prepared, "replicate_events",
         events=F.lit(True), assets_mapped=F.size("asset_ids") > 0,
         data_set_mapped=F.col("data_set_id").isNotNull(),
         constraint_fixed=F.size(F.map_filter("metadata", lambda k, _: k.startswith("constraintViolation"))) > 0)
     v = _upsert_into(target, prepared, ["external_id"])
-    LAST_COUNTERS["replicate_events"] = obs.get
+    LAST_COUNTERS["replicate_events"] = counters.values | obs.get
     if state is not None:
         state.advance("events-replication", mark.get["mark"])
     return v
@@ -130,6 +130,12 @@ def assert_unique(df: DataFrame, key: str) -> None:
         raise ValueError(f"duplicate {key} values")
 
 
+def _counted(counters: Counters, done: int) -> int:
+    """Keep the counters of a job whose write is done."""
+    LAST_COUNTERS[counters.job] = counters.values
+    return done
+
+
 def _upsert_into(target: SnapshotTable | PartitionedTable, rows: DataFrame, keys: list[str], unique: bool = False) -> int:
     """The new version of a snapshot, or the number of partitions rewritten."""
     if isinstance(target, PartitionedTable):
@@ -141,31 +147,35 @@ def _upsert_into(target: SnapshotTable | PartitionedTable, rows: DataFrame, keys
 
 def run_replicate_files(src, tgt, target: SnapshotTable, cfg: JobConfig, run_time) -> int:
     """Files with content: upsert keyed on external id (B10); the newest row of a key is chosen before bodies are read."""
-    rows = R.prepare_files(src, tgt, cfg, run_time, with_content=True, newest_only=True)
-    return _upsert_into(target, rows, ["external_id"], unique=True)
+    counters = Counters("replicate_files")
+    rows = R.prepare_files(src, tgt, cfg, run_time, with_content=True, newest_only=True, counters=counters)
+    return _counted(counters, _upsert_into(target, rows, ["external_id"], unique=True))
 
 
 def run_replicate_files_metadata(src, tgt, target: SnapshotTable, cfg: JobConfig, run_time,
                                  state: DeltaState | None = None, full_read: bool = False) -> int:
     since = None if (state is None or full_read) else state.read("files-metadata-replication")
-    mark = Observation("files_mark")
-    rows = R.prepare_files(src, tgt, cfg, run_time, with_content=False, since_ms=since, mark=mark)
-    v = _upsert_into(target, rows, ["external_id"])
+    mark, counters = Observation("files_mark"), Counters("replicate_files_metadata")
+    rows = R.prepare_files(src, tgt, cfg, run_time, with_content=False, since_ms=since, mark=mark, counters=counters)
+    v = _counted(counters, _upsert_into(target, rows, ["external_id"]))
     if state is not None:
         state.advance("files-metadata-replication", mark.get["mark"])
     return v
 
 
 def run_replicate_labels(src, tgt, target: SnapshotTable, cfg: JobConfig, map_data_sets: bool = False) -> int:
-    return _upsert_into(target, R.prepare_labels(src, tgt, cfg, map_data_sets), ["external_id"])
+    counters = Counters("replicate_labels")
+    return _counted(counters, _upsert_into(target, R.prepare_labels(src, tgt, cfg, map_data_sets, counters), ["external_id"]))
 
 
 def run_replicate_raw(src, target: SnapshotTable, cfg: JobConfig) -> int:
-    return _upsert_into(target, R.prepare_raw(src, cfg), ["db_name", "table_name", "key"])
+    counters = Counters("replicate_raw")
+    return _counted(counters, _upsert_into(target, R.prepare_raw(src, cfg, counters), ["db_name", "table_name", "key"]))
 
 
 def run_replicate_relationships(src, tgt, target: SnapshotTable, cfg: JobConfig) -> int:
-    return _upsert_into(target, R.prepare_relationships(src, tgt, cfg), ["external_id"])
+    counters = Counters("replicate_relationships")
+    return _counted(counters, _upsert_into(target, R.prepare_relationships(src, tgt, cfg, counters), ["external_id"]))
 
 
 def run_replicate_sequences(src, tgt, headers_out: SnapshotTable, rows_out: SnapshotTable,
@@ -174,9 +184,11 @@ def run_replicate_sequences(src, tgt, headers_out: SnapshotTable, rows_out: Snap
     heads = R.filtered_sequence_headers(src, cfg)
     hv = rv = None
     if cfg.flag(K.SEQUENCE_HEADERS):
-        hv = _upsert_into(headers_out, R.prepare_sequence_headers(src, tgt, cfg, heads), ["external_id"])
+        counters = Counters("replicate_sequence_headers")
+        hv = _counted(counters, _upsert_into(headers_out, R.prepare_sequence_headers(src, tgt, cfg, heads, counters), ["external_id"]))
     if cfg.flag(K.SEQUENCE_ROWS):
-        rv = _upsert_into(rows_out, R.prepare_sequence_rows(src, cfg, heads), ["seq_external_id", "row_number"])
+        counters = Counters("replicate_sequence_rows")
+        rv = _counted(counters, _upsert_into(rows_out, R.prepare_sequence_rows(src, cfg, heads, counters=counters), ["seq_external_id", "row_number"]))
     return hv, rv
 
 
@@ -186,9 +198,11 @@ def run_replicate_ts(src, tgt, headers_out: SnapshotTable, points_out: SnapshotT
     heads = R.filtered_series(src, cfg)
     hv = pv = None
     if cfg.flag(K.TS_HEADERS):
-        hv = _upsert_into(headers_out, R.prepare_ts_headers(src, tgt, cfg, heads), ["external_id"])
+        counters = Counters("replicate_ts_headers")
+        hv = _counted(counters, _upsert_into(headers_out, R.prepare_ts_headers(src, tgt, cfg, heads, counters), ["external_id"]))
     if cfg.flag(K.TS_POINTS):
-        pv = _upsert_into(points_out, R.prepare_ts_points(src, cfg, run_time, heads), ["external_id", "timestamp"])
+        counters = Counters("replicate_ts_points")
+        pv = _counted(counters, _upsert_into(points_out, R.prepare_ts_points(src, cfg, run_time, heads, counters), ["external_id", "timestamp"]))
     return hv, pv
 
 
@@ -204,9 +218,9 @@ def run_replicate_assets(src, tgt, target: SnapshotTable, cfg: JobConfig, run_ms
                                                  F.count_if(F.col("reason").isNotNull()).alias("rejected")).checkpoint()
     if on_invalid == "quarantine" and quarantine is not None:
         quarantine.commit(R.rejected_assets(checked, datetime.fromtimestamp(run_ms / 1000, timezone.utc)))
-    prepared = R.prepare_assets(src, tgt, cfg, on_invalid, checked)
-    counters = Observation("replicate_assets")
-    synced = hierarchy_sync(prepared, tgt.assets(), run_ms, counters).checkpoint()
-    LAST_COUNTERS["replicate_assets"] = counters.get | checks.get
+    counters, ops = Counters("replicate_assets"), Observation("replicate_assets")
+    prepared = R.prepare_assets(src, tgt, cfg, on_invalid, checked, counters)
+    synced = hierarchy_sync(prepared, tgt.assets(), run_ms, ops).checkpoint()
+    LAST_COUNTERS["replicate_assets"] = counters.values | ops.get | checks.get
     assert_unique(synced, "id")  # new ids are xxhash64(external_id): check for collisions
     return target.commit(synced)

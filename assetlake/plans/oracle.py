@@ -546,6 +546,7 @@ UNION ALL SELECT 'files_labels_removed', CAST(sum(len(f.labels) - len(coalesce(l
                             extra=asset_array_remap("src_events").strip() + """,
 lel AS (SELECT id, unnest(labels) AS l, generate_subscripts(labels, 1) AS pos FROM src_files),
 lk AS (SELECT id, list(l ORDER BY pos) AS kept FROM lel WHERE l IN (SELECT external_id FROM tgt_labels) GROUP BY id)""")
+    S["q_job_counters"] = S["q_run_counters"]
     S["q_stream_hour_rollup"] = q("""
 SELECT id, hour, count(value) AS count, round(min(value), 6) AS min, round(max(value), 6) AS max,
        round(sum(value), 6) AS sum, round(avg(value), 6) AS average

@@ -25,10 +25,12 @@ from ..operators.rules import cap_event_end, clean_file_names, event_rules
 from ..operators.timeseries import hourly_aggregates
 from ..session import scratch_dir
 from ..sinks.partitioned import DayTable, KeyedTable
+from ..sinks.snapshot import SnapshotTable
 from ..sinks.upsert import hierarchy_sync, upsert
 from ..sources.derived import DerivedTenant
 from ..sources.scan import DeltaState, upper_bound
 from ..sources.tables import Tables
+from . import jobs
 from . import publish as P
 from . import replicate as R
 from .compare import for_compare
@@ -96,6 +98,19 @@ def _accepted_and_rejected(checked: DataFrame) -> DataFrame:
     return kept.unionByName(R.rejected_assets(checked, RUN_TIME).select("id", F.lit("rejected").alias("state"), "reason"))
 
 
+def _job_counters(src, tgt) -> DataFrame:
+    """The counters of ``q_run_counters`` as three jobs observe them while they write."""
+    spark = src.events().sparkSession
+    into = lambda name: SnapshotTable(spark, scratch_dir(spark, f"{name}-{uuid.uuid4().hex}"))
+    jobs.run_replicate_events(src, tgt, into("counted-events"), cfg_events(), None)
+    jobs.run_replicate_files(src, tgt, into("counted-files"), cfg_files(), None)
+    jobs.run_replicate_assets(src, tgt, into("counted-assets"), cfg_assets(), RUN_MS, "quarantine")
+    seen = {f"{job}_{k}": v for job in ("events", "files", "assets") for k, v in jobs.LAST_COUNTERS[f"replicate_{job}"].items()}
+    names = ["events_missing_external_id", "events_assets_mapped", "events_data_set_mapped", "events_data_set_not_mapped", "assets_root",
+             "files_forward_slash", "files_back_slash", "files_cleaned", "files_labels_removed"]
+    return spark.createDataFrame([(n, seen[n]) for n in names], "counter string, value long")
+
+
 def _through(table, first: DataFrame, then: DataFrame) -> DataFrame:
     """The stored rows after ``first`` and ``then`` were upserted into ``table``."""
     table.upsert(first)
@@ -231,6 +246,7 @@ Q: dict[str, Callable[[DerivedTenant, DerivedTenant], DataFrame]] = {
         "metadata", "created_time", "last_updated_time",
         (F.col("parent_external_id").isNull() | F.col("parent_id").isNotNull()).alias("parent_resolved"),
         F.col("root_id").isNotNull().alias("root_resolved")),
+    "q_job_counters": lambda s, t: _job_counters(s, t),
     "q_run_counters": lambda s, t: run_counters(s, t, cfg_events()),
 }
 
