@@ -22,10 +22,6 @@ ISIN_MAX = 1000
 FULL_HISTORY_START_MS = 31536000000
 
 
-def _member(c: Column, values: list[str]) -> Column:
-    return F.coalesce(c.isin(list(values)), F.lit(False)) if values else F.lit(False)
-
-
 def allow_deny(c, allow: list[str], deny: list[str]) -> Column:
     """Deny wins; then "*" or exact membership. Empty allow => nothing.
 
@@ -66,14 +62,17 @@ def regex_allow_deny(c, allow: list[str], allow_regex: list[str],
     lists are unioned (boolean OR). Rows without an external id are only
     admitted by "*".
     """
+    # plain terms as in ``allow_deny``: exact lists reach the scan wherever no regex is joined to them by OR
     c = col(c)
-    denied = _member(c, deny)
+    kept = (c.isNull() | ~c.isin(list(deny))) if deny else F.lit(True)
     for rx in deny_regex:
-        denied = denied | F.coalesce(full_match(c, rx), F.lit(False))
-    allowed = F.lit("*" in allow) | _member(c, allow)
+        kept = kept & (c.isNull() | ~full_match(c, rx))
+    if "*" in allow:
+        return kept
+    allowed = c.isin(list(allow)) if allow else F.lit(False)
     for rx in allow_regex:
-        allowed = allowed | F.coalesce(full_match(c, rx), F.lit(False))
-    return ~denied & allowed
+        allowed = allowed | full_match(c, rx)
+    return kept & allowed
 
 
 def data_set_filter(df: DataFrame, data_sets: DataFrame, allow: list[str],

@@ -99,10 +99,11 @@ def run_publish_merge(table: str, src, snapshot: SnapshotTable | PartitionedTabl
     return v
 
 
-def export_points_text(src, out_path: str, external_id: str, single_file: bool = False) -> None:
+def export_points_text(src, out_path: str, external_id: str, single_file: bool = False,
+                       start_ms: int = P.EXPORT_START_MS) -> None:
     """TsPointsToFile: one series as ``externalId|timestamp|timestamp_datetime|value`` lines."""
-    lines = P.points_text_lines(src, external_id).select("line")
-    write_lines(lines, out_path, "externalId|timestamp|timestamp_datetime|value", single_file=single_file)
+    lines = P.points_text_lines(src, external_id, start_ms).select("line")
+    write_lines(lines, out_path, P.TEXT_HEADER, single_file=single_file)
 
 
 # ----------------------------------------------------------------- replicate

@@ -12,7 +12,7 @@ from ..operators import filters as flt
 from ..operators.rules import (DESCRIPTION_KEY, DESCRIPTION_NOTE, END_KEY, END_NEGATIVE_NOTE, ORIGINAL_FILE_NAME_KEY,
                                START_AFTER_END_NOTE, START_KEY, START_NEGATIVE_NOTE)
 from .oracle_fixtures import with_ctes
-from .params import DELTA_MARK_MS, DELTA_OFFSET_MS, FILL_GAP_MS, RUN_MS, RUN_TIME, RUN_TS_TEXT
+from .params import DELTA_MARK_MS, DELTA_OFFSET_MS, EXPORT_SERIES, FILL_GAP_MS, RUN_MS, RUN_TIME, RUN_TS_TEXT
 
 CAP = 253402300799990
 
@@ -546,6 +546,16 @@ UNION ALL SELECT 'files_labels_removed', CAST(sum(len(f.labels) - len(coalesce(l
                             extra=asset_array_remap("src_events").strip() + """,
 lel AS (SELECT id, unnest(labels) AS l, generate_subscripts(labels, 1) AS pos FROM src_files),
 lk AS (SELECT id, list(l ORDER BY pos) AS kept FROM lel WHERE l IN (SELECT external_id FROM tgt_labels) GROUP BY id)""")
+    S["q_written_events"] = S["q_publish_events"]
+    S["q_written_points"] = f"""SELECT *, substr(timestamp, 1, 10) AS p_date FROM ({S['q_publish_ts_points']})"""
+    S["q_written_sequence_bodies"] = S["q_publish_sequence_bodies"]
+    S["q_text_export"] = f"""SELECT line FROM ({S['q_text_lines']}) WHERE external_id = '{EXPORT_SERIES}' AND timestamp >= {DELTA_MARK_MS}"""
+    S["q_sequences_job"] = S["q_replicate_sequence_rows"]
+    S["q_files_job"] = S["q_replicate_files"]
+    S["q_ts_job_flags"] = f"""
+SELECT * FROM (VALUES ('no', CAST(-1 AS BIGINT), (SELECT count(*) FROM ({S['q_replicate_ts_points']}))),
+                      ('YES', (SELECT count(*) FROM ({S['q_replicate_ts_headers']})), CAST(-1 AS BIGINT)),
+                      ('maybe', CAST(-1 AS BIGINT), CAST(-1 AS BIGINT))) x(setting, n_headers, n_points)"""
     S["q_job_counters"] = S["q_run_counters"]
     S["q_stream_hour_rollup"] = q("""
 SELECT id, hour, count(value) AS count, round(min(value), 6) AS min, round(max(value), 6) AS max,

@@ -59,3 +59,6 @@ FILL_GAP_MS = 24 * 3600000
 # allow and deny lists beyond what becomes literals
 LONG_ALLOW = [f"ev:{k}" for k in range(0, 6000, 2)]
 LONG_DENY = [f"ev:{k}" for k in range(0, 20000, 10)]
+
+# the series whose points q_text_export writes
+EXPORT_SERIES = "ts:1"

@@ -34,7 +34,7 @@ from . import jobs
 from . import publish as P
 from . import replicate as R
 from .compare import for_compare
-from .params import (DELTA_MARK_MS, DELTA_OFFSET_MS, FILL_GAP_MS, LONG_ALLOW, LONG_DENY, RUN_MS, RUN_TIME, cfg_assets, cfg_events, cfg_files,
+from .params import (DELTA_MARK_MS, DELTA_OFFSET_MS, EXPORT_SERIES, FILL_GAP_MS, LONG_ALLOW, LONG_DENY, RUN_MS, RUN_TIME, cfg_assets, cfg_events, cfg_files,
                      cfg_raw, cfg_relationships, cfg_sequences, cfg_ts)
 
 
@@ -111,6 +111,57 @@ def _job_counters(src, tgt) -> DataFrame:
     return spark.createDataFrame([(n, seen[n]) for n in names], "counter string, value long")
 
 
+def _written(src, table: str) -> DataFrame:
+    """A table as it is read back after its publish job, written over an older one."""
+    spark = src.events().sparkSession
+    out = scratch_dir(spark, f"published-{table}-{uuid.uuid4().hex}")
+    spark.range(1).write.parquet(out)
+    jobs.run_publish(table, src, out, RUN_TIME)
+    return spark.read.parquet(out)
+
+
+def _text_export(src) -> DataFrame:
+    """The lines of one series from an instant within it, read back as text."""
+    spark = src.events().sparkSession
+    out = scratch_dir(spark, f"text-export-{uuid.uuid4().hex}")
+    jobs.export_points_text(src, out, EXPORT_SERIES, start_ms=DELTA_MARK_MS)
+    return spark.read.option("pathGlobFilter", "*.txt").text(out).where(F.col("value") != P.TEXT_HEADER).select(F.col("value").alias("line"))
+
+
+def _sequences_job(src, tgt) -> DataFrame:
+    """Sequence rows of the job that writes headers first; the second run replaces them."""
+    spark, cfg = src.events().sparkSession, cfg_sequences()
+    cfg.config |= {"sequenceHeaders": "yes", "sequenceRows": "Yes"}
+    rows = KeyedTable(spark, scratch_dir(spark, f"sequence-rows-{uuid.uuid4().hex}"), ["seq_external_id", "row_number"], 8)
+    heads = KeyedTable(spark, scratch_dir(spark, f"sequence-heads-{uuid.uuid4().hex}"), ["external_id"], 4)
+    for _ in range(2):
+        jobs.run_replicate_sequences(src, tgt, heads, rows, cfg)
+    known = heads.current().select(F.col("external_id").alias("seq_external_id"))
+    return rows.current().join(known, "seq_external_id", "left_semi").select(
+        "seq_external_id", "row_number", F.array_join(F.transform("values", lambda v: P.cell_text(v)), ",").alias("values"))
+
+
+def _ts_job_flags(src, tgt) -> DataFrame:
+    """What the series job writes under each setting of its two flags (-1: not written)."""
+    spark, out = src.events().sparkSession, []
+    for heads, points in (("no", "yes"), ("YES", "no"), ("maybe", "")):
+        cfg = cfg_ts()
+        cfg.config |= {"tsHeaders": heads, "tsPoints": points}
+        to = [SnapshotTable(spark, scratch_dir(spark, f"ts-{k}-{uuid.uuid4().hex}")) for k in "hp"]
+        jobs.run_replicate_ts(src, tgt, *to, cfg, RUN_TIME)
+        out.append((heads, *(-1 if x.current() is None else x.current().count() for x in to)))
+    return spark.createDataFrame(out, "setting string, n_headers long, n_points long")
+
+
+def _files_job(src, tgt) -> DataFrame:
+    """Files with bodies as they are read back after two runs of their job."""
+    spark = src.events().sparkSession
+    out = KeyedTable(spark, scratch_dir(spark, f"files-{uuid.uuid4().hex}"), ["external_id"], 8)
+    for _ in range(2):
+        jobs.run_replicate_files(src, tgt, out, cfg_files(), RUN_TIME)
+    return out.current().withColumn("content", F.md5("content"))
+
+
 def _through(table, first: DataFrame, then: DataFrame) -> DataFrame:
     """The stored rows after ``first`` and ``then`` were upserted into ``table``."""
     table.upsert(first)
@@ -246,6 +297,13 @@ Q: dict[str, Callable[[DerivedTenant, DerivedTenant], DataFrame]] = {
         "metadata", "created_time", "last_updated_time",
         (F.col("parent_external_id").isNull() | F.col("parent_id").isNotNull()).alias("parent_resolved"),
         F.col("root_id").isNotNull().alias("root_resolved")),
+    "q_written_events": lambda s, t: _written(s, "events"),
+    "q_written_points": lambda s, t: _written(s, "ts_points").withColumn("p_date", F.col("p_date").cast("string")),
+    "q_written_sequence_bodies": lambda s, t: _written(s, "sequence_bodies"),
+    "q_text_export": lambda s, t: _text_export(s),
+    "q_sequences_job": lambda s, t: _sequences_job(s, t),
+    "q_ts_job_flags": lambda s, t: _ts_job_flags(s, t),
+    "q_files_job": lambda s, t: _files_job(s, t),
     "q_job_counters": lambda s, t: _job_counters(s, t),
     "q_run_counters": lambda s, t: run_counters(s, t, cfg_events()),
 }
