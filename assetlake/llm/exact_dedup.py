@@ -24,11 +24,23 @@ from assetlake.llm.common import fresh_path, lower_ascii, store, table, unclash
 
 
 class DigestIndex:
-    """Digests seen so far: (digest binary, keep_id long, batch string)."""
+    """Digests seen so far: (digest binary, keep_id long, batch string).
+
+    The number of buckets is fixed when the index is made and stored with it (``_layout``): files dealt into other
+    buckets than the catalog declares would hide known digests from the anti-join.
+    """
 
     def __init__(self, spark: SparkSession, path: str, buckets: int | None = None):
         self.spark, self.path = spark, path
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        store_ = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        layout = f"{path}/_layout"
+        if not store_.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{layout}/_SUCCESS")):
+            if store_.exists(at) and any(s.getPath().getName().startswith("part-") for s in store_.listStatus(at)):
+                raise ValueError(f"{path} holds digests, but not their number of buckets")
+            wanted = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+            spark.createDataFrame([(wanted,)], "buckets int").write.mode("overwrite").parquet(layout)
+        self.buckets = spark.read.schema("buckets int").parquet(layout).first()[0]
         self.name = "digest_index_" + uuid.uuid5(uuid.NAMESPACE_URL, path).hex
         # Bucketing lives in the catalog: a new session declares the same table over the same folder.
         spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} (digest BINARY, keep_id BIGINT, batch STRING) "
@@ -38,13 +50,18 @@ class DigestIndex:
     def rows(self) -> DataFrame:
         return self.spark.table(self.name)
 
-    def unseen(self, groups: DataFrame) -> DataFrame:
-        """Groups whose digest isn't in the index (sort-merge anti-join)."""
-        return groups.join(self.rows().select("digest").hint("merge"), "digest", "left_anti")
+    def unseen(self, groups: DataFrame, batch: str | None = None) -> DataFrame:
+        """Groups whose digest isn't in the index (sort-merge anti-join); what ``batch`` itself appended doesn't count."""
+        return groups.join(self.others(batch).select("digest").hint("merge"), "digest", "left_anti")
+
+    def others(self, batch: str | None) -> DataFrame:
+        """The rows that other batches appended."""
+        return self.rows() if batch is None else self.rows().where(F.col("batch") != batch)
 
     def append(self, groups: DataFrame, batch: str) -> None:
-        """Append one row per digest, one sorted file per bucket."""
-        (groups.select("digest", "keep_id", F.lit(batch).alias("batch"))
+        """Append one row per digest, one sorted file per bucket; digests that this batch appended before are left."""
+        mine = self.rows().where(F.col("batch") == batch).select("digest").hint("merge")
+        (groups.select("digest", "keep_id", F.lit(batch).alias("batch")).join(mine, "digest", "left_anti")
          .repartition(self.buckets, "digest")
          .write.mode("append").insertInto(self.name))
         self.spark.catalog.refreshTable(self.name)
@@ -55,18 +72,20 @@ def digests(docs: DataFrame) -> DataFrame:
         "doc_id", F.unhex(F.sha2(lower_ascii(F.col("text")).cast("binary"), 256)).alias("digest"))
 
 
-def dedup(docs: DataFrame, index: DigestIndex, batch: str = "0") -> DataFrame:
+def dedup(docs: DataFrame, index: DigestIndex, batch: str | None = None) -> DataFrame:
     """Decide for every row of ``docs`` and append its new digests to ``index``.
 
-    Returns doc_id, keep_id, group_size (rows of this batch with the digest),
+    A batch with a name can be run again, after a crash at any point too: it gets the answer of its first run and
+    adds nothing twice. Returns doc_id, keep_id, group_size (rows of this batch with the digest),
     kept, text_sha256, seen_before.
     """
+    batch = batch or uuid.uuid4().hex
     narrow = store(digests(docs), "digests")
     groups = store(narrow.groupBy("digest").agg(F.max("doc_id").alias("keep_id"),
                                                 F.count(F.lit(1)).alias("group_size")), "digest-groups")
-    new = store(index.unseen(groups).withColumn("seen_before", F.lit(False)), "digest-new")
+    new = store(index.unseen(groups, batch).withColumn("seen_before", F.lit(False)), "digest-new")
     old = (groups.join(new.select("digest"), "digest", "left_anti").drop("keep_id")
-           .join(index.rows().select("digest", "keep_id").hint("merge"), "digest")
+           .join(index.others(batch).select("digest", "keep_id").hint("merge"), "digest")
            .select("digest", "keep_id", "group_size", F.lit(True).alias("seen_before")))
     decided = store(new.unionByName(old), "digest-decided")
     index.append(new, batch)

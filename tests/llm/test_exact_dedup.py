@@ -1,6 +1,7 @@
 import hashlib
 
 import duckdb
+import pytest
 from pyspark.sql import Row
 
 from assetlake.llm import exact_dedup as X
@@ -45,3 +46,51 @@ def test_second_batch_is_deduplicated_against_the_index(spark):
     assert again.rows().count() == 3
     plan = again.unseen(spark.createDataFrame([Row(digest=bytearray(b"a"))]))._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan
+
+
+def documents(spark, ids):
+    return spark.createDataFrame([Row(doc_id=k, text=f"text {k}") for k in ids])
+
+
+def test_index_reopened_under_other_settings_knows_its_digests(spark):
+    path, before = fresh_path(spark, "i"), spark.conf.get("spark.sql.shuffle.partitions")
+    assert X.dedup(documents(spark, range(500)), X.DigestIndex(spark, path, 8), "a").where("kept").count() == 500
+    try:
+        for n, buckets in ((5, None), (16, None), (8, 32)):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            spark.sql(f"DROP TABLE IF EXISTS {X.DigestIndex(spark, path).name}")  # a new session knows no such table
+            index = X.DigestIndex(spark, path, buckets)
+            assert index.buckets == 8
+            got = X.dedup(documents(spark, range(500)), index, f"again {n}")
+            assert got.where("kept").count() == 0 and index.rows().count() == 500
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_digests_without_layout_are_refused(spark):
+    path = fresh_path(spark, "i")
+    X.dedup(documents(spark, range(3)), X.DigestIndex(spark, path), "a")
+    spark.createDataFrame([(1,)], "x int").write.parquet(other := fresh_path(spark, "o"))
+    with pytest.raises(ValueError):
+        X.DigestIndex(spark, other)
+
+
+def test_a_batch_run_again_gets_its_first_answer(spark):
+    index = X.DigestIndex(spark, fresh_path(spark, "i"))
+    X.dedup(documents(spark, range(0, 60)), index, "a")
+    first = sorted(map(tuple, X.dedup(documents(spark, range(40, 100)), index, "b").collect()))  # appended, its result never written
+    again = sorted(map(tuple, X.dedup(documents(spark, range(40, 100)), index, "b").collect()))
+    assert first == again and sum(r[3] for r in again) == 40 and index.rows().count() == 100
+    assert X.dedup(documents(spark, range(100)), index).where("kept").count() == 0
+
+
+def test_a_crash_before_the_append_loses_nothing(spark, monkeypatch):
+    index = X.DigestIndex(spark, fresh_path(spark, "i"))
+
+    def lost(groups, batch):
+        raise OSError("lost")
+    with monkeypatch.context() as m:
+        m.setattr(index, "append", lost)
+        with pytest.raises(OSError):
+            X.dedup(documents(spark, range(10)), index, "a")
+    assert X.dedup(documents(spark, range(10)), index, "a").where("kept").count() == 10
