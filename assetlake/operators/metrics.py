@@ -50,6 +50,12 @@ def _sums(df: DataFrame, **exprs) -> DataFrame:
         F.array(*[F.lit(k) for k in exprs]), F.array(*[F.col(k) for k in exprs]))).alias("counter", "value"))
 
 
+def observed(seen: Observation) -> dict:
+    """What ``seen`` observed in the action that ran; empty if the planner found a part of the plan without rows and
+    never ran the observed one (``Observation.get`` fails then)."""
+    return seen.get if seen._jo.getRow().length() else {}
+
+
 class Counters:
     """counters of one run of a job, observed at several points of its plan while it writes; no job of their own."""
 
@@ -59,13 +65,17 @@ class Counters:
     def at(self, df: DataFrame, **conds) -> DataFrame:
         """``df`` with counters: the rows where a condition holds, or the sum of a number."""
         seen = Observation(f"{self.job}-{len(self._seen)}")
-        self._seen.append(seen)
+        self._seen.append((seen, list(conds)))
         return df.observe(seen, *[F.coalesce(F.sum(F.coalesce(c.cast("long"), F.lit(0))), F.lit(0)).alias(k) for k, c in conds.items()])
 
     @property
     def values(self) -> dict[str, int]:
-        """What was counted, once the job's action has run."""
-        return {k: int(v) for seen in self._seen for k, v in seen.get.items()}
+        """What was counted, once the job's action has run; 0 where no row got as far."""
+        out = {}
+        for seen, names in self._seen:
+            found = observed(seen)
+            out |= {k: int(found.get(k, 0)) for k in names}
+        return out
 
 
 def counted(counters: Counters | None, df: DataFrame, **conds) -> DataFrame:

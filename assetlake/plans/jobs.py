@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .. import config as K
 from ..config import JobConfig
 from ..operators import filters as flt
-from ..operators.metrics import Counters, observe_counters
+from ..operators.metrics import Counters, observe_counters, observed
 from ..schemas import PUBLISHED
 from ..sinks.partitioned import PartitionedTable
 from ..sinks.snapshot import SnapshotTable
@@ -95,7 +95,7 @@ def run_publish_merge(table: str, src, snapshot: SnapshotTable | PartitionedTabl
         delta = delta.where(F.col("last_updated_time") <= F.timestamp_millis(F.lit(flt.to_ms(until)).cast("long")))
     delta = delta.observe(mark, F.unix_millis(F.max("last_updated_time")).alias("mark"))
     v = _upsert_into(snapshot, delta, keys)
-    state.advance(ident, mark.get["mark"])
+    state.advance(ident, observed(mark).get("mark"))
     return v
 
 
@@ -118,9 +118,9 @@ def run_replicate_events(src, tgt, target: SnapshotTable, cfg: JobConfig, run_ti
         data_set_mapped=F.col("data_set_id").isNotNull(),
         constraint_fixed=F.size(F.map_filter("metadata", lambda k, _: k.startswith("constraintViolation"))) > 0)
     v = _upsert_into(target, prepared, ["external_id"])
-    LAST_COUNTERS["replicate_events"] = counters.values | obs.get
+    LAST_COUNTERS["replicate_events"] = counters.values | observed(obs)
     if state is not None:
-        state.advance("events-replication", mark.get["mark"])
+        state.advance("events-replication", observed(mark).get("mark"))
     return v
 
 
@@ -160,7 +160,7 @@ def run_replicate_files_metadata(src, tgt, target: SnapshotTable, cfg: JobConfig
     rows = R.prepare_files(src, tgt, cfg, run_time, with_content=False, since_ms=since, mark=mark, counters=counters)
     v = _counted(counters, _upsert_into(target, rows, ["external_id"]))
     if state is not None:
-        state.advance("files-metadata-replication", mark.get["mark"])
+        state.advance("files-metadata-replication", observed(mark).get("mark"))
     return v
 
 
@@ -222,6 +222,6 @@ def run_replicate_assets(src, tgt, target: SnapshotTable, cfg: JobConfig, run_ms
     counters, ops = Counters("replicate_assets"), Observation("replicate_assets")
     prepared = R.prepare_assets(src, tgt, cfg, on_invalid, checked, counters)
     synced = hierarchy_sync(prepared, tgt.assets(), run_ms, ops).checkpoint()
-    LAST_COUNTERS["replicate_assets"] = counters.values | ops.get | checks.get
+    LAST_COUNTERS["replicate_assets"] = counters.values | observed(ops) | observed(checks)
     assert_unique(synced, "id")  # new ids are xxhash64(external_id): check for collisions
     return target.commit(synced)

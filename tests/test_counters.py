@@ -36,3 +36,15 @@ def test_every_job_counts_its_links(spark, tenants, tmp_dir):
     assert seen["replicate_ts_points"]["points"] == points.count()
     assert seen["replicate_sequence_rows"]["rows"] == R.prepare_sequence_rows(src, cfg_sequences()).count()
     assert seen["replicate_sequence_headers"]["read"] == R.filtered_sequence_headers(src, cfg_sequences()).count()
+
+
+def test_jobs_end_when_the_planner_finds_nothing_to_read(spark, tenants, tmp_dir):
+    from assetlake.plans.params import cfg_events
+    from assetlake.sources.scan import DeltaState
+    src, tgt = tenants
+    state, cfg = DeltaState(spark, f"{tmp_dir}/state"), cfg_events()
+    cfg.allow["dataSetExternalId"] = ["unknown"]
+    jobs.run_replicate_events(src, tgt, SnapshotTable(spark, f"{tmp_dir}/e"), cfg, RUN_TIME, state)
+    assert jobs.LAST_COUNTERS["replicate_events"]["read"] == 0
+    jobs.run_replicate_raw(src, SnapshotTable(spark, f"{tmp_dir}/r"), cfg_raw([], []))
+    assert jobs.LAST_COUNTERS["replicate_raw"]["read"] == 0
