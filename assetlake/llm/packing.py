@@ -19,9 +19,9 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import deque
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,21 +37,24 @@ BLOCK_TOKENS = 1 << 18
 BLOCK_CHARS = 1 << 20
 CACHE_WORDS = 800_000
 END_ID = 2
+END = np.uint32(END_ID).tobytes()
 SMALLEST_POWER = 64
 #: lower-casing first is safe only where composing and lower-casing commute, and special tokens are told by case
 UNSAFE = re.compile("[^\x00-ɏ]|İ|<\\|")
+IDS = array("I" if array("I").itemsize == 4 else "L").typecode  # unsigned 32-bit
 WORD_AND_MARKS = re.compile(r"([^\W\d_]+)([.,!?:;()#$%&*+/=@\"-]+)")
 
 
 class Tokenizer:
     """Ids exactly as tokenizers' encode(text, add_special_tokens=False): its pieces never span white space, so
-    chunks between blanks are encoded once and found in a bounded cache."""
+    chunks between blanks are encoded once and found in a bounded cache, as the bytes of their 32-bit ids: a text's ids
+    are those bytes joined."""
 
     def __init__(self, path: str):
         import tokenizers
 
         self.tok = tokenizers.Tokenizer.from_file(path)
-        self.cache: dict[str, tuple[int, ...]] = {"": ()}
+        self.cache: dict[str, bytes] = {"": b""}
         vocab = self.tok.get_vocab()
         self.closes = [False] * (max(vocab.values()) + 1)  # pieces that end a word
         for piece, i in vocab.items():
@@ -65,7 +68,7 @@ class Tokenizer:
         cache = self.cache
         if len(cache) > CACHE_WORDS:
             cache.clear()
-            cache[""] = ()
+            cache[""] = b""
         plain, marked, other = [], [], []
         for c in missing:
             if c.isalpha():
@@ -85,27 +88,36 @@ class Tokenizer:
             for i in ids:
                 word.append(i)
                 if closes[i]:
-                    found.append(tuple(word))
+                    found.append(array(IDS, word).tobytes())
                     word = []
             if len(found) == len(plain) and not word:
                 cache.update(zip(plain, found, strict=True))
             else:
                 other += plain
         for c, enc in zip(other, self.tok.encode_batch_fast(other, add_special_tokens=False), strict=True):
-            cache[c] = tuple(enc.ids)
+            cache[c] = array(IDS, enc.ids).tobytes()
         for c, w, m in marked:
             cache[c] = cache[w] + cache[m]
 
-    def _know(self, chunks: set[str]) -> None:
-        while missing := chunks.difference(self.cache):
-            self._learn(missing)
+    def _found(self, texts: list[str]) -> list[list[bytes]]:
+        """The ids of each text's chunks; a chunk is looked up once, those not yet known are learned together."""
+        get, rows, open_ = self.cache.get, [], []
+        for text in texts:
+            chunks = self._chunks(text)
+            rows.append(row := list(map(get, chunks)))
+            if None in row:
+                open_.append((row, [(k, c) for k, (c, f) in enumerate(zip(chunks, row, strict=True)) if f is None]))
+        if open_:
+            self._learn({c for _, missing in open_ for _, c in missing})
+            for row, missing in open_:
+                for k, c in missing:
+                    row[k] = self.cache[c]
+        return rows
 
     @staticmethod
     def _chunks(text: str) -> list[str]:
-        return (text if UNSAFE.search(text) else text.lower()).replace("\n", " ").split(" ")
-
-    def _ids(self, chunks: list[str]) -> list[int]:
-        return list(chain.from_iterable(map(self.cache.__getitem__, chunks)))
+        unsafe = "<|" in text if text.isascii() else UNSAFE.search(text)
+        return (text if unsafe else text.lower()).replace("\n", " ").split(" ")
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a whole text with the end id, a block of about BLOCK_CHARS at a time."""
@@ -113,11 +125,9 @@ class Tokenizer:
         while at < len(text):
             to = len(text) if at + BLOCK_CHARS >= len(text) else text.find(" ", at + BLOCK_CHARS)
             to = len(text) if to < 0 else to
-            chunks = self._chunks(text[at:to])
-            self._know(set(chunks))
-            parts.append(np.array(self._ids(chunks), np.uint32))
+            parts += self._found([text[at:to]])[0]
             at = to + 1
-        return np.concatenate([*parts, np.array([END_ID], np.uint32)])
+        return np.frombuffer(b"".join([*parts, END]), np.uint32)
 
     def encode_many(self, texts: list[str]):
         """``encode`` of each text; the unknown words of up to BLOCK_CHARS of texts are learned together."""
@@ -130,10 +140,9 @@ class Tokenizer:
             if size > BLOCK_CHARS:
                 yield self.encode(texts[at])
             else:
-                chunks = [self._chunks(t) for t in texts[at:to]]
-                self._know(set(chain.from_iterable(chunks)))
-                for c in chunks:
-                    yield np.array([*self._ids(c), END_ID], np.uint32)
+                for row in self._found(texts[at:to]):
+                    row.append(END)
+                    yield np.frombuffer(b"".join(row), np.uint32)
             at = to
 
 
