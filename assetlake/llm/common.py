@@ -7,13 +7,17 @@ costs only a reread, and every reader sees the same files.
 
 from __future__ import annotations
 
+import gc
 import uuid
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assetlake.session import scratch_dir
 
+_made: ContextVar[list | None] = ContextVar("made", default=None)  # tables stored inside the ``settle`` that runs
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -33,9 +37,33 @@ def store(df: DataFrame, name: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_path = path
+    if _made.get() is not None:
+        _made.get().append(out)
+    return out
+
+
+def settle(make, name: str) -> DataFrame:
+    """``store`` the DataFrame that ``make()`` returns, then delete the other tables that ``store`` wrote meanwhile and let
+    Spark's cleaner drop their shuffle files: what stays on disk is the result."""
+    token = _made.set([])
+    try:
+        out = store(make(), name)
+        made = _made.get()
+    finally:
+        _made.reset(token)
+    discard(*[t for t in made if t.stored_path != out.stored_path])
+    if _made.get() is not None:
+        _made.get().append(out)
+    tidy(out.sparkSession)
     return out
 
 
+def tidy(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of DataFrames that are no longer referenced."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
@@ -62,7 +90,7 @@ def split_buckets(labelled: DataFrame, cell: int, again: DataFrame | None = None
     The columns of ``carry`` (id, ...) are joined to a bucket's members once, before they are dealt.
     """
     if again is not None:
-        labelled = labelled.join(again.withColumn("again", F.lit(True)), ["bucket", "id"], "left")
+        labelled = labelled.join(again.select("bucket").distinct(), "bucket", "left_semi").join(again.withColumn("again", F.lit(True)), ["bucket", "id"], "left")
     asked = F.lit(0) if again is None else F.count("again")
     counts = labelled.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("c"), asked.alias("asked"))
     probes = F.col("m") - F.col("top.c") if again is None else F.col("asked")
@@ -102,7 +130,8 @@ def components(edges: DataFrame, name: str = "cc") -> DataFrame:
 
     Alternating large-star and small-star steps; a step only takes minima (partial
     aggregation) and joins them back, so a hub with very many links is split by
-    AQE's skew join and never gathered. Ends when a step changes nothing;
+    AQE's skew join and never gathered. Ends when a step changes nothing; a step's
+    tables are deleted once the next is written;
     ``component_id`` is the smallest node of the component. Self links and NULLs
     are dropped, repeated links count once. An empty input gives an empty result.
     """
@@ -125,6 +154,7 @@ def components(edges: DataFrame, name: str = "cc") -> DataFrame:
         nxt = store(big.join(low2, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                     .unionByName(low2.select("u", F.col("m").alias("v")))
                     .distinct(), f"{name}-step")
+        discard(low, big, low2, cur)
         after, cur = mark(nxt), nxt
         if after == before:
             break

@@ -12,9 +12,9 @@ A star alone could miss a link between two members that are both unlike the
 smallest one. Buckets whose members are not all in one component after the star
 are therefore compared across components, in cells of about ``CELL`` x ``CELL``
 spread over tasks. One link joins two components, so a cell hands on the ``FIRST``
-likeliest survivors of a document and component; documents with more go to another
-round, over the components joined by then, which hands on ``GROWTH`` times as many,
-until nothing is left over. Components are found by distributed union-find.
+likeliest survivors of a document and component; documents with more whose component
+this didn't join with that one go to another round, over the components joined by then,
+which hands on ``GROWTH`` times as many, until nothing is left over. Components are found by distributed union-find.
 
 Defined results: NULL text, or text without words, has the empty set and links
 with nothing; rows that repeat a doc_id share its component; a row with a NULL
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assetlake.llm.common import bounded_batches, components, split_buckets, store, table, unclash
+from assetlake.llm.common import bounded_batches, components, discard, settle, split_buckets, store, table, unclash
 
 WORDS = 5
 NUM, DEN = 75, 100
@@ -195,8 +195,10 @@ def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingles(t).tobytes() for t in b.column(1).to_pylist()], pa.binary())], schema=schema)
 
     texts = docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id", "left_semi")
-    full = store(texts.mapInArrow(sets, "id long, set binary"), "near-sets").dropDuplicates(["id", "set"])
-    full = store(full, "near-distinct")
+    full = store(texts.mapInArrow(sets, "id long, set binary"), "near-sets")
+    discard(ids)
+    if not full.groupBy("id").count().where("count > 1").isEmpty():  # a doc_id that repeats: each of its sets once
+        full = store(full.dropDuplicates(["id", "set"]), "near-distinct")
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches):
@@ -215,9 +217,9 @@ def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def _cells(rows: DataFrame, most: int) -> DataFrame:
-    """(bucket, a, b, more): Bayesian survivors from different components among the cells (bucket, blk, pblk, probe, id,
-    comp, sig). Of a probe ``a`` and a component, the ``most`` likeliest; ``more`` if there are others."""
-    schema = pa.schema([("bucket", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("more", pa.bool_())])
+    """(bucket, a, b, ca, cb, more): Bayesian survivors from different components among the cells (bucket, blk, pblk, probe, id,
+    comp, sig), with their components. Of a probe ``a`` and a component, the ``most`` likeliest; ``more`` if there are others."""
+    schema = pa.schema([(c, pa.int64()) for c in ("bucket", "a", "b", "ca", "cb")] + [("more", pa.bool_())])
 
     def run(g: pa.Table) -> pa.Table:
         probe = g.column("probe").to_numpy()
@@ -234,9 +236,11 @@ def _cells(rows: DataFrame, most: int) -> DataFrame:
         sizes = np.diff(np.append(starts, len(p)))
         ok = np.arange(len(p)) - np.repeat(starts, sizes) < most
         bucket = np.full(int(ok.sum()), g.column("bucket")[0].as_py(), np.int64)
-        return pa.Table.from_arrays([pa.array(bucket), pa.array(ids[p[ok]]), pa.array(ids[q[ok]]), pa.array(np.repeat(sizes > most, sizes)[ok])], schema=schema)
+        more = np.repeat(sizes > most, sizes)[ok]
+        p, q = p[ok], q[ok]
+        return pa.Table.from_arrays([pa.array(c) for c in (bucket, ids[p], ids[q], comp[p], comp[q], more)], schema=schema)
 
-    return rows.groupBy("bucket", "blk", "pblk").applyInArrow(run, "bucket long, a long, b long, more boolean")
+    return rows.groupBy("bucket", "blk", "pblk").applyInArrow(run, "bucket long, a long, b long, ca long, cb long, more boolean")
 
 
 def _across(labelled: DataFrame, links: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
@@ -245,19 +249,24 @@ def _across(labelled: DataFrame, links: DataFrame, reps: DataFrame, docs: DataFr
     while True:
         cells = split_buckets(labelled, CELL, wanted, reps.select("id", "sig"))
         told = store(_cells(cells, most), "near-rest")
-        pairs = store(told.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "near-across")
+        high = F.col("a") > F.col("b")
+        pick = lambda x, y, name: F.when(high, F.col(x)).otherwise(F.col(y)).alias(name)
+        pairs = store(told.select(pick("a", "b", "a"), pick("b", "a", "b"), pick("ca", "cb", "ca"), pick("cb", "ca", "cb")).distinct(), "near-across")
         found = store(_verify(pairs, docs), "near-more")
         links = links.unionByName(found)
-        wanted = store(told.where("more").select("bucket", F.col("a").alias("id")).distinct(), "near-again")
-        if wanted.isEmpty():
+        if told.where("more").isEmpty():
             return links
         # what was joined by this round needs no further comparison
-        joined = store(components(found.join(labelled.select(F.col("id").alias("a"), F.col("comp").alias("src")).distinct(), "a")
-                                  .join(labelled.select(F.col("id").alias("b"), F.col("comp").alias("dst")).distinct(), "b")
-                                  .select("src", "dst"), "near-join"), "near-joined")
+        joined = store(components(found.join(pairs, ["a", "b"]).select(F.col("ca").alias("src"), F.col("cb").alias("dst")), "near-join"), "near-joined")
+        now = lambda rows, c: (rows.join(joined.select(F.col("node").alias(c), "component_id"), c, "left")
+                               .withColumn(c, F.coalesce("component_id", c)).drop("component_id"))
+        wanted = store(now(now(told.where("more"), "ca"), "cb").where("ca != cb").select("bucket", F.col("a").alias("id")).distinct(), "near-again")
+        discard(told, pairs)
+        if wanted.isEmpty():
+            return links
         open_ = labelled.join(wanted.select("bucket").distinct(), "bucket", "left_semi")
-        labelled = store(open_.join(joined.select(F.col("node").alias("comp"), "component_id"), "comp", "left")
-                         .select("bucket", "id", F.coalesce("component_id", "comp").alias("comp")), "near-labelled")
+        labelled = store(now(open_, "comp").select("bucket", "id", "comp"), "near-labelled")
+        discard(joined)
         most *= GROWTH
 
 
@@ -266,19 +275,24 @@ def near_components(docs: DataFrame) -> DataFrame:
     bounded_batches(docs.sparkSession)
     docs = unclash(docs, ["doc_id", "text"])
     feats = store(features(docs), "near-features")
-    usable = feats.where("n_shingles > 0 and doc_id is not null")
+    narrow = store(feats.drop("sig"), "near-narrow")
+    usable = narrow.where("n_shingles > 0 and doc_id is not null")
     classes = store(usable.groupBy("set_id").agg(F.min("doc_id").alias("rep")), "near-classes")
     # a doc_id that repeats with other texts takes part with each of them
-    reps = store(usable.join(classes, "set_id").where("doc_id = rep").select(F.col("doc_id").alias("id"), "set_id", F.col("n_shingles").alias("n"), "sig")
+    reps = store(feats.where("n_shingles > 0 and doc_id is not null").join(classes, "set_id").where("doc_id = rep").select(F.col("doc_id").alias("id"), "set_id", F.col("n_shingles").alias("n"), "sig")
                  .dropDuplicates(["id", "set_id"]).drop("set_id"), "near-reps")
+    discard(feats)
     rows = store(bands(reps), "near-bands")
     buckets = store(rows.groupBy("bucket").agg(F.min("id").alias("b"), F.count(F.lit(1)).alias("m")).where("m > 1"), "near-buckets")
     members = store(rows.join(buckets, "bucket").select("bucket", F.col("id").alias("a"), "b"), "near-members")
-    star = members.where("a != b").select("a", "b").distinct()
-    links = store(_verify(store(_bayes(star, reps), "near-star"), docs), "near-links")
+    discard(rows, buckets)
+    star = store(_bayes(members.where("a != b").select("a", "b").distinct(), reps), "near-star")
+    links = store(_verify(star, docs), "near-links")
+    discard(star)
     found = components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")), "near-cc")
     labelled = store(members.join(found.withColumnRenamed("node", "a"), "a", "left")
                      .select("bucket", F.col("a").alias("id"), F.coalesce("component_id", "a").alias("comp")), "near-labelled")
+    discard(members)
     links = _across(labelled, links, reps, docs)
     same_id = usable.groupBy("doc_id").agg(F.min("set_id").alias("lo"), F.max("set_id").alias("hi")).where("lo != hi").select("doc_id")
     by_class = usable.join(classes, "set_id").select("doc_id", "rep").where("doc_id != rep")
@@ -287,14 +301,14 @@ def near_components(docs: DataFrame) -> DataFrame:
     final = store(components(edges, "near-cc2"), "near-final")
     named = classes.join(final.withColumnRenamed("node", "rep"), "rep", "left").select("set_id", F.coalesce("component_id", "rep").alias("component_id"))
     named = store(named, "near-named")
-    return (feats.join(named, "set_id", "left")
+    return (narrow.join(named, "set_id", "left")
             .withColumn("component_id", F.when((F.col("n_shingles") == 0) | F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
             .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: one document of each component stays (documents without words stay)."""
-    gone = store(near_components(docs).where("not kept").select(F.col("doc_id").alias("__gone")).distinct(), "near-gone")
+    gone = settle(lambda: near_components(docs).where("not kept").select(F.col("doc_id").alias("__gone")).distinct(), "near-gone")
     return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
 
 

@@ -27,7 +27,6 @@ all; an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import uuid
 
@@ -36,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from assetlake.llm.common import bounded_batches, discard, fresh_path, store, table, unclash
+from assetlake.llm.common import bounded_batches, discard, fresh_path, store, table, tidy, unclash
 
 MIN_BYTES = 400
 CONTEXT = 16
@@ -60,12 +59,6 @@ def chunk_starts(data: bytes, mean: int = MEAN_CHUNK) -> np.ndarray:
     return np.flatnonzero(h < np.uint32((1 << 32) // mean)) + CONTEXT
 
 
-def _tidy(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop the shuffle files of rounds that are over."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def distinct_texts(docs: DataFrame, min_bytes: int) -> DataFrame:
     """uid, u2, copies, text of the distinct texts that a window fits in, bucketed by (uid, u2): the joins of
     what is found with the texts then move no text."""
@@ -128,7 +121,7 @@ def double(rows: DataFrame, min_bytes: int) -> DataFrame:
     cur = store(rows.join(ranks, "h").select(*KEY, "i", "len", F.col("rank").alias("r"), here), "suffix-level0")
     found, level, over = [cur.select(*KEY, code(0, 0))], 0, [cur]
     discard(ranks)
-    _tidy(spark)
+    tidy(spark)
     while not cur.where(F.col("len") < min_bytes).isEmpty():
         step = 1 << level
         level += 1
@@ -146,7 +139,7 @@ def double(rows: DataFrame, min_bytes: int) -> DataFrame:
         found.append(told.where("rank is null").select(*KEY, code(level, 1)))
         cur = told.where("rank is not null").withColumnRenamed("rank", "r")
         found.append(cur.where(F.col("len") >= min_bytes).select(*KEY, code(level, 0)))
-        _tidy(spark)
+        tidy(spark)
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
@@ -254,12 +247,12 @@ def dedup(docs: DataFrame, min_bytes: int = MIN_BYTES, mean: int = MEAN_CHUNK, w
     looked = store(open_.where("h is not null").select("h").distinct(), "suffix-looked")
     flags = store(cut.join(looked, "h").groupBy(*KEY).agg(F.collect_list("i").alias("flags")), "suffix-flags")
     discard(cut, looked)
-    _tidy(spark)
+    tidy(spark)
     covered = store(windows(told.join(flags, KEY), min_bytes, mean, True), "suffix-covered")
     again = store(open_.unionByName(covered).groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "suffix-again")
     hits = store(open_.join(again, ["d1", "d2"]).groupBy(*KEY).agg(F.collect_list("p").alias("hits")), "suffix-hits")
     discard(open_, covered, again)
-    _tidy(spark)
+    tidy(spark)
     schema = pa.schema([("d", pa.binary()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]
                        + [("spans", pa.list_(pa.list_(pa.int64()))), ("rest", pa.binary())] * with_rest)
 
