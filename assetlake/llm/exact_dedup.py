@@ -20,7 +20,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assetlake.llm.common import fresh_path, lower_ascii, store, table, unclash
+from assetlake.llm.common import _delete, fresh_path, lower_ascii, settle, store, table, unclash
 
 
 class DigestIndex:
@@ -66,10 +66,18 @@ class DigestIndex:
          .write.mode("append").insertInto(self.name))
         self.spark.catalog.refreshTable(self.name)
 
+    def drop(self) -> None:
+        """Remove the index, its files and its catalog entry."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        _delete(self.spark, self.path)
+
+
+def digest_of(text):
+    return F.unhex(F.sha2(lower_ascii(text).cast("binary"), 256))
+
 
 def digests(docs: DataFrame) -> DataFrame:
-    return unclash(docs, ["doc_id", "text"]).select(
-        "doc_id", F.unhex(F.sha2(lower_ascii(F.col("text")).cast("binary"), 256)).alias("digest"))
+    return unclash(docs, ["doc_id", "text"]).select("doc_id", digest_of(F.col("text")).alias("digest"))
 
 
 def dedup(docs: DataFrame, index: DigestIndex, batch: str | None = None) -> DataFrame:
@@ -97,14 +105,25 @@ def dedup(docs: DataFrame, index: DigestIndex, batch: str | None = None) -> Data
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: one document of each group of equal texts stays."""
+    """Pipeline stage: one document of each group of equal texts stays.
+
+    Only the rows that go, and those repeated with their doc_id, meet the documents: they are few, so Spark broadcasts
+    them as long as they are small, and the texts of the rows that stay as they are aren't shuffled.
+    """
     index = DigestIndex(spark, fresh_path(spark, "digest-index"))
-    keep = store(dedup(docs, index).where("kept").select("doc_id").groupBy("doc_id")
-                 .agg(F.count(F.lit(1)).alias("n")), "digest-keep")
-    out = docs.join(keep.select(F.col("doc_id").alias("__keep")), F.col("doc_id").eqNullSafe(F.col("__keep")),
-                    "left_semi")
-    # Only where a row was repeated as a whole (same doc_id and text) is a shuffle of full rows needed.
-    return out.dropDuplicates(["doc_id", "text"]) if keep.where("n > 1").limit(1).count() else out
+    said = settle(lambda: dedup(docs, index).groupBy("doc_id", F.unhex("text_sha256").alias("digest"))
+                  .agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")).where("not kept or n > 1"), "digest-said")
+    index.drop()
+    named = docs.withColumn("__digest", digest_of(F.col("text")))
+
+    def meet(rows: DataFrame, which: str, how: str) -> DataFrame:
+        keys = said.where(which).select(F.col("doc_id").alias("__id"), F.col("digest").alias("__d"))
+        return rows.join(keys, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__d")), how)
+
+    if said.where("kept").isEmpty():
+        return meet(named, "not kept", "left_anti").drop("__digest")
+    again = meet(named, "kept", "left_semi").dropDuplicates(["doc_id", "__digest"])
+    return meet(named, "true", "left_anti").unionByName(again).drop("__digest")
 
 
 def q_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,11 +1,12 @@
 import hashlib
+import os
 
 import duckdb
 import pytest
 from pyspark.sql import Row
 
 from assetlake.llm import exact_dedup as X
-from assetlake.llm.common import fresh_path
+from assetlake.llm.common import fresh_path, settle, store
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, digest string, keep_id int"
@@ -94,3 +95,25 @@ def test_a_crash_before_the_append_loses_nothing(spark, monkeypatch):
         with pytest.raises(OSError):
             X.dedup(documents(spark, range(10)), index, "a")
     assert X.dedup(documents(spark, range(10)), index, "a").where("kept").count() == 10
+
+
+def test_stage_decides_by_id_and_text(spark):
+    """A doc_id that repeats loses only the text that another row repeats; whole repeated rows stay once."""
+    df = spark.createDataFrame([(5, "A", 1), (5, "b", 2), (9, "B", 3), (9, "B", 3), (None, "c", 4), (3, None, 5)], "doc_id long, text string, digest int")
+    out = X.stage(spark, df, SF)
+    assert out.dtypes == df.dtypes
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, [(5, "A", 1), (9, "B", 3), (None, "c", 4), (3, None, 5)]))
+
+
+def test_settle_leaves_the_result_alone(spark):
+    seen = []
+
+    def make():
+        seen.append(store(spark.range(5), "part"))
+        seen.append(settle(lambda: store(seen[0], "inner").where("id > 1"), "within"))
+        return seen[1].where("id > 2")
+
+    out = settle(make, "whole")
+    assert sorted(r.id for r in out.collect()) == [3, 4]
+    there = lambda df: os.path.exists(df.stored_path.removeprefix("file:"))
+    assert there(out) and not any(map(there, seen))
