@@ -56,7 +56,7 @@ class Tokenizer:
         self.tok = tokenizers.Tokenizer.from_file(path)
         self.cache: dict[str, bytes] = {"": b""}
         vocab = self.tok.get_vocab()
-        self.closes = [False] * (max(vocab.values()) + 1)  # pieces that end a word
+        self.closes = np.zeros(max(vocab.values()) + 1, bool)  # pieces that end a word
         for piece, i in vocab.items():
             self.closes[i] = piece.endswith("</w>")
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
@@ -83,14 +83,10 @@ class Tokenizer:
                 (plain if c.isalpha() else other).append(c)
         plain = list(dict.fromkeys(plain))
         if plain:  # a word of letters is one piece before merging and its last id closes it, so one call does for many
-            ids, closes = self.tok.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, self.closes
-            found, word = [], []
-            for i in ids:
-                word.append(i)
-                if closes[i]:
-                    found.append(array(IDS, word).tobytes())
-                    word = []
-            if len(found) == len(plain) and not word:
+            ids = np.array(self.tok.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, np.uint32)
+            data, ends = ids.tobytes(), 4 * (np.flatnonzero(self.closes[ids]) + 1)
+            if len(ends) == len(plain) and ends[-1] == len(data):
+                found = map(data.__getitem__, map(slice, [0, *ends[:-1].tolist()], ends.tolist()))
                 cache.update(zip(plain, found, strict=True))
             else:
                 other += plain
