@@ -95,3 +95,69 @@ def test_query_keeps_pages_with_long_urls_and_fails_at_losses(spark, tmp_path):
     for damaged in (records.where("page_id != 2"), records.where("false"), records.withColumn("gap", F.lit("wrong length"))):
         with pytest.raises(RuntimeError, match="otherwise than written"):
             W.complete(archives, damaged)
+
+
+def numbers(got):
+    return [int(h["warc-record-id"][12:-1]) if h else "gap" for _, _, _, h, _, _ in got]
+
+
+def parts(data):
+    return list(W.salvage_parts(pa.BufferReader(bytes(data))))
+
+
+def test_failed_record_inside_a_member():
+    a, b, c = (W.record(i, None, b"payload %d" % i) for i in range(3))
+    wrong = b.replace(b"payload 1", b"payload X")
+    got = parts(W.member(a + wrong + c) + W.member(W.record(3, None, b"z")))
+    assert numbers(got) == [0, "gap", 2, 3]
+    assert got[1][:3] == (0, len(a), len(b)) and got[1][5] == "wrong block digest" and got[2][1] == len(a + b)
+    assert got[3][1] is None
+    got = parts(W.member(a + b"noise" + c[:-3]))
+    assert numbers(got) == [0, "gap"] and got[1][:3] == (0, len(a), len(c) + 2)
+
+
+def test_archive_in_one_stream_that_breaks_off():
+    rng = random.Random(4)
+    recs = [W.record(i, None, bytes(rng.randrange(256) for _ in range(5000))) for i in range(6)]
+    whole = W.member(b"".join(recs))
+    for cut in (len(whole) * 2 // 3, len(whole) - 3):
+        got = parts(whole[:cut])
+        n = 6 if cut > len(whole) - 9 else numbers(got).index("gap")
+        assert numbers(got)[:n] == list(range(n)) and n >= 3 and got[-1][5] == "truncated member"
+    bad = bytearray(whole + W.member(W.record(9, None, b"later")))
+    bad[len(whole) * 2 // 3:len(whole) * 2 // 3 + 8] = b"\xff" * 8
+    got = numbers(parts(bad))
+    assert got[:3] == [0, 1, 2] and got[-1] == 9 and "gap" in got
+    end = bytearray(whole + W.member(W.record(9, None, b"later")))
+    end[len(whole) - 6] ^= 1                            # the member's checksum
+    got = parts(end)
+    assert numbers(got) == [0, 1, 2, 3, 4, 5, "gap", 9] and "incorrect data check" in got[6][5] and got[6][0] + got[6][2] == len(whole)
+
+
+def test_every_damaged_byte_leaves_the_other_records():
+    recs = [W.record(i, None, b"text %d " % i * 9) for i in range(3)]
+    packed = [W.member(r) for r in recs]
+    for k in range(len(packed[0]), len(packed[0]) + len(packed[1])):
+        data = bytearray(b"".join(packed))
+        data[k] ^= 0x55
+        got = parts(data)
+        assert numbers(got)[0] == 0 and numbers(got)[-1] == 2 and set(numbers(got)[1:-1]) <= {1, "gap"}
+        assert all(h == W.parse(recs[int(h["warc-record-id"][12:-1])])[0] for *_, h, _, _ in got if h)
+
+
+def test_member_longer_than_memory_is_read_in_pieces(monkeypatch):
+    seen = []
+    feed = W._Member._feed
+    monkeypatch.setattr(W._Member, "_feed", lambda self, data: (feed(self, data), seen.append(len(self.buf)))[0])
+    rng = random.Random(6)
+    recs = [W.record(i, None, rng.randbytes(200_000)) for i in range(150)]
+    got = W.salvage_parts(pa.BufferReader(W.member(b"".join(recs), 1)))
+    assert [h["warc-record-id"] for _, _, _, h, _, _ in got] == [f"<urn:x-page:{i}>" for i in range(150)]
+    assert max(seen) < 1_000_000
+
+
+def test_length_beyond_the_bound_is_a_gap():
+    a = W.record(0, None, b"one")
+    long = a.replace(b"Content-Length: ", b"Content-Length: 99999999999")
+    for data in (long + W.record(1, None, b"two"), W.member(long + W.record(1, None, b"two"))):
+        assert numbers(parts(data)) == ["gap", 1] and parts(data)[0][5] == "record too long"
