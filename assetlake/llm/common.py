@@ -80,20 +80,18 @@ def drop_scratch(spark: SparkSession) -> None:
     _delete(spark, scratch_dir(spark, f"llm-{spark.sparkContext.applicationId}"))
 
 
-def split_buckets(labelled: DataFrame, cell: int, again: DataFrame | None = None, carry: DataFrame | None = None) -> DataFrame:
+def split_buckets(labelled: DataFrame, cell: int, carry: DataFrame | None = None) -> DataFrame:
     """Cells that compare the members (bucket, id, comp) of every bucket across components.
 
-    A bucket's members outside its largest component are probes (with ``again``, its (bucket, id) are); each is compared
-    with every member. Members are dealt into blocks of about ``cell``, probes into blocks of their own, and a cell is one
+    A bucket's members outside its largest component are probes (with a boolean column ``again``, those it marks are); each is
+    compared with every member. Members are dealt into blocks of about ``cell``, probes into blocks of their own, and a cell is one
     block of each: (bucket, blk, pblk, probe, id, comp). Rows grow with members times probe blocks, so a bucket that is
     nearly one component is handed on nearly once, and no cell outgrows its task. Buckets within one component are left out.
     The columns of ``carry`` (id, ...) are joined to a bucket's members once, before they are dealt.
     """
-    if again is not None:
-        labelled = labelled.join(again.select("bucket").distinct(), "bucket", "left_semi").join(again.withColumn("again", F.lit(True)), ["bucket", "id"], "left")
-    asked = F.lit(0) if again is None else F.count("again")
-    counts = labelled.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("c"), asked.alias("asked"))
-    probes = F.col("m") - F.col("top.c") if again is None else F.col("asked")
+    again = "again" in labelled.columns
+    counts = labelled.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("c"), (F.count_if("again") if again else F.lit(0)).alias("asked"))
+    probes = F.col("asked") if again else F.col("m") - F.col("top.c")
     open_ = store(counts.groupBy("bucket").agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("m"), F.sum("asked").alias("asked"))
                   .withColumn("o", probes).where("m > top.c and o > 0")
                   .select("bucket", F.col("top.comp").alias("main"), F.ceil(F.col("m") / F.lit(cell)).cast("long").alias("nb"),
@@ -105,7 +103,7 @@ def split_buckets(labelled: DataFrame, cell: int, again: DataFrame | None = None
     up_to = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
     as_member = F.transform(up_to("no"), lambda k: place(F.pmod(F.xxhash64("id"), "nb"), k, False))
     as_probe = F.transform(up_to("nb"), lambda k: place(k, F.pmod(F.xxhash64("id"), "no"), True))
-    asks = F.col("comp") != F.col("main") if again is None else F.col("again").isNotNull()
+    asks = F.col("again") if again else F.col("comp") != F.col("main")
     dealt = rows.withColumn("cell", F.explode(F.when(asks, F.concat(as_member, as_probe)).otherwise(as_member)))
     return dealt.select("bucket", "cell.*", "id", "comp", *([c for c in carry.columns if c != "id"] if carry is not None else []))
 

@@ -40,7 +40,7 @@ HASHES, ROWS = 200, 5  # 40 bands of 5: a pair at 0.75 is missed with probabilit
 STEP = 20
 MISS = 1e-6
 CELL = 512  # 262,144 pairs: about 50 MB at most in a task while a batch of values is compared
-FIRST, GROWTH = 2, 8  # survivors of a document and component that a cell hands on: in the first round, and from round to round
+FIRST, GROWTH = 2, 256  # survivors of a document and component that a cell hands on: in the first round, and from round to round
 CHUNK = 4096
 SPACES = b" \t\n\r\x0b\x0c"
 
@@ -245,9 +245,9 @@ def _cells(rows: DataFrame, most: int) -> DataFrame:
 
 def _across(labelled: DataFrame, links: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
     """``links`` and those that join the components of ``labelled`` (bucket, id, comp) further."""
-    most, wanted = FIRST, None
+    most = FIRST
     while True:
-        cells = split_buckets(labelled, CELL, wanted, reps.select("id", "sig"))
+        cells = split_buckets(labelled, CELL, reps.select("id", "sig"))
         told = store(_cells(cells, most), "near-rest")
         high = F.col("a") > F.col("b")
         pick = lambda x, y, name: F.when(high, F.col(x)).otherwise(F.col(y)).alias(name)
@@ -265,8 +265,9 @@ def _across(labelled: DataFrame, links: DataFrame, reps: DataFrame, docs: DataFr
         if wanted.isEmpty():
             return links
         open_ = labelled.join(wanted.select("bucket").distinct(), "bucket", "left_semi")
-        labelled = store(now(open_, "comp").select("bucket", "id", "comp"), "near-labelled")
-        discard(joined)
+        marked = now(open_, "comp").join(wanted.withColumn("again", F.lit(True)), ["bucket", "id"], "left")
+        labelled = store(marked.select("bucket", "id", "comp", F.coalesce("again", F.lit(False)).alias("again")), "near-labelled")
+        discard(joined, wanted)
         most *= GROWTH
 
 
