@@ -265,7 +265,7 @@ def _across(labelled: DataFrame, links: DataFrame, reps: DataFrame, docs: DataFr
         if wanted.isEmpty():
             return links
         open_ = labelled.join(wanted.select("bucket").distinct(), "bucket", "left_semi")
-        marked = now(open_, "comp").join(wanted.withColumn("again", F.lit(True)), ["bucket", "id"], "left")
+        marked = now(open_.select("bucket", "id", "comp"), "comp").join(wanted.withColumn("again", F.lit(True)), ["bucket", "id"], "left")
         labelled = store(marked.select("bucket", "id", "comp", F.coalesce("again", F.lit(False)).alias("again")), "near-labelled")
         discard(joined, wanted)
         most *= GROWTH
