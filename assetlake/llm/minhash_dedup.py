@@ -39,7 +39,8 @@ NUM, DEN = 75, 100
 HASHES, ROWS = 200, 5  # 40 bands of 5: a pair at 0.75 is missed with probability 2e-5
 STEP = 20
 MISS = 1e-6
-CELL = 512  # 262,144 pairs: about 50 MB at most in a task while a batch of values is compared
+CELL = 512
+AT_ONCE = 64  # probes of a cell compared at once: about 32,768 pairs, 6 MB while a batch of values is compared
 FIRST, GROWTH = 2, 256  # survivors of a document and component that a cell hands on: in the first round, and from round to round
 CHUNK = 4096
 SPACES = b" \t\n\r\x0b\x0c"
@@ -224,21 +225,23 @@ def _cells(rows: DataFrame, most: int) -> DataFrame:
     def run(g: pa.Table) -> pa.Table:
         probe = g.column("probe").to_numpy()
         ids, comp, sig = g.column("id").to_numpy(), g.column("comp").to_numpy(), _sigs(g.column("sig").to_pylist())
-        left, right = np.flatnonzero(probe), np.flatnonzero(~probe)
-        p, q = np.nonzero(comp[left][:, None] != comp[right][None, :])
-        p, q = left[p], right[q]
-        alive, matches = survivors(sig, sig, p, q)
-        order = np.lexsort((ids[q[alive]], -matches, comp[q[alive]], p[alive]))
-        p, q = p[alive][order], q[alive][order]
-        new = np.ones(len(p), bool)
-        new[1:] = (p[1:] != p[:-1]) | (comp[q[1:]] != comp[q[:-1]])
-        starts = np.flatnonzero(new)
-        sizes = np.diff(np.append(starts, len(p)))
-        ok = np.arange(len(p)) - np.repeat(starts, sizes) < most
-        bucket = np.full(int(ok.sum()), g.column("bucket")[0].as_py(), np.int64)
-        more = np.repeat(sizes > most, sizes)[ok]
-        p, q = p[ok], q[ok]
-        return pa.Table.from_arrays([pa.array(c) for c in (bucket, ids[p], ids[q], comp[p], comp[q], more)], schema=schema)
+        bucket, parts = g.column("bucket")[0].as_py(), []
+        right = np.flatnonzero(~probe)
+        for left in np.array_split(np.flatnonzero(probe), -(-probe.sum() // AT_ONCE)) if probe.any() else ():
+            p, q = np.nonzero(comp[left][:, None] != comp[right][None, :])
+            p, q = left[p], right[q]
+            alive, matches = survivors(sig, sig, p, q)
+            order = np.lexsort((ids[q[alive]], -matches, comp[q[alive]], p[alive]))
+            p, q = p[alive][order], q[alive][order]
+            new = np.ones(len(p), bool)
+            new[1:] = (p[1:] != p[:-1]) | (comp[q[1:]] != comp[q[:-1]])
+            starts = np.flatnonzero(new)
+            sizes = np.diff(np.append(starts, len(p)))
+            ok = np.arange(len(p)) - np.repeat(starts, sizes) < most
+            more = np.repeat(sizes > most, sizes)[ok]
+            p, q = p[ok], q[ok]
+            parts.append(pa.RecordBatch.from_arrays([pa.array(c) for c in (np.full(len(p), bucket, np.int64), ids[p], ids[q], comp[p], comp[q], more)], schema=schema))
+        return pa.Table.from_batches(parts, schema)
 
     return rows.groupBy("bucket", "blk", "pblk").applyInArrow(run, "bucket long, a long, b long, ca long, cb long, more boolean")
 
