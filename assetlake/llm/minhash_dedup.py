@@ -55,7 +55,7 @@ class _WordHash(dict):
     def __missing__(self, word):
         import xxhash
 
-        if len(self) >= 500_000:
+        if len(self) >= 100_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -205,8 +205,8 @@ def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     def run(batches):
         for x in batches:
             ok = []
-            for p, q in zip(x.column(2).to_pylist(), x.column(3).to_pylist(), strict=True):
-                p, q = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
+            for p, q in zip(x.column(2), x.column(3), strict=True):  # views: a batch's sets aren't copied
+                p, q = np.frombuffer(p.as_buffer(), np.uint64), np.frombuffer(q.as_buffer(), np.uint64)
                 both = len(np.intersect1d(p, q, assume_unique=True))
                 ok.append(DEN * both >= NUM * (len(p) + len(q) - both))
             ok = pa.array(ok, pa.bool_())
