@@ -1,10 +1,11 @@
 """Parquet tables in one folder per partition value, replaced partition by partition.
 
-An upsert rewrites only the partitions its rows fall into; the files of all others stay as they are. The target is
-read where it lies: of each touched partition the rows whose keys the delta replaces are left out by an anti-join
-with the delta's keys, which are broadcast. Touched partitions are dealt into waves whose keys stay within the
-broadcast limit, so no size of delta makes the target move through a shuffle; only a single partition whose own
-keys are beyond the limit is joined by a shuffle.
+An upsert rewrites only the partitions its rows fall into; the files of all others stay as they are. The delta is
+written once, as files of the new partitions, and read back from them, so a wave reads its own partitions only. The
+target is read where it lies: of each touched partition the rows whose keys the delta replaces are left out by an
+anti-join with the delta's keys, which are broadcast. Touched partitions are dealt into waves whose keys stay within
+the broadcast limit, so no size of delta makes the target move through a shuffle; only partitions whose own keys are
+beyond the limit are joined by a shuffle, all of them in one job. The first write has no target and needs no wave.
 
 Partitions are written to ``_pending`` first and marked ready as a whole, then each folder is switched by a rename.
 A failed write is never marked and is removed; a switch that was interrupted is finished by whoever opens the
@@ -15,6 +16,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,6 +84,26 @@ def without_key(df: DataFrame, keys: list[str], columns: list[str]):
                   F.xxhash64(*[hashable(df, c) for c in columns]))
 
 
+def keyless(keys: list[str]):
+    """Whether a key is NULL."""
+    return reduce(or_, [F.col(k).isNull() for k in keys])
+
+
+def key_rows(rows: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """__<key>..., __none: the keys of ``rows`` and ``without_key``; of rows that have their keys nothing else is read."""
+    named = [F.col(k).alias(f"__{k}") for k in keys]
+    return rows.where(~keyless(keys)).select(*named, F.lit(None).cast("long").alias("__none")).unionByName(
+        rows.where(keyless(keys)).select(*named, without_key(rows, keys, columns).alias("__none")))
+
+
+def same_key(keys: list[str]):
+    """A row with ``without_key`` as __no_key against a row of ``key_rows``."""
+    same = F.col("__no_key").eqNullSafe(F.col("__none"))
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return same
+
+
 def latest(rows: DataFrame, keys: list[str], newest: str) -> DataFrame:
     """One row a key: the largest ``newest`` if there is such a column, then the largest row hash."""
     cols = rows.columns
@@ -101,6 +124,10 @@ class PartitionedTable:
         """``rows`` with the partition column; tables that derive it override this."""
         return rows
 
+    def dealt(self, delta: DataFrame) -> DataFrame:
+        """``delta`` as its partitions' files are to be written: stored first, since the ranges are found by a pass of its own."""
+        return delta.checkpoint().repartitionByRange(self.part, *self.keys)
+
     def stored(self) -> DataFrame | None:
         if not any(n.startswith(f"{self.part}=") for n in self.folder.names(self.path)):
             return None
@@ -135,17 +162,18 @@ class PartitionedTable:
         found = delta.groupBy(self.part).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).collect()
         waves: list[tuple[list, bool]] = []
         some: list = []
+        large: list = []
         rows = held = 0
         for r in sorted(found, key=lambda r: r["bytes"]):
             if r["bytes"] > joins.BROADCAST_MAX_BYTES or r["n"] > joins.BROADCAST_MAX_ROWS:
-                waves.append(([r[self.part]], False))
+                large.append(r[self.part])
                 continue
             if not some or held + r["bytes"] > joins.BROADCAST_MAX_BYTES or rows + r["n"] > joins.BROADCAST_MAX_ROWS:
                 some, rows, held = [], 0, 0
                 waves.append((some, True))
             some.append(r[self.part])
             rows, held = rows + r["n"], held + r["bytes"]
-        return waves
+        return waves + ([(large, False)] if large else [])
 
     def _aligned(self, delta: DataFrame, target: DataFrame) -> DataFrame:
         new = [c for c in delta.columns if c not in target.columns]
@@ -154,36 +182,54 @@ class PartitionedTable:
         return delta.select(*[(F.col(c) if c in delta.columns else F.lit(None)).cast(target.schema[c].dataType).alias(c) for c in target.columns])
 
     def merged(self, target: DataFrame, delta: DataFrame, parts: list, small: bool) -> DataFrame:
-        """The new rows of the partitions ``parts``: the target's that the delta doesn't replace, and the delta's."""
+        """The target's rows of the partitions ``parts`` that the delta doesn't replace."""
         columns = [c for c in target.columns if c != self.part]
         tagged = target.where(self._within(parts)).withColumn("__no_key", without_key(target, self.keys, columns))
-        mine = delta.where(self._within(parts))
-        keys = mine.select(*[F.col(k).alias(f"__{k}") for k in self.keys], without_key(mine, self.keys, columns).alias("__none"))
-        same = F.col("__no_key").eqNullSafe(F.col("__none"))
-        for k in self.keys:
-            same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
-        kept = tagged.join(F.broadcast(keys) if small else keys, same, "left_anti").drop("__no_key")
-        return kept.unionByName(mine.repartitionByRange(self.part, *self.keys))
+        keys = key_rows(delta.where(self._within(parts)), self.keys, columns)
+        return tagged.join(F.broadcast(keys) if small else keys, same_key(self.keys), "left_anti").drop("__no_key")
+
+    def _write(self, rows: DataFrame) -> tuple[str, DataFrame]:
+        """``rows`` as files of new partitions, not yet marked ready: their folder and themselves, read back."""
+        pending = f"{self.path}/_pending/{uuid.uuid4().hex}"
+        rows.write.partitionBy(self.part).parquet(pending)
+        return pending, self.spark.read.schema(rows.schema).parquet(pending)
+
+    def _once(self, delta: DataFrame) -> DataFrame | None:
+        """The delta with one row a key (``latest``), None if it has that: only rows whose key repeats are reduced."""
+        columns = delta.columns
+        again = key_rows(delta, self.keys, columns).groupBy(*[f"__{k}" for k in self.keys], "__none").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+        again = again.drop("__n").checkpoint()
+        if again.isEmpty():
+            return None
+        tagged = delta.withColumn("__no_key", without_key(delta, self.keys, columns))
+        alone = tagged.join(again, same_key(self.keys), "left_anti").drop("__no_key")
+        several = tagged.join(again, same_key(self.keys), "left_semi").drop("__no_key")
+        return alone.unionByName(latest(several, self.keys, self.newest))
 
     def upsert(self, rows: DataFrame, unique: bool = False) -> list:
         """Replace rows of the same key as a whole, add the others; returns the partitions rewritten.
 
-        ``unique`` says that ``rows`` hold a key once, so they aren't reduced (and payloads not shuffled) here.
+        ``unique`` says that ``rows`` hold a key once, so their keys aren't counted here.
         """
         delta = self.place(rows)
         target = self.stored()
         if target is not None:
             delta = self._aligned(delta, target)
-        delta = (delta if unique else latest(delta, self.keys, self.newest)).checkpoint()
-        pending = f"{self.path}/_pending/{uuid.uuid4().hex}"
+        pending, delta = self._write(self.dealt(delta))
+        once = None if unique else self._once(delta)
+        if once is not None:
+            given, (pending, delta) = pending, self._write(self.dealt(once))
+            self.folder.delete(given)
         touched = []
         for parts, small in self._waves(delta):
-            new = delta.where(self._within(parts)).repartitionByRange(self.part, *self.keys) if target is None else self.merged(target, delta, parts, small)
-            new.write.mode("append").partitionBy(self.part).parquet(pending)
+            if target is not None:
+                self.merged(target, delta, parts, small).write.mode("append").partitionBy(self.part).parquet(pending)
             touched += parts
         if touched:
             self.folder.mark(f"{pending}/{READY}")
             self._switch(pending)
+        else:
+            self.folder.delete(pending)
         return touched
 
 
@@ -216,3 +262,8 @@ class KeyedTable(PartitionedTable):
 
     def place(self, rows: DataFrame) -> DataFrame:
         return rows.withColumn("p_bucket", F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
+
+    def dealt(self, delta: DataFrame) -> DataFrame:
+        """Buckets are even, so each is dealt by another hash of the keys and the rows move once, without a pass before."""
+        shares = -(-2 * int(self.spark.conf.get("spark.sql.shuffle.partitions")) // self.buckets)
+        return delta.repartition(self.part, F.pmod(F.xxhash64(F.lit(1), *self.keys), F.lit(shares)))

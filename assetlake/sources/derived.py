@@ -260,10 +260,11 @@ class DerivedTenant:
         from pyspark.sql import Window
         li = self.t("lineitem")
         k = F.col("l_orderkey")
-        w = Window.partitionBy("l_orderkey").orderBy(
+        # numbered by the sequence's id, so that joins with the headers find the rows dealt and sorted already
+        w = Window.partitionBy("id").orderBy(
             "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
-        return li.select(
-            (F.lit(8000000) + k).alias("id"),
+        return li.withColumn("id", F.lit(8000000) + k).select(
+            "id",
             F.when(k % 97 != 0, F.concat(F.lit("seq:"), _s(k))).alias("external_id"),
             (F.row_number().over(w) - 1).cast("long").alias("row_number"),
             F.array(

@@ -2,6 +2,7 @@
 
 import glob
 import os
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
@@ -133,3 +134,24 @@ def test_jobs_write_partitioned_targets_twice(spark, tenants, tmp_dir):
         assert events.current().count() == jobs.R.prepare_events(src, tgt, cfg_events(), RUN_TIME).count()
     with pytest.raises(ValueError):
         jobs.run_replicate_raw(src, events, jobs.JobConfig())
+
+
+def test_large_partitions_are_one_wave_and_only_their_keys_are_read(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 10)
+    table = DayTable(spark, f"{tmp_dir}/p")
+    delta = table.place(points(spark, range(6), 1.0))
+    assert [(len(parts), small) for parts, small in table._waves(delta)] == [(6, False)]
+    table.upsert(delta.drop(table.part))
+    plan = table.merged(table.stored(), table.stored(), [date(1970, 1, 4)], False)._jdf.queryExecution().executedPlan().toString()
+    assert any("value" not in line and "timestamp" in line for line in plan.split("\n") if "FileScan" in line or "Scan parquet" in line)
+
+
+def test_only_keys_that_repeat_are_reduced(spark, tmp_dir):
+    ddl = "k string, v long, last_updated_time long"
+    rows_ = [(f"k{i}", i, 1) for i in range(50)] + [("k3", 99, 2), (None, 1, 1), (None, 1, 1), (None, 2, 1)]
+    given = spark.createDataFrame(rows_, ddl)
+    table = KeyedTable(spark, f"{tmp_dir}/t", ["k"], 4)
+    assert table._once(table.place(given.where("v < 50 AND k IS NOT NULL"))) is None
+    table.upsert(given)
+    assert rows(table.current()) == rows(upsert(None, given, ["k"]))
+    assert table.current().count() == 52
