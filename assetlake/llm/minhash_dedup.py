@@ -13,8 +13,9 @@ smallest one. Buckets whose members are not all in one component after the star
 are therefore compared across components, in cells of about ``CELL`` x ``CELL``
 spread over tasks. One link joins two components, so a cell hands on the ``FIRST``
 likeliest survivors of a document and component; documents with more whose component
-this didn't join with that one go to another round, over the components joined by then,
-which hands on ``GROWTH`` times as many, until nothing is left over. Components are found by distributed union-find.
+this didn't join with that one go to a second round, over the components joined by then. Its cells
+hold the full sets, verify every survivor and hand on links alone, one for a document and component:
+how many pairs of a group nearly reach the threshold makes no rows. Components are found by distributed union-find.
 
 Defined results: NULL text, or text without words, has the empty set and links
 with nothing; rows that repeat a doc_id share its component; a row with a NULL
@@ -41,7 +42,10 @@ STEP = 20
 MISS = 1e-6
 CELL = 512
 AT_ONCE = 64  # probes of a cell compared at once: about 32,768 pairs, 6 MB while a batch of values is compared
-FIRST, GROWTH = 2, 256  # survivors of a document and component that a cell hands on: in the first round, and from round to round
+FIRST = 2  # survivors of a document and component that a cell of the first round hands on
+GROWTH = 32  # times FIRST: probes of a cell of the second round that are compared at once
+ROOM = 1 << 21  # shingles in a block of a cell that holds full sets: 16 MB
+COLUMNS = 4096  # distinct shingles of a cell that are counted at once
 CHUNK = 4096
 SPACES = b" \t\n\r\x0b\x0c"
 
@@ -186,9 +190,8 @@ def _bayes(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
-def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs whose full sets reach the threshold. Sets are made again from the whole texts of the documents involved."""
-    ids = store(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "near-ids")
+def _full_sets(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """(id, set): the full sets of the documents ``ids``, made again from their whole texts."""
     schema = pa.schema([("id", pa.int64()), ("set", pa.binary())])
 
     def sets(batches):
@@ -197,9 +200,16 @@ def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
     texts = docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id", "left_semi")
     full = store(texts.mapInArrow(sets, "id long, set binary"), "near-sets")
-    discard(ids)
     if not full.groupBy("id").count().where("count > 1").isEmpty():  # a doc_id that repeats: each of its sets once
         full = store(full.dropDuplicates(["id", "set"]), "near-distinct")
+    return full
+
+
+def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """Pairs whose full sets reach the threshold."""
+    ids = store(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "near-ids")
+    full = _full_sets(ids, docs)
+    discard(ids)
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches):
@@ -217,6 +227,58 @@ def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             .select("a", "b", "x", "y").mapInArrow(run, "a long, b long"))
 
 
+def _slices(probe: np.ndarray, comp: np.ndarray, at_once: int):
+    """The pairs (probe, member) of a cell that lie in different components, ``at_once`` probes at a time."""
+    right = np.flatnonzero(~probe)
+    for left in np.array_split(np.flatnonzero(probe), -(-probe.sum() // at_once)) if probe.any() else ():
+        p, q = np.nonzero(comp[left][:, None] != comp[right][None, :])
+        yield left[p], right[q]
+
+
+def common(sets: list[np.ndarray], p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of sets[p] and sets[q], counted over slices of the shingles that several sets hold."""
+    left, p = np.unique(p, return_inverse=True)
+    right, q = np.unique(q, return_inverse=True)
+    used = [sets[k] for k in (*left.tolist(), *right.tolist())]
+    which = np.repeat(np.arange(len(used)), [len(x) for x in used])
+    _, at, n = np.unique(np.concatenate(used), return_inverse=True, return_counts=True)
+    shared = n[at] > 1
+    which, at = which[shared], (np.cumsum(n > 1) - 1)[at[shared]]
+    order = np.argsort(at, kind="stable")
+    which, at = which[order], at[order]
+    out = np.zeros((len(left), len(right)), np.int64)
+    for lo in range(0, int(at[-1]) + 1 if len(at) else 0, COLUMNS):
+        s, e = np.searchsorted(at, (lo, lo + COLUMNS))
+        held = np.zeros((len(used), COLUMNS), np.float32)  # counts up to COLUMNS are exact
+        held[which[s:e], at[s:e] - lo] = 1
+        out += (held[:len(left)] @ held[len(left):].T).astype(np.int64)
+    return out[p, q]
+
+
+def _linked(rows: DataFrame) -> DataFrame:
+    """(a, b): verified links among the Bayesian survivors of cells that carry the full sets, one for a probe and component."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(g: pa.Table) -> pa.Table:
+        probe = g.column("probe").to_numpy()
+        ids, comp, sig = g.column("id").to_numpy(), g.column("comp").to_numpy(), _sigs(g.column("sig").to_pylist())
+        sets, parts = [np.frombuffer(x.as_buffer(), np.uint64) for x in g.column("set")], []
+        size = np.array([len(x) for x in sets])
+        for p, q in _slices(probe, comp, FIRST * GROWTH):
+            alive, _ = survivors(sig, sig, p, q)
+            if not len(alive):
+                continue
+            p, q = p[alive], q[alive]
+            both = common(sets, p, q)
+            ok = DEN * both >= NUM * (size[p] + size[q] - both)
+            p, q = p[ok], q[ok]
+            _, one = np.unique(np.stack((p, comp[q])), axis=1, return_index=True)
+            parts.append(pa.RecordBatch.from_arrays([pa.array(c) for c in (np.maximum(ids[p[one]], ids[q[one]]), np.minimum(ids[p[one]], ids[q[one]]))], schema=schema))
+        return pa.Table.from_batches(parts, schema)
+
+    return rows.groupBy("bucket", "blk", "pblk").applyInArrow(run, "a long, b long").distinct()
+
+
 def _cells(rows: DataFrame, most: int) -> DataFrame:
     """(bucket, a, b, ca, cb, more): Bayesian survivors from different components among the cells (bucket, blk, pblk, probe, id,
     comp, sig), with their components. Of a probe ``a`` and a component, the ``most`` likeliest; ``more`` if there are others."""
@@ -226,10 +288,7 @@ def _cells(rows: DataFrame, most: int) -> DataFrame:
         probe = g.column("probe").to_numpy()
         ids, comp, sig = g.column("id").to_numpy(), g.column("comp").to_numpy(), _sigs(g.column("sig").to_pylist())
         bucket, parts = g.column("bucket")[0].as_py(), []
-        right = np.flatnonzero(~probe)
-        for left in np.array_split(np.flatnonzero(probe), -(-probe.sum() // AT_ONCE)) if probe.any() else ():
-            p, q = np.nonzero(comp[left][:, None] != comp[right][None, :])
-            p, q = left[p], right[q]
+        for p, q in _slices(probe, comp, AT_ONCE):
             alive, matches = survivors(sig, sig, p, q)
             order = np.lexsort((ids[q[alive]], -matches, comp[q[alive]], p[alive]))
             p, q = p[alive][order], q[alive][order]
@@ -248,30 +307,30 @@ def _cells(rows: DataFrame, most: int) -> DataFrame:
 
 def _across(labelled: DataFrame, links: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
     """``links`` and those that join the components of ``labelled`` (bucket, id, comp) further."""
-    most = FIRST
-    while True:
-        cells = split_buckets(labelled, CELL, reps.select("id", "sig"))
-        told = store(_cells(cells, most), "near-rest")
-        high = F.col("a") > F.col("b")
-        pick = lambda x, y, name: F.when(high, F.col(x)).otherwise(F.col(y)).alias(name)
-        pairs = store(told.select(pick("a", "b", "a"), pick("b", "a", "b"), pick("ca", "cb", "ca"), pick("cb", "ca", "cb")).distinct(), "near-across")
-        found = store(_verify(pairs, docs), "near-more")
-        links = links.unionByName(found)
-        if told.where("more").isEmpty():
-            return links
-        # what was joined by this round needs no further comparison
-        joined = store(components(found.join(pairs, ["a", "b"]).select(F.col("ca").alias("src"), F.col("cb").alias("dst")), "near-join"), "near-joined")
-        now = lambda rows, c: (rows.join(joined.select(F.col("node").alias(c), "component_id"), c, "left")
-                               .withColumn(c, F.coalesce("component_id", c)).drop("component_id"))
-        wanted = store(now(now(told.where("more"), "ca"), "cb").where("ca != cb").select("bucket", F.col("a").alias("id")).distinct(), "near-again")
-        discard(told, pairs)
-        if wanted.isEmpty():
-            return links
-        open_ = labelled.join(wanted.select("bucket").distinct(), "bucket", "left_semi")
-        marked = now(open_.select("bucket", "id", "comp"), "comp").join(wanted.withColumn("again", F.lit(True)), ["bucket", "id"], "left")
-        labelled = store(marked.select("bucket", "id", "comp", F.coalesce("again", F.lit(False)).alias("again")), "near-labelled")
-        discard(joined, wanted)
-        most *= GROWTH
+    cells = split_buckets(labelled, CELL, reps.select("id", "sig"))
+    told = store(_cells(cells, FIRST), "near-rest")
+    high = F.col("a") > F.col("b")
+    pick = lambda x, y, name: F.when(high, F.col(x)).otherwise(F.col(y)).alias(name)
+    pairs = store(told.select(pick("a", "b", "a"), pick("b", "a", "b"), pick("ca", "cb", "ca"), pick("cb", "ca", "cb")).distinct(), "near-across")
+    found = store(_verify(pairs, docs), "near-more")
+    links = links.unionByName(found)
+    if told.where("more").isEmpty():
+        return links
+    # what was joined by the first round needs no further comparison
+    joined = store(components(found.join(pairs, ["a", "b"]).select(F.col("ca").alias("src"), F.col("cb").alias("dst")), "near-join"), "near-joined")
+    now = lambda rows, c: (rows.join(joined.select(F.col("node").alias(c), "component_id"), c, "left")
+                           .withColumn(c, F.coalesce("component_id", c)).drop("component_id"))
+    wanted = store(now(now(told.where("more"), "ca"), "cb").where("ca != cb").select("bucket", F.col("a").alias("id")).distinct(), "near-again")
+    discard(told, pairs)
+    if wanted.isEmpty():
+        return links
+    open_ = labelled.join(wanted.select("bucket").distinct(), "bucket", "left_semi")
+    sized = open_.select("bucket", "id", "comp").join(reps.groupBy("id").agg(F.sum("n").alias("size")), "id")
+    marked = now(sized, "comp").join(wanted.withColumn("again", F.lit(True)), ["bucket", "id"], "left")
+    labelled = store(marked.select("bucket", "id", "comp", "size", F.coalesce("again", F.lit(False)).alias("again")), "near-labelled")
+    discard(joined, wanted)
+    full = _full_sets(labelled.select("id").distinct(), docs)
+    return links.unionByName(store(_linked(split_buckets(labelled, CELL, reps.select("id", "sig").join(full, "id"), ROOM)), "near-linked"))
 
 
 def near_components(docs: DataFrame) -> DataFrame:

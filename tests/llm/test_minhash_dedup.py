@@ -105,3 +105,28 @@ def test_rounds_go_on_until_no_survivor_is_left_over(spark, monkeypatch):
             words[k] = f"x{i}_{k}"
         rows.append((i, " ".join(words)))
     assert result(M.near_components(spark.createDataFrame([(i, t, "x", 1, 5) for i, t in rows], SCHEMA))) == brute(rows)
+
+
+def test_pairs_just_below_the_threshold_are_not_all_handed_on(spark, monkeypatch):
+    """A component and as many documents a little too unlike it: its pairs are checked, but only a few a document become rows."""
+    seen, verify = [], M._verify
+    monkeypatch.setattr(M, "_verify", lambda pairs, docs: seen.append(pairs.count()) or verify(pairs, docs))
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(300)]
+    rows = []
+    for i in range(240):
+        words = list(base)
+        for k in rng.sample(range(2, 298, 6), 3 if i % 2 else 8):
+            words[k] = f"x{i}_{k}"
+        rows.append((i, " ".join(words)))
+    got = result(M.near_components(spark.createDataFrame([(i, t, "x", 1, 5) for i, t in rows], SCHEMA)))
+    assert got == brute(rows)
+    assert sum(seen[1:]) < 20 * len(rows), seen  # of 14,400 pairs of the two kinds
+
+
+def test_common_counts_over_slices(monkeypatch):
+    monkeypatch.setattr(M, "COLUMNS", 3)
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 60, n).astype(np.uint64)) for n in (0, 1, 5, 30, 80, 80)]
+    p, q = np.divmod(np.arange(36), 6)
+    assert M.common(sets, p, q).tolist() == [len(np.intersect1d(sets[a], sets[b])) for a, b in zip(p, q, strict=True)]
