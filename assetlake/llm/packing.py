@@ -35,6 +35,7 @@ INSIDE = 32.0
 STRETCH = 256
 BLOCK_TOKENS = 1 << 18
 BLOCK_CHARS = 1 << 20
+OUT_ROWS = 2048  # pieces of a batch that a task hands on; with their ids, a batch ends at BLOCK_TOKENS of them too
 CACHE_WORDS = 800_000
 END_ID = 2
 END = np.uint32(END_ID).tobytes()
@@ -245,6 +246,19 @@ def pack_stream(docs, ends: np.ndarray, size: int = SIZE, block: int = BLOCK_TOK
         yield from solve(True)
 
 
+def batched(pieces, with_ids: bool):
+    """Lists of pieces, each of at most OUT_ROWS, and with their ids of about BLOCK_TOKENS: 2 MB of ids, whatever a piece holds."""
+    rows, held = [], 0
+    for piece in pieces:
+        rows.append(piece)
+        held += len(piece[2]) if with_ids else 0
+        if len(rows) >= OUT_ROWS or held >= BLOCK_TOKENS:
+            yield rows
+            rows, held = [], 0
+    if rows:
+        yield rows
+
+
 def pack(docs: DataFrame, tokenizer_path: str, size: int = SIZE, with_ids: bool = True) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset[, ids]."""
     from pyspark import TaskContext
@@ -257,19 +271,10 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = SIZE, with_ids: bool
         tok = tokenizer(tokenizer_path)
         first = TaskContext.get().partitionId() << 33
         stream = (x for b in batches for x in zip(b.column(0).to_pylist(), tok.encode_many([t or "" for t in b.column(1).to_pylist()]), strict=True))
-        rows = []
-
-        def out():
-            cols = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)]
-            return pa.RecordBatch.from_arrays(cols, schema=schema)
-
-        for doc_id, start, ids, total, seq, offset in pack_stream(stream, tok.ends, size):
-            rows.append((doc_id, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), total, first + seq, offset, *[ids] * with_ids))
-            if len(rows) >= 2048:
-                yield out()
-                rows.clear()
-        if rows:
-            yield out()
+        for pieces in batched(pack_stream(stream, tok.ends, size), with_ids):
+            rows = [(doc_id, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), total, first + seq, offset, *[ids] * with_ids)
+                    for doc_id, start, ids, total, seq, offset in pieces]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
 
     ddl = ", ".join(f"{c} long" for c in names) + (", ids array<long>" if with_ids else "")
     if with_ids:

@@ -124,3 +124,12 @@ def test_nulls_and_clashes(spark):
         by.setdefault(r.doc_id, []).extend(r.ids)
     assert by == {1: [2], 2: [2, 2], None: LIB.encode("a b", add_special_tokens=False).ids + [2]}
     assert P.pack(df.limit(0), PATH).count() == 0
+
+
+def test_batches_are_bounded_by_their_ids():
+    pieces = [(k, 0, np.zeros(4096 if k % 3 else 10, np.uint32), 1, k, 0) for k in range(5000)]
+    for with_ids, most in ((True, P.BLOCK_TOKENS + P.SIZE), (False, 2048 * P.SIZE)):
+        found = list(P.batched(iter(pieces), with_ids))
+        assert [p[0] for rows in found for p in rows] == list(range(5000))
+        assert all(len(rows) <= 2048 and sum(len(p[2]) for p in rows) <= most for rows in found)
+    assert len(list(P.batched(iter(pieces), False))) == 3 and list(P.batched(iter([]), True)) == []
