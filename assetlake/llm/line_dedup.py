@@ -5,7 +5,9 @@ A line's shingles are the windows of ``SHINGLE`` bytes of its trimmed UTF-8 text
 smallest of the shingle hashes, hashed again with a seed; one such 64-bit hash
 gives ``TURNS`` values, by its rotations: each orders the shingles by other bits,
 so that even the minima of a few shingles are independent. ``ROWS`` values make a band. Lines that share a
-band are candidates: each member of a bucket against the bucket's smallest one,
+band are candidates: each member of a bucket against the bucket's smallest one.
+Candidates whose signatures agree in fewer values than a pair at the threshold does
+but with probability MISS (told from a byte of each value) are left out, the others
 verified exactly on the full shingle sets. Buckets that are not in one component
 then are compared across components, in cells over many tasks. Union-find gives
 the components; the line with the smallest (doc_id, line number) of each stays.
@@ -18,6 +20,9 @@ come last. An empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+from math import comb
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +32,8 @@ SHINGLE = 5  # one changed character leaves lines of 39 bytes or more similar
 NUM, DEN = 75, 100
 BANDS, ROWS = 19, 5  # a pair at 0.75 is a candidate with 0.994, at 0.85 with 0.99997; over 100 columns Spark generates no code
 TURNS = 4
+MISS = 1e-9
+LANES = 7  # bytes of signature values in a long of the sketch; sums of them don't reach its sign
 CELL = 256
 SMALL_BYTES = 32 << 20  # a key set at most this large may be broadcast
 
@@ -42,6 +49,16 @@ def _turned(x, k: int):
     return F.shiftleft(x, n).bitwiseOR(F.shiftrightunsigned(x, 64 - n)) if n else x
 
 
+def least_equal() -> int:
+    """Fewest equal signature values that a pair at the threshold has, but with probability MISS."""
+    n, t = BANDS * ROWS, NUM / DEN
+    tail, m = 0.0, -1
+    while tail < MISS:
+        m += 1
+        tail += comb(n, m) * t ** m * (1 - t) ** (n - m)
+    return m
+
+
 def lines(docs: DataFrame) -> DataFrame:
     """(doc_id, line_no, line, h1, h2): the trimmed lines of whole texts."""
     d = unclash(docs, ["doc_id", "text"]).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
@@ -58,7 +75,7 @@ def _hashes(line):
 
 
 def signatures(rows: DataFrame) -> DataFrame:
-    """(id, h1, h2, bands): one row per distinct line of at least SHINGLE bytes."""
+    """(id, h1, h2, bands, sketch): one row per distinct line of at least SHINGLE bytes."""
     once = (rows.where(F.octet_length("line") >= SHINGLE).select("h1", "h2", F.col("line").cast("binary").alias("b"))
             .groupBy("h1", "h2").agg(F.first("b").alias("b")))
     # the distinct lines are dealt by (h1, h2) already, so their minima need no further exchange
@@ -67,11 +84,30 @@ def signatures(rows: DataFrame) -> DataFrame:
     mixed = value.select("h1", "h2", *[F.xxhash64(F.col("h").bitwiseXOR(F.lit(s))).alias(f"x{k}") for k, s in enumerate(_seeds())])
     mins = mixed.groupBy("h1", "h2").agg(*[F.min(_turned(F.col(f"x{k // TURNS}"), k % TURNS)).alias(f"m{k}") for k in range(BANDS * ROWS)])
     bands = F.array(*[F.xxhash64(F.lit(b), *[f"m{b * ROWS + r}" for r in range(ROWS)]) for b in range(BANDS)])
-    return mins.select(F.monotonically_increasing_id().alias("id"), "h1", "h2", bands.alias("bands"))
+    lane = lambda k: F.shiftleft(F.col(f"m{k}").bitwiseAND(F.lit(0xFF).cast("long")), 8 * (k % LANES))
+    sketch = F.array(*[reduce(lambda x, y: x.bitwiseOR(y), [lane(k) for k in range(at, min(at + LANES, BANDS * ROWS))])
+                       for at in range(0, BANDS * ROWS, LANES)])
+    return mins.select(F.monotonically_increasing_id().alias("id"), "h1", "h2", bands.alias("bands"), sketch.alias("sketch"))
+
+
+def likely(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
+    """Pairs (a, b) of ids whose sketches agree in at least ``least_equal`` bytes."""
+    def side(c):
+        return sigs.select(F.col("id").alias(c), F.col("sketch").alias(f"k{c}"))
+
+    low, high = F.lit(int("7f" * LANES, 16)), F.lit(int("80" * LANES, 16))
+
+    def unequal(j):  # bytes that differ: their high bit is set, by the sum or itself
+        x = F.col("ka")[j].bitwiseXOR(F.col("kb")[j])
+        return F.bit_count((x.bitwiseAND(low) + low).bitwiseOR(x).bitwiseAND(high))
+
+    n = reduce(lambda x, y: x + y, [unequal(j) for j in range(-(-BANDS * ROWS // LANES))])
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(n <= BANDS * ROWS - least_equal()).select("a", "b")
 
 
 def _verify(pairs: DataFrame, sigs: DataFrame, rows: DataFrame, name: str) -> DataFrame:
     """Pairs (a, b) of ids whose full shingle sets reach the threshold."""
+    pairs = store(likely(pairs, sigs), f"{name}-likely")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     keys = store(sigs.select("id", "h1", "h2").join(ids, "id"), f"{name}-keys")
     small = keys.count() * 32 <= SMALL_BYTES
@@ -88,7 +124,7 @@ def _verify(pairs: DataFrame, sigs: DataFrame, rows: DataFrame, name: str) -> Da
     # the texts are moved, since sets take eight times their room; an array of one pair has each set made once
     sets = F.struct(*[F.array_distinct(_hashes(F.col(f"l{c}"))).alias(f"s{c}") for c in ("a", "b")])
     out = store(pairs.join(side("a"), "a").join(side("b"), "b").where(F.exists(F.array(sets), near)).select("a", "b"), f"{name}-links")
-    discard(keys, texts)
+    discard(pairs, keys, texts)
     return out
 
 
