@@ -83,20 +83,16 @@ def drop_scratch(spark: SparkSession) -> None:
 def split_buckets(labelled: DataFrame, cell: int, carry: DataFrame | None = None, room: int | None = None) -> DataFrame:
     """Cells that compare the members (bucket, id, comp) of every bucket across components.
 
-    A bucket's members outside its largest component are probes (with a boolean column ``again``, those it marks are); each is
-    compared with every member. Members are dealt into blocks of about ``cell``, probes into blocks of their own, and a cell is one
+    A bucket's members outside its largest component are probes; each is compared with every member. Members are dealt into blocks of about ``cell``, probes into blocks of their own, and a cell is one
     block of each: (bucket, blk, pblk, probe, id, comp). Rows grow with members times probe blocks, so a bucket that is
     nearly one component is handed on nearly once, and no cell outgrows its task. Buckets within one component are left out.
     The columns of ``carry`` (id, ...) are joined to a bucket's members once, before they are dealt. With ``room``, a block's
     rows of ``labelled`` also have a summed column ``size`` of about ``room`` at most.
     """
-    again = "again" in labelled.columns
-    counts = labelled.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("c"), (F.count_if("again") if again else F.lit(0)).alias("asked"),
-                                                    (F.sum("size") if room else F.lit(0)).alias("s"))
-    probes = F.col("asked") if again else F.col("m") - F.col("top.c")
+    counts = labelled.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("c"), (F.sum("size") if room else F.lit(0)).alias("s"))
     blocks = lambda n: F.ceil(F.greatest(F.col(n) / F.lit(cell), F.col("s") / F.lit(room or 1))).cast("long")
-    open_ = store(counts.groupBy("bucket").agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("m"), F.sum("asked").alias("asked"), F.sum("s").alias("s"))
-                  .withColumn("o", probes).where("m > top.c and o > 0")
+    open_ = store(counts.groupBy("bucket").agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("m"), F.sum("s").alias("s"))
+                  .withColumn("o", F.col("m") - F.col("top.c")).where("o > 0")
                   .select("bucket", F.col("top.comp").alias("main"), blocks("m").alias("nb"), blocks("o").alias("no")), "cells-open")
     rows = labelled.join(open_, "bucket")
     rows = rows.drop("size") if room else rows
@@ -106,8 +102,7 @@ def split_buckets(labelled: DataFrame, cell: int, carry: DataFrame | None = None
     up_to = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
     as_member = F.transform(up_to("no"), lambda k: place(F.pmod(F.xxhash64("id"), "nb"), k, False))
     as_probe = F.transform(up_to("nb"), lambda k: place(k, F.pmod(F.xxhash64("id"), "no"), True))
-    asks = F.col("again") if again else F.col("comp") != F.col("main")
-    dealt = rows.withColumn("cell", F.explode(F.when(asks, F.concat(as_member, as_probe)).otherwise(as_member)))
+    dealt = rows.withColumn("cell", F.explode(F.when(F.col("comp") != F.col("main"), F.concat(as_member, as_probe)).otherwise(as_member)))
     return dealt.select("bucket", "cell.*", "id", "comp", *([c for c in carry.columns if c != "id"] if carry is not None else []))
 
 

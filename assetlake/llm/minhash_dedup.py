@@ -11,11 +11,9 @@ are verified exactly on the full sets.
 A star alone could miss a link between two members that are both unlike the
 smallest one. Buckets whose members are not all in one component after the star
 are therefore compared across components, in cells of about ``CELL`` x ``CELL``
-spread over tasks. One link joins two components, so a cell hands on the ``FIRST``
-likeliest survivors of a document and component; documents with more whose component
-this didn't join with that one go to a second round, over the components joined by then. Its cells
-hold the full sets, verify every survivor and hand on links alone, one for a document and component:
-how many pairs of a group nearly reach the threshold makes no rows. Components are found by distributed union-find.
+spread over tasks. A cell holds the full sets of its members, so it verifies its survivors
+itself, and hands on only links that join two of its components: fewer rows than it has members,
+however many pairs of a group reach the threshold, or nearly do. Components are found by distributed union-find.
 
 Defined results: NULL text, or text without words, has the empty set and links
 with nothing; rows that repeat a doc_id share its component; a row with a NULL
@@ -41,10 +39,9 @@ HASHES, ROWS = 200, 5  # 40 bands of 5: a pair at 0.75 is missed with probabilit
 STEP = 20
 MISS = 1e-6
 CELL = 512
-AT_ONCE = 64  # probes of a cell compared at once: about 32,768 pairs, 6 MB while a batch of values is compared
-FIRST = 2  # survivors of a document and component that a cell of the first round hands on
-GROWTH = 32  # times FIRST: probes of a cell of the second round that are compared at once
-ROOM = 1 << 21  # shingles in a block of a cell that holds full sets: 16 MB
+FIRST = 2  # likeliest survivors of a document and component that a cell verifies before the others
+GROWTH = 32  # times FIRST: probes of a cell compared at once, about 32,768 pairs, 6 MB while a batch of values is compared
+ROOM = 1 << 21  # shingles in a block of a cell: 16 MB
 COLUMNS = 4096  # distinct shingles of a cell that are counted at once
 CHUNK = 4096
 SPACES = b" \t\n\r\x0b\x0c"
@@ -255,82 +252,84 @@ def common(sets: list[np.ndarray], p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return out[p, q]
 
 
-def _linked(rows: DataFrame) -> DataFrame:
-    """(a, b): verified links among the Bayesian survivors of cells that carry the full sets, one for a probe and component."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def _likeliest(p: np.ndarray, comp: np.ndarray, matches: np.ndarray, most: int) -> np.ndarray:
+    """Which pairs are among the ``most`` with the most equal values of their probe and component."""
+    order = np.lexsort((-matches, comp, p))
+    new = np.ones(len(p), bool)
+    new[1:] = (np.diff(p[order]) != 0) | (np.diff(comp[order]) != 0)
+    starts = np.flatnonzero(new)
+    place = np.arange(len(p)) - np.repeat(starts, np.diff(np.append(starts, len(p))))
+    out = np.zeros(len(p), bool)
+    out[order] = place < most
+    return out
 
-    def run(g: pa.Table) -> pa.Table:
-        probe = g.column("probe").to_numpy()
-        ids, comp, sig = g.column("id").to_numpy(), g.column("comp").to_numpy(), _sigs(g.column("sig").to_pylist())
-        sets, parts = [np.frombuffer(x.as_buffer(), np.uint64) for x in g.column("set")], []
-        size = np.array([len(x) for x in sets])
-        for p, q in _slices(probe, comp, FIRST * GROWTH):
-            alive, _ = survivors(sig, sig, p, q)
-            if not len(alive):
-                continue
-            p, q = p[alive], q[alive]
-            both = common(sets, p, q)
-            ok = DEN * both >= NUM * (size[p] + size[q] - both)
-            p, q = p[ok], q[ok]
-            _, one = np.unique(np.stack((p, comp[q])), axis=1, return_index=True)
-            parts.append(pa.RecordBatch.from_arrays([pa.array(c) for c in (np.maximum(ids[p[one]], ids[q[one]]), np.minimum(ids[p[one]], ids[q[one]]))], schema=schema))
-        return pa.Table.from_batches(parts, schema)
 
-    return rows.groupBy("bucket", "blk", "pblk").applyInArrow(run, "a long, b long").distinct()
+def _join(root: list[int], x: np.ndarray, y: np.ndarray) -> list[int]:
+    """Joins the components x[k] and y[k] in turn; the places of those that were apart until then."""
+    def top(c):
+        while root[c] != c:
+            root[c] = c = root[root[c]]
+        return c
+
+    out = []
+    for k, (c, d) in enumerate(zip(x.tolist(), y.tolist(), strict=True)):
+        c, d = top(c), top(d)
+        if c != d:
+            root[max(c, d)] = min(c, d)
+            out.append(k)
+    return out
+
+
+def _tops(root: list[int]) -> np.ndarray:
+    out = np.array(root)
+    while (out[out] != out).any():
+        out = out[out]
+    return out
 
 
-def _cells(rows: DataFrame, most: int) -> DataFrame:
-    """(bucket, a, b, ca, cb, more): Bayesian survivors from different components among the cells (bucket, blk, pblk, probe, id,
-    comp, sig), with their components. Of a probe ``a`` and a component, the ``most`` likeliest; ``more`` if there are others."""
-    schema = pa.schema([(c, pa.int64()) for c in ("bucket", "a", "b", "ca", "cb")] + [("more", pa.bool_())])
+def cell_links(probe: np.ndarray, comp: np.ndarray, sig: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Verified links (probe, member) of a cell, only those that join components that no link before them joined."""
+    size, names = np.array([len(x) for x in sets]), np.unique(comp, return_inverse=True)[1]
+    root, links = list(range(len(sets))), [np.empty((2, 0), np.int64)]
+    apart = lambda p, q: (now := _tops(root))[names[p]] != now[names[q]]  # noqa: E731  what is joined by now needs no link
+    for p, q in _slices(probe, comp, FIRST * GROWTH):
+        open_ = apart(p, q)
+        p, q = p[open_], q[open_]
+        alive, matches = survivors(sig, sig, p, q)
+        p, q = p[alive], q[alive]
+        first = _likeliest(p, names[q], matches, FIRST)
+        for some in (first, ~first):
+            some = some & apart(p, q)
+            x, y = p[some], q[some]
+            if not len(x):
+                continue
+            both = common(sets, x, y)
+            ok = DEN * both >= NUM * (size[x] + size[y] - both)
+            x, y = x[ok], y[ok]
+            new = _join(root, names[x], names[y])
+            links.append(np.stack((x[new], y[new])))
+    return tuple(np.concatenate(links, axis=1))
+
+
+def _linked(rows: DataFrame) -> DataFrame:
+    """(a, b): what ``cell_links`` finds in the cells (bucket, blk, pblk, probe, id, comp, sig, set)."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(g: pa.Table) -> pa.Table:
-        probe = g.column("probe").to_numpy()
-        ids, comp, sig = g.column("id").to_numpy(), g.column("comp").to_numpy(), _sigs(g.column("sig").to_pylist())
-        bucket, parts = g.column("bucket")[0].as_py(), []
-        for p, q in _slices(probe, comp, AT_ONCE):
-            alive, matches = survivors(sig, sig, p, q)
-            order = np.lexsort((ids[q[alive]], -matches, comp[q[alive]], p[alive]))
-            p, q = p[alive][order], q[alive][order]
-            new = np.ones(len(p), bool)
-            new[1:] = (p[1:] != p[:-1]) | (comp[q[1:]] != comp[q[:-1]])
-            starts = np.flatnonzero(new)
-            sizes = np.diff(np.append(starts, len(p)))
-            ok = np.arange(len(p)) - np.repeat(starts, sizes) < most
-            more = np.repeat(sizes > most, sizes)[ok]
-            p, q = p[ok], q[ok]
-            parts.append(pa.RecordBatch.from_arrays([pa.array(c) for c in (np.full(len(p), bucket, np.int64), ids[p], ids[q], comp[p], comp[q], more)], schema=schema))
-        return pa.Table.from_batches(parts, schema)
-
-    return rows.groupBy("bucket", "blk", "pblk").applyInArrow(run, "bucket long, a long, b long, ca long, cb long, more boolean")
+        ids, sets = g.column("id").to_numpy(), [np.frombuffer(x.as_buffer(), np.uint64) for x in g.column("set")]
+        p, q = cell_links(g.column("probe").to_numpy(), g.column("comp").to_numpy(), _sigs(g.column("sig").to_pylist()), sets)
+        return pa.Table.from_arrays([pa.array(np.maximum(ids[p], ids[q])), pa.array(np.minimum(ids[p], ids[q]))], schema=schema)
+
+    return rows.groupBy("bucket", "blk", "pblk").applyInArrow(run, "a long, b long").distinct()
 
 
 def _across(labelled: DataFrame, links: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
     """``links`` and those that join the components of ``labelled`` (bucket, id, comp) further."""
-    cells = split_buckets(labelled, CELL, reps.select("id", "sig"))
-    told = store(_cells(cells, FIRST), "near-rest")
-    high = F.col("a") > F.col("b")
-    pick = lambda x, y, name: F.when(high, F.col(x)).otherwise(F.col(y)).alias(name)
-    pairs = store(told.select(pick("a", "b", "a"), pick("b", "a", "b"), pick("ca", "cb", "ca"), pick("cb", "ca", "cb")).distinct(), "near-across")
-    found = store(_verify(pairs, docs), "near-more")
-    links = links.unionByName(found)
-    if told.where("more").isEmpty():
-        return links
-    # what was joined by the first round needs no further comparison
-    joined = store(components(found.join(pairs, ["a", "b"]).select(F.col("ca").alias("src"), F.col("cb").alias("dst")), "near-join"), "near-joined")
-    now = lambda rows, c: (rows.join(joined.select(F.col("node").alias(c), "component_id"), c, "left")
-                           .withColumn(c, F.coalesce("component_id", c)).drop("component_id"))
-    wanted = store(now(now(told.where("more"), "ca"), "cb").where("ca != cb").select("bucket", F.col("a").alias("id")).distinct(), "near-again")
-    discard(told, pairs)
-    if wanted.isEmpty():
-        return links
-    open_ = labelled.join(wanted.select("bucket").distinct(), "bucket", "left_semi")
-    sized = open_.select("bucket", "id", "comp").join(reps.groupBy("id").agg(F.sum("n").alias("size")), "id")
-    marked = now(sized, "comp").join(wanted.withColumn("again", F.lit(True)), ["bucket", "id"], "left")
-    labelled = store(marked.select("bucket", "id", "comp", "size", F.coalesce("again", F.lit(False)).alias("again")), "near-labelled")
-    discard(joined, wanted)
-    full = _full_sets(labelled.select("id").distinct(), docs)
-    return links.unionByName(store(_linked(split_buckets(labelled, CELL, reps.select("id", "sig").join(full, "id"), ROOM)), "near-linked"))
+    apart = labelled.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("bucket")
+    sizes = reps.groupBy("id").agg(F.sum("n").alias("size"))
+    open_ = store(labelled.join(apart, "bucket").join(sizes, "id").select("bucket", "id", "comp", "size"), "near-open")
+    full = _full_sets(open_.select("id").distinct(), docs)
+    return links.unionByName(store(_linked(split_buckets(open_, CELL, reps.select("id", "sig").join(full, "id"), ROOM)), "near-linked"))
 
 
 def near_components(docs: DataFrame) -> DataFrame:

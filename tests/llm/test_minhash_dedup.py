@@ -130,3 +130,19 @@ def test_common_counts_over_slices(monkeypatch):
     sets = [np.unique(rng.integers(0, 60, n).astype(np.uint64)) for n in (0, 1, 5, 30, 80, 80)]
     p, q = np.divmod(np.arange(36), 6)
     assert M.common(sets, p, q).tolist() == [len(np.intersect1d(sets[a], sets[b])) for a, b in zip(p, q, strict=True)]
+
+
+def test_cells_hand_on_fewer_links_than_they_have_members():
+    """Documents that are near the threshold to one another, each a component of its own: all pairs survive, and all or none are links."""
+    rng = np.random.default_rng(6)
+    for shared, links in ((84, 0), (90, 119)):  # of 100 shingles: similarity 0.72 and 0.82
+        common_ = rng.integers(0, 1 << 63, shared, dtype=np.uint64)
+        sets = [np.unique(np.concatenate((common_, rng.integers(0, 1 << 63, 100 - shared, dtype=np.uint64)))) for _ in range(120)]
+        sig = np.stack([M.signature(s) for s in sets])
+        probe, comp, order = np.arange(240) < 120, np.tile(np.arange(120) * 7, 2), np.tile(np.arange(120), 2)
+        p, q = next(M._slices(probe, comp, 240))
+        assert len(M.survivors(sig[order], sig[order], p, q)[0]) > 100 * 120
+        a, b = M.cell_links(probe, comp, sig[order], [sets[k] for k in order])
+        assert len(a) == links
+        root = list(range(120))
+        assert len(M._join(root, order[a], order[b])) == links
