@@ -19,6 +19,7 @@ from assetlake.session import scratch_dir
 _made: ContextVar[list | None] = ContextVar("made", default=None)  # tables stored inside the ``settle`` that runs
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+WORDS = 1 << 17  # longs of a mask of keys: 8 million bits, however many keys there are
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -106,6 +107,36 @@ def split_buckets(labelled: DataFrame, cell: int, carry: DataFrame | None = None
     return dealt.select("bucket", "cell.*", "id", "comp", *([c for c in carry.columns if c != "id"] if carry is not None else []))
 
 
+def _masked(rows: DataFrame, on: str, keys: DataFrame, how: str) -> DataFrame:
+    """``rows`` with ``__may``: whether column ``on`` may be among the values of the first column of ``keys``."""
+    def place(c):  # as text, so an int and a long are the same key
+        return F.xxhash64(F.col(c).cast("string"))
+
+    def bit(c):
+        return F.shiftright(place(c), 32).bitwiseAND(63).cast("int")
+
+    word = lambda c: F.pmod(place(c), F.lit(WORDS))
+    key = keys.columns[0]
+    mask = keys.groupBy(word(key).alias("__word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit(key))).alias("__bits"))
+    found = rows.join(F.broadcast(mask), word(on) == F.col("__word"), how)
+    return found.withColumn("__may", F.coalesce(F.getbit("__bits", bit(on)) == 1, F.lit(False))).drop("__word", "__bits")
+
+
+def among(rows: DataFrame, on: str, keys: DataFrame) -> DataFrame:
+    """The rows whose column ``on`` is among ``keys`` (one column), and few others.
+
+    For joins of wide rows with few keys: what surely has no partner isn't shuffled. The keys are sent as a mask of at
+    most ``WORDS`` longs; with many more keys than bits, all rows are left to the join.
+    """
+    return _masked(rows, on, keys, "inner").where("__may").drop("__may")
+
+
+def apart(rows: DataFrame, on: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``among``'s rows and all others."""
+    rows = _masked(rows, on, keys, "left")
+    return rows.where("__may").drop("__may"), rows.where("not __may").drop("__may")
+
+
 def bounded_batches(spark: SparkSession, rows: int = 512) -> None:
     """Rows per Arrow batch: what a Python task holds at once, whatever the table's size."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -20,7 +20,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assetlake.llm.common import _delete, fresh_path, lower_ascii, settle, store, table, unclash
+from assetlake.llm.common import _delete, apart, fresh_path, lower_ascii, settle, store, table, unclash
 
 
 class DigestIndex:
@@ -107,23 +107,25 @@ def dedup(docs: DataFrame, index: DigestIndex, batch: str | None = None) -> Data
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: one document of each group of equal texts stays.
 
-    Only the rows that go, and those repeated with their doc_id, meet the documents: they are few, so Spark broadcasts
-    them as long as they are small, and the texts of the rows that stay as they are aren't shuffled.
+    Only rows whose doc_id goes, or is repeated with its text, are compared with the decisions; the texts of all others
+    aren't moved.
     """
     index = DigestIndex(spark, fresh_path(spark, "digest-index"))
     said = settle(lambda: dedup(docs, index).groupBy("doc_id", F.unhex("text_sha256").alias("digest"))
                   .agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")).where("not kept or n > 1"), "digest-said")
     index.drop()
-    named = docs.withColumn("__digest", digest_of(F.col("text")))
+    named, others = apart(docs, "doc_id", said.select("doc_id"))
+    named = named.withColumn("__digest", digest_of(F.col("text")))
 
     def meet(rows: DataFrame, which: str, how: str) -> DataFrame:
         keys = said.where(which).select(F.col("doc_id").alias("__id"), F.col("digest").alias("__d"))
         return rows.join(keys, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__d")), how)
 
     if said.where("kept").isEmpty():
-        return meet(named, "not kept", "left_anti").drop("__digest")
-    again = meet(named, "kept", "left_semi").dropDuplicates(["doc_id", "__digest"])
-    return meet(named, "true", "left_anti").unionByName(again).drop("__digest")
+        stay = meet(named, "not kept", "left_anti")
+    else:
+        stay = meet(named, "true", "left_anti").unionByName(meet(named, "kept", "left_semi").dropDuplicates(["doc_id", "__digest"]))
+    return others.unionByName(stay.drop("__digest"))
 
 
 def q_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

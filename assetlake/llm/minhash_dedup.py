@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assetlake.llm.common import bounded_batches, components, discard, settle, split_buckets, store, table, unclash
+from assetlake.llm.common import among, apart, bounded_batches, components, discard, settle, split_buckets, store, table, unclash
 
 WORDS = 5
 NUM, DEN = 75, 100
@@ -171,6 +171,8 @@ def bands(reps: DataFrame) -> DataFrame:
 
 def _bayes(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     """Pairs (a, b) whose sizes allow the threshold and whose signatures survive."""
+    reps = among(reps, "id", pairs.select(F.explode(F.array("a", "b")).alias("id")))
+
     def side(c):
         return reps.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("sig").alias(f"s{c}"))
 
@@ -188,14 +190,14 @@ def _bayes(pairs: DataFrame, reps: DataFrame) -> DataFrame:
 
 
 def _full_sets(ids: DataFrame, docs: DataFrame) -> DataFrame:
-    """(id, set): the full sets of the documents ``ids``, made again from their whole texts."""
+    """(id, set): the full sets of the documents ``ids`` (distinct), made again from their whole texts."""
     schema = pa.schema([("id", pa.int64()), ("set", pa.binary())])
 
     def sets(batches):
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingles(t).tobytes() for t in b.column(1).to_pylist()], pa.binary())], schema=schema)
 
-    texts = docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id", "left_semi")
+    texts = among(docs.select(F.col("doc_id").alias("id"), "text"), "id", ids).join(ids, "id")  # a semi join would be pushed below the mask
     full = store(texts.mapInArrow(sets, "id long, set binary"), "near-sets")
     if not full.groupBy("id").count().where("count > 1").isEmpty():  # a doc_id that repeats: each of its sets once
         full = store(full.dropDuplicates(["id", "set"]), "near-distinct")
@@ -328,8 +330,10 @@ def _across(labelled: DataFrame, links: DataFrame, reps: DataFrame, docs: DataFr
     apart = labelled.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("bucket")
     sizes = reps.groupBy("id").agg(F.sum("n").alias("size"))
     open_ = store(labelled.join(apart, "bucket").join(sizes, "id").select("bucket", "id", "comp", "size"), "near-open")
-    full = _full_sets(open_.select("id").distinct(), docs)
-    return links.unionByName(store(_linked(split_buckets(open_, CELL, reps.select("id", "sig").join(full, "id"), ROOM)), "near-linked"))
+    ids = open_.select("id").distinct()
+    full = _full_sets(ids, docs)
+    carry = among(reps.select("id", "sig"), "id", ids).join(full, "id")
+    return links.unionByName(store(_linked(split_buckets(open_, CELL, carry, ROOM)), "near-linked"))
 
 
 def near_components(docs: DataFrame) -> DataFrame:
@@ -348,9 +352,10 @@ def near_components(docs: DataFrame) -> DataFrame:
     buckets = store(rows.groupBy("bucket").agg(F.min("id").alias("b"), F.count(F.lit(1)).alias("m")).where("m > 1"), "near-buckets")
     members = store(rows.join(buckets, "bucket").select("bucket", F.col("id").alias("a"), "b"), "near-members")
     discard(rows, buckets)
-    star = store(_bayes(members.where("a != b").select("a", "b").distinct(), reps), "near-star")
+    pairs = store(members.where("a != b").select("a", "b").distinct(), "near-pairs")
+    star = store(_bayes(pairs, reps), "near-star")
     links = store(_verify(star, docs), "near-links")
-    discard(star)
+    discard(pairs, star)
     found = components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")), "near-cc")
     labelled = store(members.join(found.withColumnRenamed("node", "a"), "a", "left")
                      .select("bucket", F.col("a").alias("id"), F.coalesce("component_id", "a").alias("comp")), "near-labelled")
@@ -371,7 +376,9 @@ def near_components(docs: DataFrame) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: one document of each component stays (documents without words stay)."""
     gone = settle(lambda: near_components(docs).where("not kept").select(F.col("doc_id").alias("__gone")).distinct(), "near-gone")
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    named, others = apart(docs, "doc_id", gone)
+    stay = named.join(gone, F.col("doc_id") == F.col("__gone"), "left").where("__gone is null").drop("__gone")  # an anti join would be pushed below the mask
+    return others.unionByName(stay)
 
 
 def q_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
