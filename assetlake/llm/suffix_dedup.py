@@ -63,12 +63,13 @@ def distinct_texts(docs: DataFrame, min_bytes: int) -> DataFrame:
     """uid, u2, copies, text of the distinct texts that a window fits in, bucketed by (uid, u2): the joins of
     what is found with the texts then move no text."""
     spark = docs.sparkSession
-    long_ = docs.where(F.octet_length("text") >= min_bytes).select("digest", "text")
-    rows = long_.groupBy("digest").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies")).select(
-        F.xxhash64("digest").alias("uid"), F.hash("digest").alias("u2"), "digest", "copies", "text")
+    long_ = docs.where(F.octet_length("text") >= min_bytes).select(F.xxhash64("digest").alias("uid"), F.hash("digest").alias("u2"), "digest", "text")
+    # grouped by the columns that they are dealt by, so the texts are shuffled once
+    rows = long_.groupBy(*KEY).agg(F.first("digest").alias("digest"), F.count(F.lit(1)).alias("copies"), F.first("text").alias("text"))
     name, n = f"suffix_texts_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
     (rows.repartition(n, *KEY).write.bucketBy(n, *KEY).sortBy(*KEY).option("path", fresh_path(spark, "suffix-texts"))
      .option("compression", "zstd").format("parquet").saveAsTable(name))
+    tidy(spark)
     return spark.table(name)
 
 
@@ -98,17 +99,23 @@ def chunks(texts: DataFrame, mean: int) -> DataFrame:
     return texts.select(*KEY, "text").mapInArrow(run, "uid long, u2 int, i int, len int, h long")
 
 
-def _rank(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Keys that occur more than once, sorted, with their place in the order as rank and the first position of each."""
-    again = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*KEY, "i")).alias("place")).where("n > 1").drop("n")
-    return store(again.orderBy(*keys).withColumn("rank", F.monotonically_increasing_id()), name)
+def _rank(rows: DataFrame, keys: list[str], min_bytes: int, name: str) -> DataFrame:
+    """Keys that occur more than once, sorted, with their place in the order as rank and, for runs of at least
+    ``min_bytes`` (no other needs it), the first position of each."""
+    again = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    place = rows.where(F.col("len") >= min_bytes).groupBy(*keys).agg(F.min(F.struct(*KEY, "i")).alias("place"))
+    ranks = store(again.orderBy(*keys).withColumn("rank", F.monotonically_increasing_id()), f"{name}-order")
+    out = store(ranks.join(place, keys, "left"), name)
+    discard(ranks)
+    tidy(rows.sparkSession)
+    return out
 
 
 def double(rows: DataFrame, min_bytes: int) -> DataFrame:
     """uid, u2, codes: what the levels found about each text's runs.
 
     A code is level << 34 | first << 33 | unique << 32 | chunk: repeated chunks (level 0), unique runs (level 1 and
-    up) and repeated runs of at least min_bytes; ``first`` marks the first place of a repeated run.
+    up) and repeated runs of at least min_bytes; ``first`` marks the first place of a repeated run of at least min_bytes.
     """
     spark = rows.sparkSession
 
@@ -117,7 +124,7 @@ def double(rows: DataFrame, min_bytes: int) -> DataFrame:
         return (F.lit((k << 34) | (unique << 32)).cast("long") + first + F.col("i")).alias("code")
 
     here = (F.struct(*KEY, "i") == F.col("place")).alias("first")
-    ranks = _rank(rows, ["h"], "suffix-rank0")
+    ranks = _rank(rows, ["h"], min_bytes, "suffix-rank0")
     cur = store(rows.join(ranks, "h").select(*KEY, "i", "len", F.col("rank").alias("r"), here), "suffix-level0")
     found, level, over = [cur.select(*KEY, code(0, 0))], 0, [cur]
     discard(ranks)
@@ -132,7 +139,7 @@ def double(rows: DataFrame, min_bytes: int) -> DataFrame:
         # past min_bytes a position goes on only while a shorter run on its left still needs its rank
         pairs = pairs.where((F.col("len") < min_bytes) | (F.col("left") < min_bytes))
         pairs = store(pairs.where("r2 is not null").select(*KEY, "i", (F.col("len") + F.col("len2")).alias("len"), "r", "r2"), "suffix-pairs")
-        ranks = _rank(pairs, ["r", "r2"], "suffix-rank")
+        ranks = _rank(pairs, ["r", "r2"], min_bytes, "suffix-rank")
         told = store(pairs.join(ranks, ["r", "r2"], "left").select(*KEY, "i", "len", "rank", here), "suffix-told")
         discard(pairs, ranks)
         over.append(told)
