@@ -8,6 +8,7 @@ costs only a reread, and every reader sees the same files.
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 from contextvars import ContextVar
 
@@ -62,6 +63,7 @@ def settle(make, name: str) -> DataFrame:
 def tidy(spark: SparkSession) -> None:
     """Let Spark's cleaner drop the shuffle files of DataFrames that are no longer referenced."""
     gc.collect()
+    time.sleep(0.3)  # Spark's listeners hold the query that has just ended for a moment
     spark.sparkContext._jvm.System.gc()
 
 

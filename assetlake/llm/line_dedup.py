@@ -26,7 +26,7 @@ from math import comb
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assetlake.llm.common import components, discard, split_buckets, store, table, unclash
+from assetlake.llm.common import components, discard, split_buckets, store, table, tidy, unclash
 
 SHINGLE = 5  # one changed character leaves lines of 39 bytes or more similar
 NUM, DEN = 75, 100
@@ -132,16 +132,20 @@ def line_components(docs: DataFrame) -> DataFrame:
     """doc_id, line_no, kept, keep_doc_id, keep_line_no, copies: one row per line of every document."""
     rows = lines(docs)
     sigs = store(signatures(rows), "line-sigs")
+    tidy(docs.sparkSession)  # the shuffled lines
     exploded = sigs.select("id", F.explode("bands").alias("bucket"))
     buckets = store(exploded.groupBy("bucket").agg(F.min("id").alias("b"), F.count(F.lit(1)).alias("m")).where("m > 1"), "line-buckets")
+    tidy(docs.sparkSession)
     members = store(exploded.join(buckets, "bucket").select("bucket", F.col("id").alias("a"), "b"), "line-members")
     star = store(members.where("a != b").select("a", "b").distinct(), "line-star")
     discard(buckets)
+    tidy(docs.sparkSession)
     links = _verify(star, sigs, rows, "line")
     found = components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")), "line-cc")
     labelled = store(members.join(found.withColumnRenamed("node", "a"), "a", "left")
                      .select("bucket", F.col("a").alias("id"), F.coalesce("component_id", "a").alias("comp")), "line-labelled")
     discard(members)
+    tidy(docs.sparkSession)
     cells = split_buckets(labelled, CELL)
     left, right = cells.where("probe").alias("l"), cells.where("not probe").alias("r")
     across = (left.join(right, ["bucket", "blk", "pblk"]).where("l.comp != r.comp")
@@ -150,6 +154,7 @@ def line_components(docs: DataFrame) -> DataFrame:
     discard(labelled, star)
     more = _verify(across, sigs, rows, "line-more")
     discard(across)
+    tidy(docs.sparkSession)
     final = components(links.unionByName(more).select(F.col("a").alias("src"), F.col("b").alias("dst")), "line-cc2")
     named = store(sigs.select("id", "h1", "h2").join(final.withColumnRenamed("node", "id"), "id").select("h1", "h2", F.col("component_id").alias("cc")), "line-named")
     discard(sigs, links, more)

@@ -1,6 +1,7 @@
 import os
 import time
 
+from assetlake.llm import line_dedup as L
 from assetlake.llm import suffix_dedup as S
 
 
@@ -26,3 +27,21 @@ def test_texts_are_shuffled_once_and_no_longer_kept_than_needed(spark, monkeypat
     made = seen[0] - before
     assert len({f.split("_")[1] for f in made}) == 1
     assert gone(spark, made)
+
+
+def test_shuffled_lines_go_once_the_signatures_are_stored(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, "\n".join(f"line {k} {j} of some length" for j in range(20))) for k in range(20)], "doc_id long, text string")
+    before, state = shuffle_files(spark), {}
+    store = L.store
+
+    def watched(df, name):
+        if name == "line-buckets":
+            state["gone"] = gone(spark, state["made"])
+        out = store(df, name)
+        if name == "line-sigs":
+            state["made"] = shuffle_files(spark) - before
+        return out
+
+    monkeypatch.setattr(L, "store", watched)
+    assert L.line_components(docs).count() == 400
+    assert state["made"] and state["gone"]
