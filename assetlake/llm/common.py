@@ -8,10 +8,11 @@ costs only a reread, and every reader sees the same files.
 from __future__ import annotations
 
 import gc
-import time
 import uuid
+from contextlib import suppress
 from contextvars import ContextVar
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +21,7 @@ from assetlake.session import scratch_dir
 _made: ContextVar[list | None] = ContextVar("made", default=None)  # tables stored inside the ``settle`` that runs
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+LISTENERS_MS = 10_000  # how long ``tidy`` waits for Spark's listeners
 WORDS = 1 << 17  # longs of a mask of keys: 8 million bits, however many keys there are
 
 
@@ -63,7 +65,14 @@ def settle(make, name: str) -> DataFrame:
 def tidy(spark: SparkSession) -> None:
     """Let Spark's cleaner drop the shuffle files of DataFrames that are no longer referenced."""
     gc.collect()
-    time.sleep(0.3)  # Spark's listeners hold the query that has just ended for a moment
+    queue = getattr(spark.sparkContext._gateway._gateway_client, "finalizer_deque", ())
+    with suppress(IndexError):  # py4j's own thread tells the JVM of what Python no longer holds as well, but once a second
+        while queue and isinstance(queue[-1], tuple):
+            client, target = queue.pop()
+            client.garbage_collect_object(target, False)
+    spark.range(0, 1, 1, 1).collect()  # Spark's threads hold the last job that ran
+    with suppress(Py4JJavaError):  # and its listeners queries that have ended; if they lag for long, a later call cleans up
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(LISTENERS_MS)
     spark.sparkContext._jvm.System.gc()
 
 

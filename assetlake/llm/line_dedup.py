@@ -68,10 +68,10 @@ def lines(docs: DataFrame) -> DataFrame:
 
 
 def _hashes(line):
-    """Hashes of all windows; O(length), since bytes are addressed directly."""
-    b = line.cast("binary")
+    """Hashes of all windows; O(length): bytes are addressed directly, and as a lambda's variable, since a column's are copied for each window."""
     n = F.octet_length(line)
-    return F.transform(F.sequence(F.lit(1), F.greatest(n - (SHINGLE - 1), F.lit(1))), lambda i: F.xxhash64(F.substring(b, i, F.lit(SHINGLE))))
+    starts = F.sequence(F.lit(1), F.greatest(n - (SHINGLE - 1), F.lit(1)))
+    return F.flatten(F.transform(F.array(line.cast("binary")), lambda b: F.transform(starts, lambda i: F.xxhash64(F.substring(b, i, F.lit(SHINGLE))))))
 
 
 def signatures(rows: DataFrame) -> DataFrame:
@@ -82,23 +82,26 @@ def signatures(rows: DataFrame) -> DataFrame:
     cut = once.select("h1", "h2", "b", F.explode(F.sequence(F.lit(1), F.octet_length("b") - (SHINGLE - 1))).alias("i"))
     value = cut.select("h1", "h2", F.xxhash64(F.substring("b", F.col("i"), F.lit(SHINGLE))).alias("h"))
     mixed = value.select("h1", "h2", *[F.xxhash64(F.col("h").bitwiseXOR(F.lit(s))).alias(f"x{k}") for k, s in enumerate(_seeds())])
-    mins = mixed.groupBy("h1", "h2").agg(*[F.min(_turned(F.col(f"x{k // TURNS}"), k % TURNS)).alias(f"m{k}") for k in range(BANDS * ROWS)])
+    # with the sketch's bytes, over 100 columns leave the last step of the aggregation and what follows out of Spark's
+    # whole-stage code: as one method it would be too long for the JVM to compile and run interpreted for each line
+    least = [F.min(_turned(F.col(f"x{k // TURNS}"), k % TURNS)) for k in range(BANDS * ROWS)]
+    mins = mixed.groupBy("h1", "h2").agg(*[m.alias(f"m{k}") for k, m in enumerate(least)],
+                                         *[m.bitwiseAND(F.lit(0xFF).cast("long")).alias(f"l{k}") for k, m in enumerate(least)]).withColumn("id", F.monotonically_increasing_id())
     bands = F.array(*[F.xxhash64(F.lit(b), *[f"m{b * ROWS + r}" for r in range(ROWS)]) for b in range(BANDS)])
-    lane = lambda k: F.shiftleft(F.col(f"m{k}").bitwiseAND(F.lit(0xFF).cast("long")), 8 * (k % LANES))
-    sketch = F.array(*[reduce(lambda x, y: x.bitwiseOR(y), [lane(k) for k in range(at, min(at + LANES, BANDS * ROWS))])
+    sketch = F.array(*[reduce(lambda x, y: x.bitwiseOR(y), [F.shiftleft(f"l{k}", 8 * (k % LANES)) for k in range(at, min(at + LANES, BANDS * ROWS))])
                        for at in range(0, BANDS * ROWS, LANES)])
-    return mins.select(F.monotonically_increasing_id().alias("id"), "h1", "h2", bands.alias("bands"), sketch.alias("sketch"))
+    return mins.select("id", "h1", "h2", bands.alias("bands"), sketch.alias("sketch"))
 
 
 def likely(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
     """Pairs (a, b) of ids whose sketches agree in at least ``least_equal`` bytes."""
-    def side(c):
-        return sigs.select(F.col("id").alias(c), F.col("sketch").alias(f"k{c}"))
+    def side(c):  # the longs as columns: with arrays, the comparison is too long a method for the JVM to compile
+        return sigs.select(F.col("id").alias(c), *[F.col("sketch")[j].alias(f"k{c}{j}") for j in range(-(-BANDS * ROWS // LANES))])
 
     low, high = F.lit(int("7f" * LANES, 16)), F.lit(int("80" * LANES, 16))
 
     def unequal(j):  # bytes that differ: their high bit is set, by the sum or itself
-        x = F.col("ka")[j].bitwiseXOR(F.col("kb")[j])
+        x = F.col(f"ka{j}").bitwiseXOR(F.col(f"kb{j}"))
         return F.bit_count((x.bitwiseAND(low) + low).bitwiseOR(x).bitwiseAND(high))
 
     n = reduce(lambda x, y: x + y, [unequal(j) for j in range(-(-BANDS * ROWS // LANES))])
@@ -117,13 +120,14 @@ def _verify(pairs: DataFrame, sigs: DataFrame, rows: DataFrame, name: str) -> Da
     def side(c):
         return texts.select(F.col("id").alias(c), F.col("line").alias(f"l{c}"))
 
-    def near(p):
-        both, na, nb = F.size(F.array_intersect(p["sa"], p["sb"])), F.size(p["sa"]), F.size(p["sb"])
-        return (F.least(na, nb) * DEN >= F.greatest(na, nb) * NUM) & (both * DEN >= (na + nb - both) * NUM)
-
-    # the texts are moved, since sets take eight times their room; an array of one pair has each set made once
+    # the texts are moved, since sets take eight times their room; an array of one has each set, and what they share, made once
     sets = F.struct(*[F.array_distinct(_hashes(F.col(f"l{c}"))).alias(f"s{c}") for c in ("a", "b")])
-    out = store(pairs.join(side("a"), "a").join(side("b"), "b").where(F.exists(F.array(sets), near)).select("a", "b"), f"{name}-links")
+    na, nb, both = F.size("s.sa"), F.size("s.sb"), F.col("both")
+    found = (pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", F.explode(F.array(sets)).alias("s"))
+             .where(F.least(na, nb) * DEN >= F.greatest(na, nb) * NUM)
+             .select("a", "b", (na + nb).alias("n"), F.explode(F.array(F.size(F.array_intersect("s.sa", "s.sb")))).alias("both"))
+             .where(both * DEN >= (F.col("n") - both) * NUM))
+    out = store(found.select("a", "b"), f"{name}-links")
     discard(pairs, keys, texts)
     return out
 
